@@ -350,10 +350,10 @@ _sql(
 _cte(
     "loads",
     [],
-    """SELECT year(o_orderdate)::BIGINT AS ano, o_orderstatus AS st,
-      'emendas_' || year(o_orderdate) || '_' || strftime(max(o_orderdate), '%Y%m%d_')
-        || lpad(ascii(o_orderstatus)::VARCHAR, 6, '0') || '.json' AS arquivo
-    FROM orders GROUP BY ALL""",
+    """SELECT ano, st, 'emendas_' || ano || '_' || strftime(ultima, '%Y%m%d_')
+        || lpad(ascii(st)::VARCHAR, 6, '0') || '.json' AS arquivo
+    FROM (SELECT year(o_orderdate)::BIGINT AS ano, o_orderstatus AS st, max(o_orderdate) AS ultima
+      FROM orders GROUP BY 1, 2)""",
 )
 _sql(
     "snapshot_select",

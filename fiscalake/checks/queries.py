@@ -162,12 +162,17 @@ def parquet_scan_count(spark, folder):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _as_documents(records: DataFrame) -> DataFrame:
+    """Records with their amounts as Brazilian text, to the cent."""
+    amounts = [money.format_number_br(F.round(c, 2), 2).alias(c) for c in S.MONEY_COLUMNS]
+    return records.select(*S.RAW_COLUMNS[:9], *amounts)
+
+
 @query
 def json_roundtrip(spark, folder):
     """Records written as JSON in two column sets and read back by name."""
     records = layers(spark, folder).records
-    amounts = [money.format_number_br(F.col(c), 2).alias(c) for c in S.MONEY_COLUMNS]
-    texts = records.select(*S.RAW_COLUMNS[:9], *amounts)
+    texts = _as_documents(records)
     path = fresh_path(spark, "json")
     early = F.col("ano") < 1998
     texts.where(early).drop(*S.MONEY_COLUMNS[3:]).write.json(f"{path}/a")
@@ -227,8 +232,7 @@ def layer_fallback(spark, folder):
     path = fresh_path(spark, "layers")
     store.write_tables(built.star.tables(), f"{path}/mart")
     store.write_tables({"t": mart.published(built.trusted)}, path)
-    amounts = [money.format_number_br(F.col(c), 2).alias(c) for c in S.MONEY_COLUMNS]
-    built.records.select(*S.RAW_COLUMNS[:9], *amounts).write.json(f"{path}/raw")
+    _as_documents(built.records).write.json(f"{path}/raw")
     parts = []
     for layer, found in (
         ("mart", store.best_layer(spark, f"{path}/mart", f"{path}/t.parquet", f"{path}/none", RULES)),
