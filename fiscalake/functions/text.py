@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# White space beyond the plain space, as Unicode defines it.
-_SPACE = r"[\s\p{Z}\x1c-\x1f\x85]"
-# Letters that have case; a word is a run of them.
+# The characters that count as white space.
+_SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+# What a word is made of: letters that have case.
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
+# A word break for initcap: a private character and the space it looks for.
+_BREAK = "\ue000 "
 
 
 def strip(col: Column) -> Column:
     """Drop white space of any kind at both ends (SQL ``trim`` drops spaces only)."""
-    return F.regexp_replace(col, f"^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(col, F.lit(_SPACES))
 
 
 def upper_strip(col: Column) -> Column:
@@ -21,12 +27,14 @@ def upper_strip(col: Column) -> Column:
 
 
 def title_case(col: Column) -> Column:
-    """Capital after every character that is not a letter: ``d'água`` -> ``D'Água``."""
-    runs = F.regexp_extract_all(F.lower(col), F.lit(f"[{_CASED}]+|[^{_CASED}]+"), F.lit(0))
-    return F.array_join(
-        F.transform(runs, lambda run: F.concat(F.upper(F.left(run, F.lit(1))), F.substr(run, F.lit(2)))),
-        "",
-    )
+    """Capital after every character that is not a letter: ``d'água`` -> ``D'Água``.
+
+    A break goes in after each such character, ``initcap`` sets the capitals, and the
+    breaks come out again. A private character of the text itself is kept: it gets a
+    break of its own, and only that one is removed.
+    """
+    broken = F.regexp_replace(col, f"([^{_CASED}])", f"$1{_BREAK}")
+    return F.replace(F.initcap(broken), F.lit(_BREAK), F.lit(""))
 
 
 def word_case(col: Column) -> Column:
