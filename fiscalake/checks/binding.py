@@ -11,6 +11,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.lookups import lookup, period_of_year, simple_type
 from ..functions.text import upper_strip
@@ -49,8 +50,15 @@ RULES = Rules(
 POSITION = ["ano", "autor", "valorEmpenhado"]
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A test table; its schema is looked up in the files once, not by every query."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _hundredths(name: str) -> Column:
@@ -128,15 +136,18 @@ class Layers:
     def records(self) -> DataFrame:
         return records(self.spark, self.folder)
 
+    @property
+    def trusted_plan(self) -> DataFrame:
+        """Trusted rows straight from the source tables, for a single consumer."""
+        return cleaning.trusted_zero(self.records, POSITION, RULES)
+
     @property
     def trusted(self) -> DataFrame:
-        return self._once(
-            "trusted", lambda: stage(cleaning.trusted_zero(self.records, POSITION, RULES), "trusted")
-        ).df
+        return self._once("trusted", lambda: stage(self.trusted_plan, "trusted")).df
 
     @property
-    def dim_tempo(self) -> Staged:
-        return self._once("dim_tempo", lambda: stage(mart.dim_tempo(self.trusted, RULES), "dim_tempo"))
+    def dim_tempo(self) -> DataFrame:
+        return mart.dim_tempo(self.trusted, RULES)
 
     @property
     def dim_funcao(self) -> Staged:
@@ -152,8 +163,7 @@ class Layers:
 
     @property
     def fact(self) -> DataFrame:
-        """The fact as a plan; consumers that read few columns prune it down to the
-        trusted scan and the dimensions they need."""
+        """The fact as a plan over the staged trusted rows and dimensions."""
         return self._once(
             "fact", lambda: mart.fact(self.trusted, self.dim_tempo, self.dim_localidade, self.dim_autor, RULES)
         )
@@ -164,8 +174,8 @@ class Layers:
 
     @property
     def serving(self) -> DataFrame:
-        """The working set behind the dashboard: KPI columns on trusted rows. Result
-        sets that show no dimension key need no dimension."""
+        """Trusted rows with their KPIs. Result sets without a dimension key start here:
+        regions, themes and types are functions of columns the rows already have."""
         return mart.with_kpis(self.trusted, RULES)
 
 

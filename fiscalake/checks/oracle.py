@@ -594,13 +594,13 @@ _sql(
     f"""SELECT row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, {_REST}) AS id, l_orderkey,
       l_linenumber, l_shipdate, l_partkey FROM lineitem""",
 )
+_KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate"
 _sql(
     "global_rank",
     [],
-    f"""SELECT linha, quantidade::DOUBLE AS quantidade, rank() OVER (ORDER BY quantidade DESC) AS posicao,
-      (sum(quantidade) OVER (ORDER BY quantidade DESC, linha ROWS UNBOUNDED PRECEDING))::DOUBLE AS acumulado
-    FROM (SELECT concat_ws('/', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS linha,
-      l_quantity::{MONEY} AS quantidade FROM lineitem)""",
+    f"""SELECT {_KEY}, l_quantity AS quantidade, rank() OVER (ORDER BY l_quantity DESC) AS posicao,
+      (sum(l_quantity::{MONEY}) OVER (ORDER BY l_quantity DESC, {_KEY} ROWS UNBOUNDED PRECEDING))::DOUBLE AS acumulado
+    FROM lineitem""",
 )
 _sql(
     "projection_filter",

@@ -529,11 +529,9 @@ def surrogate_key(spark, folder):
 @query
 def global_rank(spark, folder):
     """Rank and running total over all lines; the few distinct quantities make long ties."""
-    lines = table(spark, folder, "lineitem").select(
-        F.concat_ws("/", *LINE_KEY, "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate").alias("linha"),
-        F.col("l_quantity").cast(S.MONEY).alias("quantidade"),
-    )
-    return mart.published(ordered.rank_and_running_total(lines, "quantidade", "linha", "posicao", "acumulado"))
+    key = [*LINE_KEY, "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
+    lines = table(spark, folder, "lineitem").select(*key, F.col("l_quantity").cast(S.MONEY).alias("quantidade"))
+    return mart.published(ordered.rank_and_running_total(lines, "quantidade", key, "posicao", "acumulado"))
 
 
 @query
@@ -627,7 +625,7 @@ def skewed_join(spark, folder):
 
 @query
 def dim_time(spark, folder):
-    return layers(spark, folder).dim_tempo.df
+    return layers(spark, folder).dim_tempo
 
 
 @query
@@ -652,20 +650,17 @@ def fact(spark, folder):
 
 @query
 def rank_authors(spark, folder):
-    built = layers(spark, folder)
-    return mart.ranking_by_author(built.fact, built.dim_autor)
+    return mart.ranking_by_author(layers(spark, folder).serving, RULES)
 
 
 @query
 def dist_function_region(spark, folder):
-    built = layers(spark, folder)
-    return mart.distribution_by_function_and_region(built.fact, built.dim_funcao.df, built.dim_localidade.df)
+    return mart.distribution_by_function_and_region(layers(spark, folder).serving, RULES)
 
 
 @query
 def exec_function_place(spark, folder):
-    built = layers(spark, folder)
-    return mart.budget_execution(built.fact, built.dim_localidade.df)
+    return mart.budget_execution(layers(spark, folder).serving, RULES)
 
 
 @query
@@ -695,8 +690,7 @@ def star_denormalised(spark, folder):
 
 
 def _features(spark, folder):
-    built = layers(spark, folder)
-    return features.features(built.fact, built.dim_autor, RULES)
+    return features.features(layers(spark, folder).serving, RULES)
 
 
 @query

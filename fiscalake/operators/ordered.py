@@ -1,8 +1,9 @@
 """Surrogate keys, ranks and running totals over a whole table.
 
-A window without PARTITION BY moves every row to one task. Here the rows are range
-partitioned and sorted instead, each partition is numbered on its own, and the counts and
-sums of the earlier partitions, one small row per partition, are added afterwards.
+A window without PARTITION BY moves every row to one task, which is fine for a table
+known to be small and for no other. Larger ones are range partitioned and sorted, each
+partition is numbered on its own, and the counts and sums of the earlier partitions, one
+small row per partition, are added afterwards.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..staging import Staged, stage
 
+# A table of at most this many rows is numbered by one task.
+SINGLE_TASK_ROWS = 200_000
 # monotonically_increasing_id() holds the partition above this bit, the position below.
 _POSITION_BITS = 33
 
@@ -42,10 +45,15 @@ def _before(col: str) -> Column:
     return F.coalesce(F.sum(col).over(earlier), F.lit(0))
 
 
-def number_rows(df: DataFrame, order: Sequence[Column], out: str, name: str = "numbered") -> Staged:
-    """Dense 1-based numbers in ``order``: ROW_NUMBER() OVER (ORDER BY ...)."""
+def number_rows(
+    df: DataFrame, order: Sequence[Column], out: str, name: str = "numbered", single_task_rows: int = SINGLE_TASK_ROWS
+) -> Staged:
+    """Dense 1-based numbers in a total ``order``: ROW_NUMBER() OVER (ORDER BY ...)."""
     placed = positioned(df, order, name)
     rows = placed.df
+    if placed.rows <= single_task_rows:
+        number = F.row_number().over(Window.orderBy("_part", "_pos")).cast("long").alias(out)
+        return placed._replace(df=rows.select(number, *df.columns))
     sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select("_part", _before("_n").cast("long").alias("_offset"))
     numbered = rows.join(F.broadcast(offsets), "_part").select(
@@ -55,18 +63,32 @@ def number_rows(df: DataFrame, order: Sequence[Column], out: str, name: str = "n
 
 
 def rank_and_running_total(
-    df: DataFrame, value: str, tie_break: str, rank_out: str, running_out: str
+    df: DataFrame,
+    value: str,
+    tie_break: Sequence[str],
+    rank_out: str,
+    running_out: str,
+    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """RANK() by ``value`` descending, and the running sum in that order.
 
     Rows of equal value share the rank of the first of them, also where such a run
     crosses partitions; the running sum takes them by ``tie_break``.
     """
-    rows = positioned(df, [F.desc(value), F.asc(tie_break)], "ranked").df
+    order = [F.desc(value), *[F.asc(c) for c in tie_break]]
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    placed = positioned(df, order, "ranked")
+    rows = placed.df
+    if placed.rows <= single_task_rows:
+        return rows.select(
+            *df.columns,
+            F.rank().over(Window.orderBy(F.desc(value))).cast("long").alias(rank_out),
+            F.sum(value).over(Window.orderBy(*order).rowsBetween(*upto)).alias(running_out),
+        )
     here = Window.partitionBy("_part")
-    local = rows.withColumn(
-        "_run", F.sum(value).over(here.orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("_rank", F.rank().over(here.orderBy(F.desc(value))).cast("long"))
+    local = rows.withColumn("_run", F.sum(value).over(here.orderBy("_pos").rowsBetween(*upto))).withColumn(
+        "_rank", F.rank().over(here.orderBy(F.desc(value))).cast("long")
+    )
 
     parts = local.groupBy("_part").agg(
         F.count(F.lit(1)).alias("_n"),

@@ -39,13 +39,27 @@ def label_correlation(df: DataFrame, features: Sequence[str], label: str, places
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], places: int | None = None) -> DataFrame:
-    """(x, y, correlation) for all ordered pairs of columns."""
+    """(x, y, correlation) for all ordered pairs of columns.
+
+    The covariances of all pairs come from one pass; those of a column with itself are
+    the variances.
+    """
     data = _complete(df, columns)
     pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    one_row = data.agg(*[_correlation(columns[i], columns[j], places).alias(f"c{i}_{j}") for i, j in pairs])
-    half = _unpivot(one_row, {f"c{i}_{j}": (columns[i], columns[j]) for i, j in pairs}, ["x", "y"], "correlation")
-    mirrored = half.where("x != y").select(F.col("y").alias("x"), F.col("x").alias("y"), "correlation")
-    return half.unionByName(mirrored)
+    covariances = data.agg(F.array(*[F.covar_samp(columns[i], columns[j]) for i, j in pairs]).alias("_c"))
+
+    def at(i: int, j: int) -> int:
+        return pairs.index((min(i, j), max(i, j)))
+
+    entries = [
+        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.array(*map(F.lit, (at(i, j), at(i, i), at(j, j)))).alias("_k"))
+        for i, x in enumerate(columns)
+        for j, y in enumerate(columns)
+    ]
+    both, var_x, var_y = (F.get("_c", F.get("_k", F.lit(n))) for n in range(3))
+    value = F.try_divide(both, F.sqrt(var_x) * F.sqrt(var_y))
+    named = covariances.select("_c", F.inline(F.array(*entries)))
+    return named.select("x", "y", (value if places is None else F.round(value, places)).alias("correlation"))
 
 
 def histogram(df: DataFrame, value: str, low: float, high: float, bins: int, by: str) -> DataFrame:

@@ -10,29 +10,17 @@ from ..operators.joins import lookup_join
 from ..operators.statistics import correlation_matrix, label_correlation
 from ..rules import DEFAULT_RULES, Rules
 from ..schemas import CORRELATED_FEATURES, FEATURE_COLUMNS, LABEL
-from ..staging import Staged, stage
-
-
-def author_stats(fato: DataFrame, autor: Staged) -> Staged:
-    """Per author, over all its records: total, mean rate, and the simplified type.
-
-    Summed up before the dimension joins, so both sides have one row per author.
-    """
-    stats = fato.where(F.col("autor").isNotNull()).groupBy("autor").agg(
-        F.count(F.lit(1)).alias("total_emendas_autor"),
-        F.sum("valorEmpenhado").cast("double").alias("total_empenhado_autor"),
-        exact_mean(F.col("taxa_execucao_pct")).alias("media_execucao_autor"),
-    )
-    return stage(stats.join(autor.df.select("autor", "tipo_simplificado"), "autor", "left"), "author_stats")
+from ..staging import stage
+from .mart import author_totals, place_region
 
 
 def _flag(condition: Column) -> Column:
     return condition.cast("int")
 
 
-def committed_moments(fato: DataFrame) -> Column:
+def committed_moments(rows: DataFrame) -> Column:
     """Mean and sample deviation of the positive commitments, as one scalar subquery."""
-    positive = fato.where(F.col("valorEmpenhado") > 0)
+    positive = rows.where(F.col("valorEmpenhado") > 0)
     return positive.agg(
         F.struct(
             exact_mean(F.col("valorEmpenhado")).alias("mean"),
@@ -41,24 +29,25 @@ def committed_moments(fato: DataFrame) -> Column:
     ).scalar()
 
 
-def features(fato: DataFrame, autor: Staged, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """18 columns per record with a positive commitment.
+def features(rows: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """18 columns per record with a positive commitment, from the fact or from trusted
+    rows with their KPIs.
 
-    The author's figures include records without a commitment. The region follows from
-    the state alone, so the place dimension, whose largest key holds much of the data,
-    is not joined again.
+    An author's figures include records without a commitment. They are summed up and
+    staged, one row per author, and joined back: a window over the author would take all
+    records of a prolific one to a single task.
     """
-    rows = lookup_join(fato.where(F.col("valorEmpenhado") > 0), author_stats(fato, autor), ["autor"], "inner")
+    totals = author_totals(rows, rules)
+    stats = stage(totals.select("autor", "total_empenhado", "media_execucao", "tipo_simplificado"), "author_totals")
+    joined = lookup_join(rows.where(F.col("valorEmpenhado") > 0), stats, ["autor"], "inner")
     committed = F.col("valorEmpenhado").cast("double")
     rate = F.col("taxa_execucao_pct")
-    moments = committed_moments(fato)
-    region = F.when(F.col("localidade_id").isNotNull(), rules.region_of(F.col("uf")))
-    return rows.withColumns({"regiao": region, "_moments": moments}).withColumns(
+    return joined.withColumns({"regiao": place_region(rules), "_moments": committed_moments(rows)}).withColumns(
         {
             "valorEmpenhado": committed,
             "valorPago": F.col("valorPago").cast("double"),
-            "pct_do_total_autor": F.round(ratio(committed, F.col("total_empenhado_autor")) * 100, 2),
-            "desvio_execucao_vs_autor": rate - F.col("media_execucao_autor"),
+            "pct_do_total_autor": F.round(ratio(committed, F.col("total_empenhado")) * 100, 2),
+            "desvio_execucao_vs_autor": rate - F.col("media_execucao"),
             "zscore_valor": F.round(ratio(committed - F.col("_moments.mean"), F.col("_moments.sd")), 3),
             "flag_vitrine": _flag(F.col("emenda_vitrine")),
             "flag_em_restos": _flag(F.col("valorRestoInscrito") > 0),

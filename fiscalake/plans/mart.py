@@ -14,14 +14,14 @@ from ..operators.joins import lookup_join
 from ..operators.ordered import number_rows, rank_and_running_total
 from ..rules import DEFAULT_RULES, Rules
 from ..schemas import FACT_COLUMNS, MONEY
-from ..staging import Staged, stage
+from ..staging import Staged
 
 
 @dataclass(frozen=True)
 class Star:
     """The mart. Fact money is decimal; :func:`published` shows it as double."""
 
-    dim_tempo: Staged
+    dim_tempo: DataFrame
     dim_funcao: Staged
     dim_localidade: Staged
     dim_autor: Staged
@@ -29,7 +29,7 @@ class Star:
 
     def tables(self) -> dict[str, DataFrame]:
         return {
-            "dim_tempo": self.dim_tempo.df,
+            "dim_tempo": self.dim_tempo,
             "dim_funcao": self.dim_funcao.df,
             "dim_localidade": self.dim_localidade.df,
             "dim_autor": self.dim_autor.df,
@@ -78,13 +78,14 @@ def with_kpis(trusted: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     )
 
 
-def fact(trusted: DataFrame, tempo: Staged, localidade: Staged, autor: Staged, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Trusted rows with KPIs and dimension keys; a key is NULL where nothing matches."""
+def fact(trusted: DataFrame, tempo: DataFrame, localidade: Staged, autor: Staged, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Trusted rows with KPIs and dimension keys; a key is NULL where nothing matches.
+    The time dimension has one row per valid year and may always be broadcast."""
     places = localidade._replace(
         df=localidade.df.select("localidade_id", F.col("localidade").alias("localidadeDoGasto"), "uf")
     )
     rows = with_kpis(trusted, rules)
-    rows = lookup_join(rows, tempo._replace(df=tempo.df.select("ano_id", "ano")), ["ano"])
+    rows = rows.join(F.broadcast(tempo.select("ano_id", "ano")), "ano", "left")
     rows = lookup_join(rows, places, ["uf", "localidadeDoGasto"])
     rows = lookup_join(rows, autor._replace(df=autor.df.select("autor_id", "autor")), ["autor"])
     return rows.select(*FACT_COLUMNS)
@@ -92,7 +93,7 @@ def fact(trusted: DataFrame, tempo: Staged, localidade: Staged, autor: Staged, r
 
 def build(trusted: DataFrame, rules: Rules = DEFAULT_RULES) -> Star:
     """All mart tables. The fact stays lazy; write it or stage it where it is reused."""
-    tempo = stage(dim_tempo(trusted, rules), "dim_tempo")
+    tempo = dim_tempo(trusted, rules)
     localidade = dim_localidade(trusted, rules)
     autor = dim_autor(trusted, rules)
     return Star(
@@ -100,7 +101,7 @@ def build(trusted: DataFrame, rules: Rules = DEFAULT_RULES) -> Star:
     )
 
 
-def _sums() -> list[Column]:
+def _parts() -> list[Column]:
     """Additive parts of the view measures, so that a view can group twice."""
     rate = F.col("taxa_execucao_pct").cast(MONEY)
     return [
@@ -117,68 +118,82 @@ def _mean_rate() -> Column:
     return F.try_divide(F.sum("_rate").cast("double"), F.sum("_rated"))
 
 
-def ranking_by_author(fato: DataFrame, autor: Staged | DataFrame) -> DataFrame:
-    """Authors by committed amount, with rank and running total.
+def author_totals(rows: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Per author: totals, mean rate and the simplified most frequent type.
 
-    The fact is summed up per author first; the dimension then joins one row per author
-    instead of one per record, and a prolific author costs no more than another.
+    One grouping by (author, type) serves both: its counts choose the type, its sums add
+    up. Nothing is joined, and a prolific author shrinks to a few rows before the shuffle.
     """
-    dim = autor.df if isinstance(autor, Staged) else autor
-    per_author = fato.where(F.col("autor_id").isNotNull()).groupBy("autor_id", "autor").agg(*_sums())
-    totals = per_author.join(dim.select("autor_id", "tipo_simplificado"), "autor_id").groupBy(
-        "autor", "tipo_simplificado"
-    ).agg(
-        F.sum("_committed").cast(MONEY).alias("total_empenhado"),
-        F.sum("_paid").cast("double").alias("total_pago"),
-        F.sum("_rows").alias("qtd_emendas"),
-        _mean_rate().alias("media_execucao"),
-    )
-    ranked = rank_and_running_total(totals, "total_empenhado", "autor", "rank_empenhado", "total_acumulado")
-    return published(ranked)
-
-
-def distribution_by_function_and_region(fato: DataFrame, funcao: DataFrame, localidade: DataFrame) -> DataFrame:
-    parts = fato.groupBy("funcao", "localidade_id").agg(*_sums())
+    pairs = rows.where(F.col("autor").isNotNull()).groupBy("autor", "tipoEmenda").agg(*_parts())
     return (
-        parts.join(funcao.select("funcao", "area_tematica"), "funcao")
-        .join(localidade.select("localidade_id", "regiao"), "localidade_id", "left")
-        .groupBy("funcao", "area_tematica", "regiao")
+        pairs.groupBy("autor")
         .agg(
-            F.sum("_rows").alias("qtd_emendas"),
-            F.sum("_committed").cast("double").alias("total_empenhado"),
+            F.min_by("tipoEmenda", F.struct(-F.col("_rows"), F.col("tipoEmenda"))).alias("_type"),
+            F.sum("_committed").cast(MONEY).alias("total_empenhado"),
             F.sum("_paid").cast("double").alias("total_pago"),
+            F.sum("_rows").alias("qtd_emendas"),
             _mean_rate().alias("media_execucao"),
-            F.sum("_showcases").alias("emendas_vitrine"),
         )
+        .withColumn("tipo_simplificado", rules.type_of(F.col("_type")))
+        .drop("_type")
     )
 
 
-def budget_execution(fato: DataFrame, localidade: DataFrame) -> DataFrame:
-    parts = fato.groupBy("funcao", "uf", "localidade_id").agg(*_sums())
-    share = F.sum("_showcases").cast("double") / F.sum("_rows") * 100
-    return (
-        parts.join(localidade.select("localidade_id", "regiao"), "localidade_id", "left")
-        .groupBy("funcao", "uf", "regiao")
-        .agg(
-            F.sum("_rows").alias("total_emendas"),
-            F.sum("_showcases").alias("vitrines"),
-            F.round(share, 1).alias("pct_vitrines"),
-            _mean_rate().alias("media_execucao"),
+def ranking_by_author(rows: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Authors by committed amount, with rank and running total."""
+    return published(
+        rank_and_running_total(
+            author_totals(rows, rules), "total_empenhado", ["autor"], "rank_empenhado", "total_acumulado"
         )
     )
 
 
+def place_region(rules: Rules = DEFAULT_RULES) -> Column:
+    """Region of a record's place: a function of its state, as in the place dimension.
+    NULL where place or state is missing, since no dimension row matches there."""
+    known = F.col("localidadeDoGasto").isNotNull() & F.col("uf").isNotNull()
+    return F.when(known, rules.region_of(F.col("uf")))
+
+
+def distribution_by_function_and_region(rows: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Totals by function, theme and region. The theme is a function of the function."""
+    totals = (
+        rows.where(F.col("funcao").isNotNull()).groupBy("funcao", place_region(rules).alias("regiao")).agg(*_parts())
+    )
+    return totals.select(
+        "funcao",
+        rules.theme_of(F.col("funcao")).alias("area_tematica"),
+        "regiao",
+        F.col("_rows").alias("qtd_emendas"),
+        F.col("_committed").cast("double").alias("total_empenhado"),
+        F.col("_paid").cast("double").alias("total_pago"),
+        F.try_divide(F.col("_rate").cast("double"), F.col("_rated")).alias("media_execucao"),
+        F.col("_showcases").alias("emendas_vitrine"),
+    )
+
+
+def budget_execution(rows: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Records, showcases and mean rate by function, state and region."""
+    totals = rows.groupBy("funcao", "uf", place_region(rules).alias("regiao")).agg(*_parts())
+    return totals.select(
+        "funcao",
+        "uf",
+        "regiao",
+        F.col("_rows").alias("total_emendas"),
+        F.col("_showcases").alias("vitrines"),
+        F.round(F.col("_showcases").cast("double") / F.col("_rows") * 100, 1).alias("pct_vitrines"),
+        F.try_divide(F.col("_rate").cast("double"), F.col("_rated")).alias("media_execucao"),
+    )
+
+
 # The names of the analytic views.
 VIEWS = ["vw_ranking_autores", "vw_distribuicao_funcao_regiao", "vw_execucao_orcamentaria"]
 
 
-def views(star: Star) -> dict[str, DataFrame]:
-    results = [
-        ranking_by_author(star.fato_emendas, star.dim_autor),
-        distribution_by_function_and_region(star.fato_emendas, star.dim_funcao.df, star.dim_localidade.df),
-        budget_execution(star.fato_emendas, star.dim_localidade.df),
-    ]
-    return dict(zip(VIEWS, results))
+def views(rows: DataFrame, rules: Rules = DEFAULT_RULES) -> dict[str, DataFrame]:
+    """The analytic views over the fact, or over trusted rows with their KPIs."""
+    makers = [ranking_by_author, distribution_by_function_and_region, budget_execution]
+    return {name: make(rows, rules) for name, make in zip(VIEWS, makers)}
 
 
 def register(tables: dict[str, DataFrame], names: Sequence[str] | None = None) -> None:

@@ -17,7 +17,6 @@ from ..staging import Staged
 from . import cleaning, features, mart
 
 
-
 def publish_trusted(raw: DataFrame, position: Sequence[str], folder: str, rules: Rules = DEFAULT_RULES) -> dict:
     """Contract, discard gate, then the write: a failed gate leaves the old table alone.
     Returns the quality summary."""
@@ -74,7 +73,7 @@ def read_star(spark: SparkSession, folder: str) -> mart.Star:
     fact = spark.read.parquet(f"{folder}/fato_emendas.parquet")
     money = [c for c, dtype in fact.dtypes if dtype == "double" and c != "taxa_execucao_pct"]
     return mart.Star(
-        table("dim_tempo"),
+        table("dim_tempo").df,
         table("dim_funcao"),
         table("dim_localidade"),
         table("dim_autor"),
@@ -82,10 +81,10 @@ def read_star(spark: SparkSession, folder: str) -> mart.Star:
     )
 
 
-def publish_views(star: mart.Star, folder: str) -> dict[str, int]:
-    return write_tables(mart.views(star), folder)
+def publish_views(star: mart.Star, folder: str, rules: Rules = DEFAULT_RULES) -> dict[str, int]:
+    return write_tables(mart.views(star.fato_emendas, rules), folder)
 
 
 def publish_features(star: mart.Star, folder: str, rules: Rules = DEFAULT_RULES) -> dict[str, int]:
-    table = features.features(star.fato_emendas, star.dim_autor, rules)
+    table = features.features(star.fato_emendas, rules)
     return write_tables({"features": table}, folder)
