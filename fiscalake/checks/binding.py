@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.lookups import lookup, period_of_year, simple_type
 from ..functions.text import upper_strip
-from ..plans import cleaning, mart
+from ..plans import cleaning, features, mart
 from ..rules import Rules
 from ..schemas import MONEY, NATIONAL, NO_STATE, RAW_COLUMNS
 from ..staging import Staged, stage
@@ -178,6 +178,11 @@ class Layers:
         regions, themes and types are functions of columns the rows already have."""
         return mart.with_kpis(self.trusted, RULES)
 
+    @property
+    def features(self) -> DataFrame:
+        """The feature table as a layer of its own, as it is published."""
+        return self._once("features", lambda: stage(features.features(self.serving, RULES), "features")).df
+
 
 _open: dict[tuple[str, str], Layers] = {}
 

@@ -689,23 +689,19 @@ def star_denormalised(spark, folder):
 # ---- features ------------------------------------------------------------------------
 
 
-def _features(spark, folder):
-    return features.features(layers(spark, folder).serving, RULES)
-
-
 @query
 def feature_table(spark, folder):
-    return _features(spark, folder)
+    return features.features(layers(spark, folder).serving, RULES)
 
 
 @query
 def label_correlation(spark, folder):
-    return features.feature_ranking(_features(spark, folder), 6)
+    return features.feature_ranking(layers(spark, folder).features, 6)
 
 
 @query
 def correlation_matrix(spark, folder):
-    return features.feature_matrix(_features(spark, folder), 6)
+    return features.feature_matrix(layers(spark, folder).features, 6)
 
 
 @query
