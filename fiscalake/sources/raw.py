@@ -38,13 +38,18 @@ def read_json(
 
 
 def read_documents(spark: SparkSession, paths: str | Sequence[str], lines: bool = False) -> DataFrame:
-    """The same files as VARIANT objects ``v``, which keep each value's own type."""
-    return (
+    """The same records as VARIANT objects ``v``, which keep each value's own type, with
+    their place ``_at``."""
+    files = (
         spark.read.option("singleVariantColumn", "v")
         .option("multiLine", not lines)
         .json(paths if isinstance(paths, str) else list(paths))
-        .withColumn("_at", F.monotonically_increasing_id())
+        .select("v", F.monotonically_increasing_id().alias("_file"))
     )
+    if lines:
+        return files.select("v", F.struct("_file").alias("_at"))
+    items = files.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+    return items.select(F.col("value").alias("v"), F.struct("_file", "pos").alias("_at"))
 
 
 def parse_name(name: Column) -> dict[str, Column]:
