@@ -115,7 +115,7 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
         F.col("n_name").alias("localidadeDoGasto"),
         F.col("o_orderpriority").alias("funcao"),
         F.col("o_orderstatus").alias("subfuncao"),
-        F.col("o_totalprice").cast(MONEY).alias("valorEmpenhado"),
+        _money(_hundredths("o_totalprice"), 2).alias("valorEmpenhado"),
         *RAW_COLUMNS[10:],
     )
 

@@ -183,18 +183,14 @@ def json_roundtrip(spark, folder):
 
 @query
 def json_pages(spark, folder):
-    """Orders landed as pages, one JSON array of at most 100 records per line."""
-    orders = table(spark, folder, "orders")
+    """Orders landed as one JSON array per line."""
     record = F.struct(
         F.col("o_orderkey").cast("string").alias("codigoEmenda"),
         F.year("o_orderdate").alias("ano"),
         F.col("o_orderstatus").alias("subfuncao"),
     )
-    pages = orders.groupBy(F.floor(F.col("o_orderkey") / 100).alias("pagina")).agg(
-        F.to_json(F.collect_list(record)).alias("value")
-    )
     path = fresh_path(spark, "pages")
-    pages.select("value").write.text(path)
+    table(spark, folder, "orders").select(F.to_json(F.array(record))).write.text(path)
     return raw.read_json(spark, path, lines=True).select("codigoEmenda", "ano", "subfuncao")
 
 

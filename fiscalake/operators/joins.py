@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import Staged
@@ -49,13 +50,12 @@ def salted_join(
     hot = F.broadcast(
         sizes.where(F.col("_n") > limit).select(*on, F.ceil(F.col("_n") / limit).cast("int").alias("_salts"))
     )
-    # The salt comes from the row itself, so a repeated task repeats it.
+    # The salt comes from the row itself, so a repeated task repeats it. Rows without a
+    # key match nothing and may go anywhere; left alone they would all go to one task.
     salts = F.coalesce(F.col("_salts"), F.lit(1))
-    left = rows.join(hot, on, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*rows.columns), salts).cast("int")
-    )
-    right = table.join(hot, on, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
-    )
+    keyless = reduce(Column.__or__, [F.col(c).isNull() for c in on])
+    spread = F.when(keyless, MAX_HOT_KEYS).otherwise(salts)
+    left = rows.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), spread).cast("int"))
+    right = table.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     joined = left.drop("_salts").join(right.drop("_salts"), [*on, "_salt"], how)
     return joined.drop("_salt")

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..staging import stage
+
 # The names under which value types are reported.
 TYPE_NAMES = {
     "string": "str",
@@ -30,24 +32,20 @@ def profile_fields(df: DataFrame, position: str, columns: Sequence[str] | None =
     """One row per field: type, total, nulls (NULL or ''), cardinality, first example in
     the order of ``position``, and the sorted values where there are at most 20."""
     columns = list(columns or df.columns)
-    types = dict(df.dtypes)
     cells = [
-        F.struct(
-            F.lit(c).alias("campo"),
-            F.lit(_type_name(types[c])).alias("tipo"),
-            F.nullif(F.col(c).cast("string"), F.lit("")).alias("valor"),
-        )
+        F.struct(F.lit(c).alias("campo"), F.nullif(F.col(c).cast("string"), F.lit("")).alias("valor"))
         for c in columns
     ]
-    entries = df.select(F.col(position).alias("_at"), F.inline(F.array(*cells)))
-    return _profile(entries)
+    types = dict(df.dtypes)
+    named = F.create_map(*[F.lit(x) for c in columns for x in (c, _type_name(types[c]))])
+    described = _profile(df.select(F.col(position).alias("_at"), F.inline(F.array(*cells))))
+    return _shown(described.withColumn("tipo", named[F.col("campo")]))
 
 
 def profile_documents(documents: DataFrame, body: str = "v", position: str = "_at") -> DataFrame:
     """The same profile of JSON objects held in a VARIANT column. Each value has a type
-    of its own here, and a field that an object lacks counts as null."""
-    total = documents.agg(F.count(F.lit(1))).scalar()
-    # The position is taken before the explode: afterwards the function would number fields.
+    of its own here, of which the most frequent counts, and a field that an object lacks
+    is null in it."""
     cells = documents.select(F.col(position).alias("_at"), F.col(body).alias("_body"))
     fields = cells.lateralJoin(
         documents.sparkSession.tvf.variant_explode(F.col("_body").outer())
@@ -57,58 +55,49 @@ def profile_documents(documents: DataFrame, body: str = "v", position: str = "_a
         F.lower(F.schema_of_variant("value")).alias("_type"),
         F.nullif(F.col("value").cast("string"), F.lit("")).alias("valor"),
     )
+    total = documents.agg(F.count(F.lit(1))).scalar()
+    kinds = fields.where("valor is not null").groupBy("campo", "_type").agg(F.count(F.lit(1)).alias("_n"))
     named = F.when(F.col("_type").startswith("decimal"), "float")
     for simple, name in TYPE_NAMES.items():
         named = named.when(F.col("_type") == simple, name)
-    entries = fields.select("_at", "campo", named.otherwise(F.col("_type")).alias("tipo"), "valor")
-    return _profile(entries).withColumn("nulos", F.col("nulos") + total - F.col("total")).withColumn(
-        "total", total
-    )
+    kinds = kinds.groupBy("campo", named.otherwise(F.col("_type")).alias("tipo")).agg(F.sum("_n").alias("_n"))
+    modal = kinds.groupBy("campo").agg(F.min_by("tipo", F.struct(-F.col("_n"), F.col("tipo"))).alias("tipo"))
+    described = _profile(fields.select("_at", "campo", "valor")).join(modal, "campo", "left")
+    return _shown(described.withColumn("total", total))
 
 
 def _profile(entries: DataFrame) -> DataFrame:
-    """Profile (_at, campo, tipo, valor) rows.
+    """Counts of (_at, campo, valor) rows, per field, and the values of the fields with few.
 
-    Equal values meet first, so a hot value is one row per task before any field is
-    summed up, and a list of values is only built for fields known to have few.
+    Equal values meet first, so a hot value is one row per task before a field is summed
+    up. The counts, one row per field, are written out; only then are the values listed,
+    and only of fields known to have few, so no list can grow.
     """
-    values = entries.groupBy("campo", "tipo", "valor").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_at")
-    )
+    values = entries.groupBy("campo", "valor").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_at"))
     filled = F.col("valor").isNotNull()
-    kinds = values.groupBy("campo", "tipo").agg(
-        F.sum("_n").alias("_total"),
+    counts = values.groupBy("campo").agg(
+        F.sum("_n").alias("total"),
         F.sum(F.when(filled, F.col("_n")).otherwise(0)).alias("_filled"),
-        F.min(F.when(filled, F.struct("_at", "valor"))).alias("_first"),
-    )
-    fields = kinds.groupBy("campo").agg(
-        F.min_by("tipo", F.struct(-F.col("_filled"), F.col("tipo"))).alias("_tipo"),
-        F.sum("_total").alias("total"),
-        F.sum("_filled").alias("_filled"),
-        F.min("_first")["valor"].alias("exemplo"),
-    )
-    texts = values.where(filled).groupBy("campo", "valor").agg(F.sum("_n").alias("_n"))
-    sizes = texts.groupBy("campo").agg(F.count(F.lit(1)).alias("cardinalidade"))
-    few = F.broadcast(sizes.where(F.col("cardinalidade") <= LIST_LIMIT).select("campo"))
-    lists = (
-        texts.join(few, "campo", "left_semi")
-        .groupBy("campo")
-        .agg(F.sort_array(F.collect_list("valor")).alias("valores_unicos"))
+        F.count("valor").alias("cardinalidade"),
+        F.min(F.when(filled, F.struct("_at", "valor")))["valor"].alias("exemplo"),
     )
-    return (
-        fields.join(sizes, "campo", "left")
-        .join(lists, "campo", "left")
-        .select(
-            "campo",
-            F.when(F.col("_filled") > 0, F.col("_tipo")).otherwise("null").alias("tipo"),
-            "total",
-            (F.col("total") - F.col("_filled")).alias("nulos"),
-            F.coalesce("cardinalidade", F.lit(0)).alias("cardinalidade"),
-            "exemplo",
-            F.when(F.col("_filled") > 0, F.col("valores_unicos")).otherwise(F.array().cast("array<string>")).alias(
-                "valores_unicos"
-            ),
-        )
+    fields = stage(counts, "profile").df
+    few = F.broadcast(fields.where(F.col("cardinalidade") <= LIST_LIMIT).select("campo"))
+    listed = entries.where(filled).join(few, "campo", "left_semi").groupBy("campo", "valor").count()
+    lists = listed.groupBy("campo").agg(F.sort_array(F.collect_list("valor")).alias("valores_unicos"))
+    return fields.join(F.broadcast(lists), "campo", "left")
+
+
+def _shown(described: DataFrame) -> DataFrame:
+    some = F.col("_filled") > 0
+    return described.select(
+        "campo",
+        F.when(some, F.col("tipo")).otherwise("null").alias("tipo"),
+        "total",
+        (F.col("total") - F.col("_filled")).alias("nulos"),
+        "cardinalidade",
+        "exemplo",
+        F.when(some, F.col("valores_unicos")).otherwise(F.array().cast("array<string>")).alias("valores_unicos"),
     )
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.profile import fingerprint, profile_document, profile_fields
 from ..staging import exists, write_counted
@@ -38,11 +39,10 @@ def current_entries(ledger: DataFrame) -> DataFrame:
 def pending(batch: DataFrame, ledger: DataFrame, force: bool = False, key: str = "ano") -> DataFrame:
     """Rows of ``batch`` whose key has no ledger entry; all of them with ``force``.
 
-    A ledger has one entry per load, so its keys are few and known before the join.
+    Spark broadcasts the ledger's keys if their size allows it, as it does for a ledger
+    with one entry per load.
     """
-    if force:
-        return batch
-    return batch.join(F.broadcast(ledger.select(key).distinct()), key, "left_anti")
+    return batch if force else batch.join(ledger.select(key).distinct(), key, "left_anti")
 
 
 def require_rows(df: DataFrame) -> DataFrame:
@@ -92,13 +92,21 @@ def land(
     return True
 
 
-def read_landed(spark: SparkSession, folder: str, years: Sequence[int] | None = None) -> DataFrame:
+def read_landed(
+    spark: SparkSession, folder: str, years: Sequence[int] | None = None, schema: StructType | None = None
+) -> DataFrame:
     """The current load of each year. History stays on disk; the ledger's partitions
-    alone are read, and ``years`` prunes them further."""
+    alone are read, and ``years`` prunes them further.
+
+    Loads with different columns are united by name: under ``schema``, or else under the
+    union of their own schemas, for which Spark has to open every file.
+    """
     current = current_entries(read_ledger(spark, folder))
     if years is not None:
         current = current.where(F.col("ano").isin(list(years)))
     paths = [row["arquivo"] for row in current.orderBy("ano").collect()]
     if not paths:
         raise EmptyLoad(f"nothing landed in {folder}")
-    return spark.read.option("basePath", f"{folder}/dados").option("mergeSchema", True).parquet(*paths)
+    reader = spark.read.option("basePath", f"{folder}/dados")
+    reader = reader.schema(schema) if schema else reader.option("mergeSchema", True)
+    return reader.parquet(*paths)

@@ -182,3 +182,12 @@ def test_results_do_not_depend_on_partitions(trusted):
     one = mart.ranking_by_author(mart.with_kpis(trusted.coalesce(1)))
     many = mart.ranking_by_author(mart.with_kpis(trusted.repartition(13)))
     assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
+
+
+def test_rows_without_a_key_are_spread(spark):
+    """A third of the rows have no key; in a salted join they do not meet in one task."""
+    rows = spark.range(9000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 100).alias("k"), "id")
+    table = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    joined = joins.salted_join(rows.hint("shuffle_hash"), table, ["k"], rows_per_task=50)
+    assert joined.count() == 9000 and joined.where("v is null").count() == 3000
+    assert joined.where("k is null").select("id").distinct().count() == 3000
