@@ -835,6 +835,35 @@ _sql(
     """SELECT valorEmpenhado::DOUBLE AS valorEmpenhado, taxa_execucao_pct, funcao, autor, localidadeDoGasto
     FROM kpi_rows WHERE valorEmpenhado > 0""",
 )
+_PCT = "replace(format('{{:.1f}}', {0}), '.', ',') || '%'"
+_sql(
+    "executive_summary",
+    ["kpi_rows"],
+    f"""SELECT {_BR.format('n::DOUBLE', 0)} AS emendas, 'R$ ' || {_BR.format('e', 0)} AS empenhado,
+      'R$ ' || {_BR.format('p', 0)} AS pago, {_PCT.format('p / e * 100')} AS execucao,
+      {_BR.format('v::DOUBLE', 0)} AS vitrines, 'R$ ' || {_BR.format('ve', 0)} AS valor_vitrines
+    FROM (SELECT count(*) AS n, sum(valorEmpenhado)::DOUBLE AS e, sum(valorPago)::DOUBLE AS p,
+      count(*) FILTER (emenda_vitrine) AS v,
+      coalesce(sum(valorEmpenhado) FILTER (emenda_vitrine), 0)::DOUBLE AS ve FROM kpi_rows)""",
+)
+_sql(
+    "report_states",
+    ["by_state"],
+    f"SELECT posicao, uf, 'R$ ' || {_BR.format('total', 0)} AS total, qtd FROM ({_top('by_state', 'total', 'uf', 10)})",
+)
+_sql(
+    "report_showcases",
+    ["kpi_rows"],
+    f"""SELECT * REPLACE ('R$ ' || {_BR.format('valorEmpenhado', 0)} AS valorEmpenhado,
+      'R$ ' || {_BR.format('valorPago', 0)} AS valorPago, {_PCT.format('taxa_execucao_pct')} AS taxa_execucao_pct)
+    FROM ({_top(f"(SELECT {_SHOW} FROM kpi_rows WHERE emenda_vitrine)", "valorEmpenhado", "codigoEmenda", 20)})""",
+)
+_sql(
+    "report_authors",
+    ["by_author"],
+    f"""SELECT posicao, autor, 'R$ ' || format('{{:,.2f}}', total_empenhado) AS empenhado
+    FROM ({_top('by_author', 'total_empenhado', 'autor', 10)})""",
+)
 _FUNCTIONS = "funcao IN ('1-Urgent', '5-Low')"
 _SETTINGS = {
     "tudo": _FUNCTIONS,

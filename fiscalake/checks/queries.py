@@ -783,6 +783,26 @@ def scatter_set(spark, folder):
     return serving.scatter(layers(spark, folder).serving)
 
 
+@query
+def executive_summary(spark, folder):
+    return serving.executive_summary(layers(spark, folder).serving)
+
+
+@query
+def report_states(spark, folder):
+    return serving.report_states(layers(spark, folder).serving)
+
+
+@query
+def report_showcases(spark, folder):
+    return serving.report_showcases(layers(spark, folder).serving)
+
+
+@query
+def report_authors(spark, folder):
+    return serving.report_authors(layers(spark, folder).serving)
+
+
 @query
 def filtered_working_set(spark, folder):
     """Counts under several filter settings, among them the empty lists."""

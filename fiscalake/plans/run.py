@@ -11,16 +11,17 @@ from ..operators.contract import enforce
 from ..operators.profile import data_dictionary
 from ..rules import DEFAULT_RULES, Rules
 from ..schemas import MONEY
-from ..sources.landing import require_rows
+from ..sources import raw
+from ..sources.landing import land, read_landed, read_ledger, require_rows
 from ..sources.layers import dictionary_json, staged, write_tables
 from ..staging import Staged
 from . import cleaning, features, mart
 
 
-def publish_trusted(raw: DataFrame, position: Sequence[str], folder: str, rules: Rules = DEFAULT_RULES) -> dict:
+def publish_trusted(records: DataFrame, position: Sequence[str], folder: str, rules: Rules = DEFAULT_RULES) -> dict:
     """Contract, discard gate, then the write: a failed gate leaves the old table alone.
     Returns the quality summary."""
-    window = cleaning.in_window(raw, rules)
+    window = cleaning.in_window(records, rules)
     checked = enforce(window, cleaning.raw_contract(rules))
     quality = cleaning.require_quality(cleaning.discard_summary(checked, position, rules), rules)
     trusted = cleaning.trusted_zero(checked, position, rules)
@@ -29,7 +30,7 @@ def publish_trusted(raw: DataFrame, position: Sequence[str], folder: str, rules:
 
 
 def publish_trusted_and_quarantine(
-    raw: DataFrame,
+    records: DataFrame,
     tie_break: Sequence[str],
     staging_path: str,
     trusted_folder: str,
@@ -38,7 +39,7 @@ def publish_trusted_and_quarantine(
     force: bool = False,
 ) -> dict[str, int]:
     """The null-keeping flavour with its quarantine. Returns the row counts."""
-    staging = staged(cleaning.staging_rows(raw, rules), staging_path, force)
+    staging = staged(cleaning.staging_rows(records, rules), staging_path, force)
     require_rows(staging)
     rejected = mart.published(cleaning.quarantine(staging, rules))
     trusted = mart.published(cleaning.trusted_null(staging, tie_break, rules))
@@ -88,3 +89,26 @@ def publish_views(star: mart.Star, folder: str, rules: Rules = DEFAULT_RULES) ->
 def publish_features(star: mart.Star, folder: str, rules: Rules = DEFAULT_RULES) -> dict[str, int]:
     table = features.features(star.fato_emendas, rules)
     return write_tables({"features": table}, folder)
+
+
+def run_all(
+    spark: SparkSession, raw_folder: str, target: str, rules: Rules = DEFAULT_RULES, force: bool = False
+) -> dict[str, int]:
+    """Current raw files -> landed loads -> trusted -> mart, views and features.
+
+    Each year is landed once unless ``force``; the later layers are always rebuilt from
+    the current loads. A gate that fails stops the run before its layer is replaced.
+    """
+    landed, trusted_folder, mart_folder = f"{target}/raw", f"{target}/trusted", f"{target}/mart"
+    files = raw.select_current(raw.list_files(spark, raw_folder), read_ledger(spark, raw_folder))
+    chosen = files.where(F.col("ano").isin(rules.years)).orderBy("ano").collect()
+    if not chosen:
+        raise raw.NoRawData(f"no raw file in {raw_folder}")
+    for row in chosen:
+        batch = raw.read_json(spark, row["path"], positioned=True)
+        land(batch, landed, row["ano"], row["arquivo"].removesuffix(".json"), "_at", row["origem"], force)
+    records = read_landed(spark, landed).withColumn("ano", F.col("ano").cast("long"))
+    publish_trusted(records, ["ano", "_file", "_at"], trusted_folder, rules)
+    counts = publish_mart(read_trusted(spark, trusted_folder), mart_folder, rules)
+    star = read_star(spark, mart_folder)
+    return counts | publish_views(star, mart_folder, rules) | publish_features(star, f"{target}/feat", rules)

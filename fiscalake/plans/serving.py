@@ -8,7 +8,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.money import exact_sum, execution_rate, is_showcase_for_display, ratio
+from ..functions.money import (
+    exact_sum,
+    execution_rate,
+    format_money_br,
+    format_number_br,
+    format_pct_br,
+    is_showcase_for_display,
+    ratio,
+)
 from ..operators.joins import lookup_join
 from ..operators.statistics import histogram
 from ..rules import DEFAULT_RULES, Rules
@@ -212,3 +220,40 @@ def coverage(df: DataFrame) -> DataFrame:
 def rate_histogram(df: DataFrame, low: float = 0.0, high: float = 101.0, bins: int = 20) -> DataFrame:
     rows = df.where(F.col("valorEmpenhado") > 0)
     return histogram(rows, "taxa_execucao_pct", low, high, bins, "funcao")
+
+
+def executive_summary(df: DataFrame) -> DataFrame:
+    """The report's headline figures as Brazilian text: records, committed, paid, the
+    ratio of the sums, and count and value of the flagged showcases."""
+    committed, paid = exact_sum(F.col("valorEmpenhado")), exact_sum(F.col("valorPago"))
+    flagged = exact_sum(F.when(F.col("emenda_vitrine"), F.col("valorEmpenhado")))
+    return df.agg(
+        format_number_br(F.count(F.lit(1))).alias("emendas"),
+        format_money_br(committed).alias("empenhado"),
+        format_money_br(paid).alias("pago"),
+        format_pct_br(ratio(paid, committed) * 100).alias("execucao"),
+        format_number_br(F.count_if("emenda_vitrine")).alias("vitrines"),
+        format_money_br(F.coalesce(flagged, F.lit(0.0))).alias("valor_vitrines"),
+    )
+
+
+def report_states(df: DataFrame, n: int = 10) -> DataFrame:
+    """The ranking of states as the report prints it."""
+    return top_states(df, n).select("posicao", "uf", format_money_br(F.col("total")).alias("total"), "qtd")
+
+
+def report_showcases(df: DataFrame, n: int = 20) -> DataFrame:
+    """The largest flagged showcases as the report prints them."""
+    return top_showcases(df, n).withColumns(
+        {
+            "valorEmpenhado": format_money_br(F.col("valorEmpenhado")),
+            "valorPago": format_money_br(F.col("valorPago")),
+            "taxa_execucao_pct": format_pct_br(F.col("taxa_execucao_pct")),
+        }
+    )
+
+
+def report_authors(df: DataFrame, n: int = 10) -> DataFrame:
+    """The top authors as the dashboard prints them, in its own number format."""
+    amount = F.concat(F.lit("R$ "), F.format_number("total_empenhado", 2))
+    return top_authors(df, n).select("posicao", F.col("autor"), amount.alias("empenhado"))

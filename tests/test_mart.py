@@ -191,3 +191,23 @@ def test_rows_without_a_key_are_spread(spark):
     joined = joins.salted_join(rows.hint("shuffle_hash"), table, ["k"], rows_per_task=50)
     assert joined.count() == 9000 and joined.where("v is null").count() == 3000
     assert joined.where("k is null").select("id").distinct().count() == 3000
+
+
+def test_all_layers_in_turn(spark, many_records, write_json, tmp_path):
+    # Year 2020 comes in two files, of which the newer one is current.
+    write_json("raw/emendas_2020_20240101_000000.json", many_records[:3])
+    for year in (2020, 2021):
+        rows = [r | {"ano": year, "codigoEmenda": f"{year}-{r['codigoEmenda']}"} for r in many_records]
+        write_json(f"raw/emendas_{year}_20240201_000000.json", rows)
+    target = str(tmp_path / "out")
+    counts = run.run_all(spark, str(tmp_path / "raw"), target)
+    assert counts["dim_tempo"] == 2 and counts["fato_emendas"] == spark.read.parquet(
+        f"{target}/trusted/emendas_trusted.parquet"
+    ).count()
+    assert run.run_all(spark, str(tmp_path / "raw"), target) == counts
+    assert spark.read.json(f"{target}/raw/ledger").count() == 2
+    firsts = {}
+    for r in many_records:
+        firsts.setdefault(r["codigoEmenda"], r["numeroEmenda"])
+    kept = spark.read.parquet(f"{target}/trusted/emendas_trusted.parquet").where("ano = 2021").collect()
+    assert all(firsts[r["codigoEmenda"].split("-")[1]] == r["numeroEmenda"] for r in kept)
