@@ -134,12 +134,13 @@ class Layers:
 
     @property
     def records(self) -> DataFrame:
-        return records(self.spark, self.folder)
+        """The raw layer: both cleaning flavours, contract and accounting start here."""
+        return self._once("records", lambda: stage(records(self.spark, self.folder), "records")).df
 
     @property
     def trusted_plan(self) -> DataFrame:
         """Trusted rows straight from the source tables, for a single consumer."""
-        return cleaning.trusted_zero(self.records, POSITION, RULES)
+        return cleaning.trusted_zero(records(self.spark, self.folder), POSITION, RULES)
 
     @property
     def trusted(self) -> DataFrame:

@@ -28,7 +28,7 @@ def _type(t: pa.DataType) -> str:
 
 def differences(con: duckdb.DuckDBPyConnection, got: pa.Table, sql: str) -> list[str]:
     """What differs between a result and its SQL twin, rows as a bag; empty if nothing."""
-    want = con.execute(sql).to_arrow_table()
+    want = con.sql(sql).to_arrow_table()
     if sorted(got.column_names) != sorted(want.column_names):
         return [f"columns {sorted(got.column_names)} != {sorted(want.column_names)}"]
     want = want.select(got.column_names)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..plans.cleaning import typed
 from ..plans.serving import with_serving_columns
 from ..rules import DEFAULT_RULES, Rules
-from ..staging import exists, write_counted
+from ..staging import exists, replace_table
 from . import raw
 
 
@@ -31,10 +31,9 @@ def register_table(spark: SparkSession, path: str, view: str) -> DataFrame:
 
 
 def write_tables(tables: Mapping[str, DataFrame], folder: str, compression: str = "snappy") -> dict[str, int]:
-    """Each table as Parquet of its own; returns the rows written, counted on the way."""
-    return {
-        name: write_counted(df, f"{folder}/{name}.parquet", compression, "overwrite") for name, df in tables.items()
-    }
+    """Each table as Parquet of its own, replacing the one there only when it is complete;
+    returns the rows written, counted on the way."""
+    return {name: replace_table(df, f"{folder}/{name}.parquet", compression) for name, df in tables.items()}
 
 
 def staged(df: DataFrame, path: str, force: bool = False, compression: str = "zstd") -> DataFrame:
@@ -43,7 +42,7 @@ def staged(df: DataFrame, path: str, force: bool = False, compression: str = "zs
     mistaken for an old one."""
     spark = df.sparkSession
     if force or not exists(spark, f"{path}/_SUCCESS"):
-        write_counted(df, path, compression, "overwrite")
+        replace_table(df, path, compression)
     return spark.read.parquet(path)
 
 

@@ -57,6 +57,22 @@ def write_counted(df: DataFrame, path: str, compression: str = "zstd", mode: str
     return seen.get["rows"]
 
 
+def replace_table(df: DataFrame, path: str, compression: str = "snappy") -> int:
+    """Write beside ``path`` and swap the finished table in, so that a job that fails
+    leaves the table that was there. Returns the row count."""
+    spark = df.sparkSession
+    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    rows = write_counted(df, fresh, compression)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(hadoop(path)):
+        files.rename(hadoop(path), hadoop(old))
+    if not files.rename(hadoop(fresh), hadoop(path)):
+        raise OSError(f"cannot publish {path}")
+    files.delete(hadoop(old), True)
+    return rows
+
+
 def stage(df: DataFrame, name: str, compression: str = "zstd") -> Staged:
     """Write ``df`` once and read it back, so that every consumer shares the work."""
     spark = df.sparkSession

@@ -12,42 +12,11 @@ from fiscalake.plans import cleaning, mart, serving
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
 
-# Results of a bounded size may end in one task: top lists and tables known to be small.
-BOUNDED = {
-    "top_functions",
-    "top_authors",
-    "top_states",
-    "top_showcases",
-    "uf_share",
-    "rank_authors",
-    "dim_function",
-    "dim_place",
-    "dim_author",
-    "modal_attribute",
-    "surrogate_key",
-    "global_rank",
-    "star_denormalised",
-    "data_dictionary",
-    "fact_joins",
-    "fact",
-}
-
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_cross_join_and_no_python(spark, name):
-    text = plan(QUERIES[name](spark, FOLDER))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "InPandas"):
-        assert operator not in text
-    if name not in BOUNDED:
-        # The only rows that meet in one task are one-row aggregates of partial results.
-        for part in re.findall(r"Window \[[^\n]*", text):
-            assert re.search(r"\], \[[^\]]+\], \[", part), part
-
-
 def test_years_and_columns_reach_the_scan(spark):
     trusted = layers(spark, FOLDER).trusted
     text = plan(serving.by_state(cleaning.in_window(trusted, RULES)))
