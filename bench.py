@@ -43,7 +43,7 @@ WARM = [
     "exec_function_place",
     "fact_joins",
     "star_denormalised",
-    "feature_table",
+    "features",
     "label_correlation",
     "correlation_matrix",
     "kpis",

@@ -98,12 +98,17 @@ def line_amounts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def records(spark: SparkSession, folder: str) -> DataFrame:
-    """All orders as raw records, with amounts already numeric."""
+def records(spark: SparkSession, folder: str, rules: Rules | None = None) -> DataFrame:
+    """All orders as raw records, with amounts already numeric. With ``rules``, only those
+    of the valid years, as a range of dates that reaches the files."""
     customers = table(spark, folder, "customer").join(
         table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), "c_nationkey"
     )
-    orders = table(spark, folder, "orders").join(line_amounts(spark, folder), "o_orderkey", "left")
+    orders = table(spark, folder, "orders")
+    if rules:
+        first, after = f"{rules.first_year}-01-01", f"{rules.last_year + 1}-01-01"
+        orders = orders.where((F.col("o_orderdate") >= first) & (F.col("o_orderdate") < after))
+    orders = orders.join(line_amounts(spark, folder), "o_orderkey", "left")
     joined = orders.join(customers.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")
     return joined.select(
         F.col("o_orderkey").cast("string").alias("codigoEmenda"),
@@ -140,7 +145,7 @@ class Layers:
     @property
     def trusted_plan(self) -> DataFrame:
         """Trusted rows straight from the source tables, for a single consumer."""
-        return cleaning.trusted_zero(records(self.spark, self.folder), POSITION, RULES)
+        return cleaning.trusted_zero(records(self.spark, self.folder, RULES), POSITION, RULES)
 
     @property
     def trusted(self) -> DataFrame:

@@ -701,7 +701,7 @@ _sql(
       LEFT JOIN dim_localidade dl ON f.localidade_id = dl.localidade_id LEFT JOIN dim_funcao df ON f.funcao = df.funcao
       LEFT JOIN dim_autor da ON f.autor_id = da.autor_id""",
 )
-_sql("feature_table", ["features"], "SELECT * FROM features")
+_sql("features", ["features"], "SELECT * FROM features")
 _FEATURES = [
     "valorEmpenhado",
     "taxa_execucao_pct",

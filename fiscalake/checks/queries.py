@@ -21,8 +21,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(make: Query) -> Query:
-    QUERIES[make.__name__] = make
+def query(make: Query, name: str | None = None) -> Query:
+    QUERIES[name or make.__name__] = make
     return make
 
 
@@ -685,11 +685,13 @@ def star_denormalised(spark, folder):
 # ---- features ------------------------------------------------------------------------
 
 
-@query
 def feature_table(spark, folder):
     return features.features(layers(spark, folder).serving, RULES)
 
 
+query(feature_table, "features")
+
+
 @query
 def label_correlation(spark, folder):
     return features.feature_ranking(layers(spark, folder).features, 6)

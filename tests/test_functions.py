@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 import pytest
@@ -134,3 +135,11 @@ def test_rates_and_showcase_edges(spark):
     assert [r["rate"] for r in rows] == [0, 10, 9.99, 0, 0, 33.33, None]
     assert [r["flag"] for r in rows] == [False, False, True, True, True, False, False]
     assert [r["shown"] for r in rows[:6]] == [False, False, False, False, True, False]
+
+
+def test_case_and_strip_on_random_text(spark):
+    chooser = random.Random(7)
+    alphabet = "aAbBzZ çÇãÃéÉíÓõÜ ñß'’-–_./()&0123º ª\t\n\r\x1f\x85  　"
+    values = ["".join(chooser.choices(alphabet, k=chooser.randint(0, 14))) for _ in range(5000)]
+    assert column(spark, values, text.title_case) == [v.title() for v in values]
+    assert column(spark, values, text.upper_strip) == [v.strip().upper() for v in values]

@@ -211,3 +211,13 @@ def test_all_layers_in_turn(spark, many_records, write_json, tmp_path):
         firsts.setdefault(r["codigoEmenda"], r["numeroEmenda"])
     kept = spark.read.parquet(f"{target}/trusted/emendas_trusted.parquet").where("ano = 2021").collect()
     assert all(firsts[r["codigoEmenda"].split("-")[1]] == r["numeroEmenda"] for r in kept)
+
+
+def test_an_empty_table_gives_empty_results(trusted):
+    nothing = trusted.where("ano = 1900")
+    star = mart.build(nothing)
+    assert star.fato_emendas.isEmpty() and star.dim_autor.rows == 0
+    assert mart.ranking_by_author(star.fato_emendas).isEmpty()
+    table = features.features(star.fato_emendas)
+    assert table.isEmpty()
+    assert all(r["correlation"] is None for r in features.feature_ranking(table).collect())

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from fiscalake.operators import profile
 from fiscalake.plans import cleaning, mart
 from fiscalake.sources import landing, layers, raw
+from fiscalake.streaming import landing as streaming
 
 from .conftest import record
 
@@ -187,3 +188,17 @@ def test_fingerprint_ignores_order_but_not_content(spark):
     assert profile.fingerprint(df.repartition(5)).first()["hash"] == base
     assert profile.fingerprint(df.unionAll(df.limit(1))).first()["hash"] != base
     assert profile.fingerprint(df.withColumn("v", F.coalesce("v", F.lit("")))).first()["hash"] != base
+
+
+def test_page_files_land_once_each(spark, write_json, tmp_path):
+    pages, target, checkpoint = (str(tmp_path / p) for p in ("pages", "landed", "checkpoint"))
+    write_json("pages/pagina_1.json", [record("A"), record("B")])
+    write_json("pages/pagina_3.json", [record("C")])
+    assert streaming.land_new_pages(spark, pages, target, checkpoint) == 3
+    assert not raw.page_completeness(spark.read.parquet(target)).first()["completa"]
+    assert streaming.land_new_pages(spark, pages, target, checkpoint) == 0
+    write_json("pages/pagina_2.json", [record("D")])
+    assert streaming.land_new_pages(spark, pages, target, checkpoint) == 1
+    landed = spark.read.parquet(target)
+    assert sorted(r["codigoEmenda"] for r in landed.collect()) == ["A", "B", "C", "D"]
+    assert raw.page_completeness(landed).first()["completa"]
