@@ -85,30 +85,30 @@ def rank_and_running_total(
             F.rank().over(Window.orderBy(F.desc(value))).cast("long").alias(rank_out),
             F.sum(value).over(Window.orderBy(*order).rowsBetween(*upto)).alias(running_out),
         )
-    here = Window.partitionBy("_part")
-    local = rows.withColumn("_run", F.sum(value).over(here.orderBy("_pos").rowsBetween(*upto))).withColumn(
-        "_rank", F.rank().over(here.orderBy(F.desc(value))).cast("long")
-    )
-
-    parts = local.groupBy("_part").agg(
+    parts = rows.groupBy("_part").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum(value).alias("_sum"),
         F.max(value).alias("_first"),
-        F.min(value).alias("_last"),
-        F.max("_rank").alias("_last_rank"),
+        F.min(F.struct(F.col(value).alias("value"), F.col("_pos").alias("begun"))).alias("_last"),
     )
     parts = parts.select(
         "_part",
         "_first",
-        "_last",
+        F.col("_last.value").alias("_last"),
         _before("_n").cast("long").alias("_rows_before"),
         _before("_sum").alias("_sum_before"),
-        "_last_rank",
-    ).withColumn("_last_rank", F.col("_last_rank") + F.col("_rows_before"))
-    # Where the run of each partition's last value begins, counted over all rows.
-    runs = parts.groupBy(F.col("_last").alias("_first")).agg(F.min("_last_rank").alias("_begun"))
-    parts = parts.join(F.broadcast(runs), "_first", "left")
-
+        F.col("_last.begun").alias("_begun"),
+    ).withColumn("_begun", F.col("_begun") + F.col("_rows_before") + 1)
+    # The rank at which the run of each partition's last value begins.
+    runs = parts.groupBy(F.col("_last").alias("_first")).agg(F.min("_begun").alias("_begun"))
+    parts = parts.drop("_begun").join(F.broadcast(runs), "_first", "left")
+
+    # One sort serves both windows: the order of the second is a prefix of the first's.
+    by_value = Window.partitionBy("_part").orderBy(F.desc(value))
+    by_place = Window.partitionBy("_part").orderBy(F.desc(value), "_pos").rowsBetween(*upto)
+    local = rows.withColumn("_run", F.sum(value).over(by_place)).withColumn(
+        "_rank", F.rank().over(by_value).cast("long")
+    )
     rank_here = F.col("_rank") + F.col("_rows_before")
     carried = (F.col(value) == F.col("_first")) & (F.col("_begun") < rank_here)
     return local.join(F.broadcast(parts), "_part").select(
