@@ -26,7 +26,7 @@ def _rows(built: Layers):
 
 
 COLD = {
-    "fact": lambda built: mart.published(built.fact),
+    "fact": lambda built: mart.published(built.star.fato_emendas),
     "rank_authors": lambda built: mart.ranking_by_author(_rows(built), RULES),
     "exec_function_place": lambda built: mart.budget_execution(_rows(built), RULES),
     "modal_attribute": lambda built: QUERIES["modal_attribute"](built.spark, built.folder),
@@ -86,7 +86,7 @@ def main() -> None:
         clock(f"cold_{name}", lambda: make(Layers(spark, FOLDER)).toArrow())
     built = layers(spark, FOLDER, fresh=True)
     clock("build_trusted", lambda: built.trusted)
-    clock("build_dimensions", lambda: (built.dim_funcao, built.dim_localidade, built.dim_autor))
+    clock("build_dimensions", lambda: built.star)
     for name in WARM:
         clock(name, lambda: QUERIES[name](spark, FOLDER).toArrow())
     report = {

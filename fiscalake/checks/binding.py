@@ -18,7 +18,7 @@ from ..functions.text import upper_strip
 from ..plans import cleaning, features, mart
 from ..rules import Rules
 from ..schemas import MONEY, NATIONAL, NO_STATE, RAW_COLUMNS
-from ..staging import Staged, stage
+from ..staging import stage
 
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 # Nation i lies in region i modulo 5. The nations of the last region stand for places
@@ -151,32 +151,10 @@ class Layers:
     def trusted(self) -> DataFrame:
         return self._once("trusted", lambda: stage(self.trusted_plan, "trusted")).df
 
-    @property
-    def dim_tempo(self) -> DataFrame:
-        return mart.dim_tempo(self.trusted, RULES)
-
-    @property
-    def dim_funcao(self) -> Staged:
-        return self._once("dim_funcao", lambda: mart.dim_funcao(self.trusted, RULES))
-
-    @property
-    def dim_localidade(self) -> Staged:
-        return self._once("dim_localidade", lambda: mart.dim_localidade(self.trusted, RULES))
-
-    @property
-    def dim_autor(self) -> Staged:
-        return self._once("dim_autor", lambda: mart.dim_autor(self.trusted, RULES))
-
-    @property
-    def fact(self) -> DataFrame:
-        """The fact as a plan over the staged trusted rows and dimensions."""
-        return self._once(
-            "fact", lambda: mart.fact(self.trusted, self.dim_tempo, self.dim_localidade, self.dim_autor, RULES)
-        )
-
     @property
     def star(self) -> mart.Star:
-        return mart.Star(self.dim_tempo, self.dim_funcao, self.dim_localidade, self.dim_autor, self.fact)
+        """The dimensions, written, and the fact as a plan over them."""
+        return self._once("star", lambda: mart.build(self.trusted, RULES))
 
     @property
     def serving(self) -> DataFrame:

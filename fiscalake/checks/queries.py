@@ -621,27 +621,27 @@ def skewed_join(spark, folder):
 
 @query
 def dim_time(spark, folder):
-    return layers(spark, folder).dim_tempo
+    return layers(spark, folder).star.dim_tempo
 
 
 @query
 def dim_function(spark, folder):
-    return layers(spark, folder).dim_funcao.df
+    return layers(spark, folder).star.dim_funcao.df
 
 
 @query
 def dim_place(spark, folder):
-    return layers(spark, folder).dim_localidade.df
+    return layers(spark, folder).star.dim_localidade.df
 
 
 @query
 def dim_author(spark, folder):
-    return layers(spark, folder).dim_autor.df
+    return layers(spark, folder).star.dim_autor.df
 
 
 @query
 def fact(spark, folder):
-    return mart.published(layers(spark, folder).fact)
+    return mart.published(layers(spark, folder).star.fato_emendas)
 
 
 @query

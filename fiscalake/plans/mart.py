@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -92,13 +93,13 @@ def fact(trusted: DataFrame, tempo: DataFrame, localidade: Staged, autor: Staged
 
 
 def build(trusted: DataFrame, rules: Rules = DEFAULT_RULES) -> Star:
-    """All mart tables. The fact stays lazy; write it or stage it where it is reused."""
+    """All mart tables. The dimensions do not depend on each other and are written at the
+    same time; the fact stays lazy, so write it or stage it where it is reused."""
+    with ThreadPoolExecutor() as pool:
+        waiting = [pool.submit(make, trusted, rules) for make in (dim_funcao, dim_localidade, dim_autor)]
+        funcao, localidade, autor = (dim.result() for dim in waiting)
     tempo = dim_tempo(trusted, rules)
-    localidade = dim_localidade(trusted, rules)
-    autor = dim_autor(trusted, rules)
-    return Star(
-        tempo, dim_funcao(trusted, rules), localidade, autor, fact(trusted, tempo, localidade, autor, rules)
-    )
+    return Star(tempo, funcao, localidade, autor, fact(trusted, tempo, localidade, autor, rules))
 
 
 def _parts() -> list[Column]:

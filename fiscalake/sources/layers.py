@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,9 +32,14 @@ def register_table(spark: SparkSession, path: str, view: str) -> DataFrame:
 
 
 def write_tables(tables: Mapping[str, DataFrame], folder: str, compression: str = "snappy") -> dict[str, int]:
-    """Each table as Parquet of its own, replacing the one there only when it is complete;
-    returns the rows written, counted on the way."""
-    return {name: replace_table(df, f"{folder}/{name}.parquet", compression) for name, df in tables.items()}
+    """Each table as Parquet of its own, all at the same time, and each replacing the one
+    there only when it is complete; returns the rows written, counted on the way."""
+    with ThreadPoolExecutor() as pool:
+        waiting = {
+            name: pool.submit(replace_table, df, f"{folder}/{name}.parquet", compression)
+            for name, df in tables.items()
+        }
+        return {name: written.result() for name, written in waiting.items()}
 
 
 def staged(df: DataFrame, path: str, force: bool = False, compression: str = "zstd") -> DataFrame:
