@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -93,7 +94,7 @@ class Numbered:
         """The words' numbers, and the words not seen before, in the order of their numbers."""
         ids, start = self.ids, len(self.ids)
         out = np.fromiter((ids.setdefault(w, len(ids)) for w in words), np.int64, len(words))
-        return out, list(ids)[start:] if len(ids) > start else []
+        return out, list(islice(reversed(ids), len(ids) - start))[::-1]
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

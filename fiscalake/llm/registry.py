@@ -1,11 +1,17 @@
 """The registered queries of this subpackage and the SQL of those that SQL can express."""
 
+from .fertility import op3_fertility
+from .language import op4_language
 from .packing import op10_packing
+from .toxicity import op1_toxicity
 from .topk import OP7_SQL, op7_topk
 from .url_rules import OP2_SQL, op2_url_filter
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_url_filter": op2_url_filter,
+    "op3_fertility": op3_fertility,
+    "op4_language": op4_language,
     "op7_topk": op7_topk,
     "op10_packing": op10_packing,
 }

@@ -125,7 +125,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
 
 
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    rules = spark.createDataFrame(RULES, "host string, path string, action string")
+    fixed = F.array(*(F.struct(*(F.lit(x).alias(n) for n, x in zip(("host", "path", "action"), r))) for r in RULES))
+    rules = spark.range(1).select(F.inline(fixed))
     return judge(table(spark, folder, "pages"), rules)
 
 
