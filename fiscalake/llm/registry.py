@@ -2,6 +2,7 @@
 
 from .fertility import op3_fertility
 from .language import op4_language
+from .mixing import op6_mixing
 from .packing import op10_packing
 from .toxicity import op1_toxicity
 from .topk import OP7_SQL, op7_topk
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op3_fertility": op3_fertility,
     "op4_language": op4_language,
+    "op6_mixing": op6_mixing,
     "op7_topk": op7_topk,
     "op10_packing": op10_packing,
 }
