@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and the SQL of those that SQL can express."""
 
 from .fertility import op3_fertility
+from .jaccard import op9_jaccard
 from .language import op4_language
 from .mixing import op6_mixing
 from .packing import op10_packing
@@ -15,6 +16,7 @@ QUERIES = {
     "op4_language": op4_language,
     "op6_mixing": op6_mixing,
     "op7_topk": op7_topk,
+    "op9_jaccard": op9_jaccard,
     "op10_packing": op10_packing,
 }
 
