@@ -6,6 +6,7 @@ from .language import op4_language
 from .mixing import op6_mixing
 from .packing import op10_packing
 from .toxicity import op1_toxicity
+from .suffixes import op5_suffixes
 from .topk import OP7_SQL, op7_topk
 from .url_rules import OP2_SQL, op2_url_filter
 
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op3_fertility": op3_fertility,
     "op4_language": op4_language,
+    "op5_suffixes": op5_suffixes,
     "op6_mixing": op6_mixing,
     "op7_topk": op7_topk,
     "op9_jaccard": op9_jaccard,
