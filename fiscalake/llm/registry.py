@@ -3,6 +3,7 @@
 from .fertility import op3_fertility
 from .jaccard import op9_jaccard
 from .language import op4_language
+from .likelihood import op8_likelihood
 from .mixing import op6_mixing
 from .packing import op10_packing
 from .toxicity import op1_toxicity
@@ -18,6 +19,7 @@ QUERIES = {
     "op5_suffixes": op5_suffixes,
     "op6_mixing": op6_mixing,
     "op7_topk": op7_topk,
+    "op8_likelihood": op8_likelihood,
     "op9_jaccard": op9_jaccard,
     "op10_packing": op10_packing,
 }
