@@ -14,7 +14,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_map, in_fold, out_of_fold, pick, staged, table
@@ -25,10 +25,12 @@ SCALE = 40.0  # brings weighted shares to the size that the step length is made
 
 
 class Settings(NamedTuple):
-    """``sample`` bounds the training rows over all languages; an equal share of each
-    language is taken first, in the order of a hash of the id."""
+    """``sample`` is the number of training rows that is drawn over all languages, up to
+    chance; twice as many are the bound. ``languages``: at most so many are learned, the
+    most frequent."""
 
     sample: int = 8000
+    languages: int = 1000
     epochs: int = 3
     alpha: float = 0.3
     beta: float = 1.0
@@ -155,15 +157,24 @@ def fit(rows: DataFrame, settings: Settings = Settings()) -> Model | None:
     rows = pick(rows, "doc_id", "text", "lang").where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy("at", "doc_id"))
+    # An equal share for each language, what small ones leave over for the others. A row
+    # is drawn if the hash of its id is below its language's share: no sort, no group.
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.languages)
+    sizes, left, shares = sorted(map(tuple, counts.collect()), key=lambda x: (x[1], x[0])), settings.sample, []
+    for i, (name, size) in enumerate(sizes):
+        part = min(size, left / (len(sizes) - i))
+        shares.append((name, int(part / size * (1 << 40))))
+        left -= part
+    spark = rows.sparkSession
+    drawn = spark.createDataFrame(shares, "lang string, below long")
+    at = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40))
     ids = (
-        rows.select("doc_id", "lang", F.xxhash64(F.col("doc_id").cast("string")).alias("at"))
-        .withColumn("turn", turn)
-        .where(F.col("turn") <= settings.sample)
-        .orderBy("turn", "at", "lang", "doc_id")
-        .limit(settings.sample)
+        rows.select("doc_id", "lang", at.alias("at"))
+        .join(F.broadcast(drawn), "lang")
+        .where(F.col("at") < F.col("below"))
         .select("doc_id", "lang")
         .distinct()
+        .limit(2 * settings.sample)
     )
     sample = staged(rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "text"), "lang-sample")
 
@@ -191,18 +202,21 @@ def fit(rows: DataFrame, settings: Settings = Settings()) -> Model | None:
     return Model(languages, weights, bias, temperature)
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """doc_id, lang_pred and score for every row of ``docs`` (doc_id, text), in any number
-    of tasks. Null, empty and letterless texts are ``und`` with score 0, as is every text
+def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns to ``keep``, lang_pred and score for every row of ``docs``
+    (doc_id, text), in any number of tasks. Null, empty and letterless texts are ``und`` with score 0, as is every text
     when there was nothing to learn from. Texts of any length count whole."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = pick(docs, "doc_id", "text", *(k for k in keep if k not in ("doc_id", "text")))
+    names = ["doc_id", *(k for k in keep if k != "doc_id")]
+    kinds = [f"{n} {rows.schema[n].dataType.simpleString()}" for n in names]
 
     def run(batch: pa.RecordBatch):
-        found = [predict(t, shared.value) for t in batch.column(1).to_pylist()]
-        yield {"doc_id": batch.column(0), "lang_pred": [x for x, _ in found], "score": [x for _, x in found]}
+        found = [predict(t, shared.value) for t in batch.column("text").to_pylist()]
+        kept = {n: batch.column(n) for n in names}
+        yield kept | {"lang_pred": [x for x, _ in found], "score": [x for _, x in found]}
 
-    return arrow_map(pick(docs, "doc_id", "text"), run, f"doc_id {kind}, lang_pred string, score double")
+    return arrow_map(rows, run, ", ".join([*kinds, "lang_pred string", "score double"]))
 
 
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """The registered queries of this subpackage and the SQL of those that SQL can express."""
 
+import corpus_pipeline
+
 from .fertility import op3_fertility
 from .jaccard import op9_jaccard
 from .language import op4_language
@@ -22,6 +24,7 @@ QUERIES = {
     "op8_likelihood": op8_likelihood,
     "op9_jaccard": op9_jaccard,
     "op10_packing": op10_packing,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {

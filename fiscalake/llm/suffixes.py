@@ -305,16 +305,17 @@ def removed(length: int, found: list[dict]) -> list[tuple[int, int]]:
     return _runs(np.cumsum(change[:-1]) > 0)
 
 
-def without_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, with_text: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """For every row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans (runs
-    removed), kept_sha256 of the bytes that are left, and those as ``kept`` on demand.
+    removed), kept_sha256 of the bytes that are left, those as ``kept`` on demand, and the
+    columns to ``keep``.
 
     Texts are taken as UTF-8. A null text is empty; texts shorter than LENGTH have nothing
     to remove. Strings are judged on the input: all copies of a repeated passage go, also
     the first, and a text with an equal copy goes as a whole. Matches stay within a row.
     A cut may fall inside a character; ``kept`` leaves such broken characters out, the
     hash does not. An empty table gives an empty result."""
-    rows = pick(docs, "doc_id", "text").select("doc_id", text_key(F.col("text")).alias("key"))
+    rows = pick(docs, "doc_id", "text", *keep).select("doc_id", text_key(F.col("text")).alias("key"), *keep)
     texts = distinct_texts(docs)
     found = repeats(texts)
 
@@ -340,6 +341,7 @@ def without_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
         *(F.coalesce(n, zero).alias(n) for n in ("n_bytes", "n_removed", "n_spans")),
         F.coalesce("kept_sha256", F.lit(nothing)).alias("kept_sha256"),
         *(["kept"] if with_text else []),
+        *keep,
     )
 
 
