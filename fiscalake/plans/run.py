@@ -14,7 +14,7 @@ from ..schemas import MONEY
 from ..sources import raw
 from ..sources.landing import land, read_landed, read_ledger, require_rows
 from ..sources.layers import dictionary_json, staged, write_tables
-from ..staging import Staged
+from ..staging import Staged, published
 from . import cleaning, features, mart
 
 
@@ -51,7 +51,7 @@ def publish_trusted_and_quarantine(
 
 def read_trusted(spark: SparkSession, folder: str) -> DataFrame:
     """The published trusted table with money as decimals again, for exact sums."""
-    df = spark.read.parquet(f"{folder}/emendas_trusted.parquet")
+    df = published(spark, f"{folder}/emendas_trusted.parquet").df
     amounts = {name: F.col(name).cast(MONEY) for name, dtype in df.dtypes if dtype == "double"}
     return df.withColumns(amounts)
 
@@ -65,13 +65,12 @@ def publish_mart(trusted: DataFrame, folder: str, rules: Rules = DEFAULT_RULES)
 
 
 def read_star(spark: SparkSession, folder: str) -> mart.Star:
-    """The published mart, its sizes known from its files."""
+    """The published mart, its sizes known from when it was written."""
 
     def table(name: str) -> Staged:
-        df = spark.read.parquet(f"{folder}/{name}.parquet")
-        return Staged(df, df.count(), folder)
+        return published(spark, f"{folder}/{name}.parquet")
 
-    fact = spark.read.parquet(f"{folder}/fato_emendas.parquet")
+    fact = table("fato_emendas").df
     money = [c for c, dtype in fact.dtypes if dtype == "double" and c != "taxa_execucao_pct"]
     return mart.Star(
         table("dim_tempo").df,

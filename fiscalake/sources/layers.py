@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..plans.cleaning import typed
 from ..plans.serving import with_serving_columns
 from ..rules import DEFAULT_RULES, Rules
-from ..staging import exists, replace_table
+from ..staging import exists, is_published, published, replace_table
 from . import raw
 
 
@@ -20,8 +20,8 @@ class NoLayer(FileNotFoundError):
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at ``path``, or None if there is none."""
-    return spark.read.parquet(path) if exists(spark, path) else None
+    """The table published at ``path``, or None if there is none."""
+    return published(spark, path).df if is_published(spark, path) else None
 
 
 def register_table(spark: SparkSession, path: str, view: str) -> DataFrame:
@@ -47,9 +47,9 @@ def staged(df: DataFrame, path: str, force: bool = False, compression: str = "zs
     ``force``. Name ``path`` after the loads it came from, so that a new load is not
     mistaken for an old one."""
     spark = df.sparkSession
-    if force or not exists(spark, f"{path}/_SUCCESS"):
+    if force or not is_published(spark, path):
         replace_table(df, path, compression)
-    return spark.read.parquet(path)
+    return published(spark, path).df
 
 
 def best_layer(

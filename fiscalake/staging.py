@@ -1,23 +1,29 @@
-"""Written tables that cut lineage: the staging step between layers.
+"""Written tables: steps between layers, which cut lineage, and published tables.
 
 A staged table lives in the folder the cluster names in ``spark.checkpoint.dir``, so it
-outlives any executor. Only a local session without that setting gets a folder of its own.
+outlives any executor. Only a local session without that setting, where all of Spark is
+one process, gets a folder of its own. Staged tables are managed tables of a scratch
+database in that folder: dropping one removes its files, on any file system.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
+# Tables staged inside each open ``scratch`` block, innermost last.
+_open_blocks: list[list[str]] = []
 
 
 class Staged(NamedTuple):
-    """A written table and the number of rows that went into it."""
+    """A written table, the number of rows that went into it, and its name or path."""
 
     df: DataFrame
     rows: int
@@ -48,34 +54,116 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(files.globStatus(hadoop))
 
 
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def write_counted(df: DataFrame, path: str, compression: str = "zstd", mode: str = "error") -> int:
     """Write Parquet and return the row count, observed during the write itself."""
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).option(
-        "compression", compression
-    ).parquet(path)
+    rows, seen = _counted(df)
+    rows.write.mode(mode).option("compression", compression).parquet(path)
     return seen.get["rows"]
 
 
+# ---- published tables ----------------------------------------------------------------
+
+VERSIONS = "number long, folder string, rows long"
+
+
+def _versions(spark: SparkSession, path: str) -> DataFrame | None:
+    if not exists(spark, f"{path}/versions"):
+        return None
+    entries = spark.read.schema(VERSIONS).option("mode", "DROPMALFORMED").json(f"{path}/versions")
+    return entries.where("number is not null and folder is not null")
+
+
+def _newest(spark: SparkSession, path: str):
+    entries = _versions(spark, path)
+    return entries and entries.orderBy(F.desc("number"), F.desc("folder")).first()
+
+
+def is_published(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table at ``path``: a finished version, or plain Parquet."""
+    return _newest(spark, path) is not None or exists(spark, f"{path}/_SUCCESS")
+
+
 def replace_table(df: DataFrame, path: str, compression: str = "snappy") -> int:
-    """Write beside ``path`` and swap the finished table in, so that a job that fails
-    leaves the table that was there. Returns the row count."""
+    """Publish ``df`` as the table at ``path``; returns the row count.
+
+    Every version gets a folder of its own. The small entry that names it is written last,
+    so a job that fails at any point leaves the version before it, no table is ever
+    missing, and a reader that has opened the version before keeps it. Older ones go."""
     spark = df.sparkSession
-    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    rows = write_counted(df, fresh, compression)
+    before = _versions(spark, path)
+    before = sorted(before.collect(), key=lambda v: (v["number"], v["folder"])) if before else []
+    folder = f"version-{uuid.uuid4().hex}"
+    rows = write_counted(df, f"{path}/{folder}", compression)
+    entry = [(before[-1]["number"] + 1 if before else 1, folder, rows)]
+    spark.createDataFrame(entry, VERSIONS).coalesce(1).write.mode("append").json(f"{path}/versions")
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if files.exists(hadoop(path)):
-        files.rename(hadoop(path), hadoop(old))
-    if not files.rename(hadoop(fresh), hadoop(path)):
-        raise OSError(f"cannot publish {path}")
-    files.delete(hadoop(old), True)
+    for old in before[:-1]:
+        place = hadoop(f"{path}/{old['folder']}")
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
     return rows
 
 
-def stage(df: DataFrame, name: str, compression: str = "zstd") -> Staged:
-    """Write ``df`` once and read it back, so that every consumer shares the work."""
+def published(spark: SparkSession, path: str) -> Staged:
+    """The newest version of the table at ``path``, with its known size; or the plain
+    Parquet table there, counted."""
+    newest = _newest(spark, path)
+    if newest is None:
+        if not is_published(spark, path):
+            raise FileNotFoundError(f"no published table at {path}")
+        plain = spark.read.parquet(path)
+        return Staged(plain, plain.count(), path)
+    folder = f"{path}/{newest['folder']}"
+    return Staged(spark.read.parquet(folder), newest["rows"], folder)
+
+
+# ---- staged tables -------------------------------------------------------------------
+
+
+def _scratch_database(spark: SparkSession) -> str:
+    name = "scratch_" + "".join(c if c.isalnum() else "_" for c in spark.sparkContext.applicationId)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{staging_root(spark)}/{name}'")
+    return name
+
+
+def stage(
+    df: DataFrame, name: str, compression: str = "zstd", buckets: tuple[int, Sequence[str]] | None = None, keep: bool = False
+) -> Staged:
+    """Write ``df`` once and read it back, so that every consumer shares the work.
+
+    ``buckets``: their number and columns; joins on these then move the other side only.
+    Inside a ``scratch`` block the table goes with the block, or, with ``keep``, with the
+    block around it; outside of any it stays until it is dropped with ``drop``."""
     spark = df.sparkSession
-    path = fresh_path(spark, name)
-    rows = write_counted(df, path, compression)
-    return Staged(spark.read.schema(df.schema).parquet(path), rows, path)
+    slug = "".join(c if c.isalnum() else "_" for c in name)
+    table = f"{_scratch_database(spark)}.{slug}_{uuid.uuid4().hex}"
+    rows, seen = _counted(df)
+    writer = rows.write.format("parquet").option("compression", compression)
+    if buckets:
+        writer = writer.bucketBy(buckets[0], *buckets[1])
+    writer.saveAsTable(table)
+    holders = _open_blocks[:-1] if keep else _open_blocks
+    if holders:
+        holders[-1].append(table)
+    return Staged(spark.table(table), seen.get["rows"], table)
+
+
+def drop(spark: SparkSession, staged: Staged) -> None:
+    """Remove a staged table with its files."""
+    spark.sql(f"DROP TABLE IF EXISTS {staged.path}")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are removed at the end, but for those staged with ``keep``;
+    what is returned from the block must depend on these alone."""
+    _open_blocks.append([])
+    try:
+        yield
+    finally:
+        for table in _open_blocks.pop():
+            spark.sql(f"DROP TABLE IF EXISTS {table}")

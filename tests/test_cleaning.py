@@ -7,6 +7,7 @@ from fiscalake.operators import contract as C
 from fiscalake.operators import dedupe
 from fiscalake.plans import cleaning, run
 from fiscalake.rules import DEFAULT_RULES, Rules
+from fiscalake.staging import published
 
 from .conftest import record
 
@@ -178,7 +179,7 @@ def test_a_failed_gate_leaves_the_old_table(spark, raw_frame, tmp_path):
     run.publish_trusted(raw_frame([record("A")]), POSITION, folder)
     with pytest.raises(cleaning.InsufficientQuality):
         run.publish_trusted(raw_frame([record("B", valorPago="9.999,00")]), POSITION, folder)
-    assert codes(spark.read.parquet(f"{folder}/emendas_trusted.parquet")) == ["A"]
+    assert codes(published(spark, f"{folder}/emendas_trusted.parquet").df) == ["A"]
 
 
 def test_staging_is_reused_unless_forced(spark, raw_frame, tmp_path):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from fiscalake.operators import joins, ordered
 from fiscalake.plans import cleaning, features, mart, run
 from fiscalake.schemas import CORRELATED_FEATURES, FACT_COLUMNS, FEATURE_COLUMNS, LABEL, MONEY
-from fiscalake.staging import stage
+from fiscalake.staging import published, stage
 
 
 @pytest.fixture(scope="module")
@@ -201,15 +201,15 @@ def test_all_layers_in_turn(spark, many_records, write_json, tmp_path):
         write_json(f"raw/emendas_{year}_20240201_000000.json", rows)
     target = str(tmp_path / "out")
     counts = run.run_all(spark, str(tmp_path / "raw"), target)
-    assert counts["dim_tempo"] == 2 and counts["fato_emendas"] == spark.read.parquet(
-        f"{target}/trusted/emendas_trusted.parquet"
-    ).count()
+    assert counts["dim_tempo"] == 2 and counts["fato_emendas"] == published(
+        spark, f"{target}/trusted/emendas_trusted.parquet"
+    ).df.count()
     assert run.run_all(spark, str(tmp_path / "raw"), target) == counts
     assert spark.read.json(f"{target}/raw/ledger").count() == 2
     firsts = {}
     for r in many_records:
         firsts.setdefault(r["codigoEmenda"], r["numeroEmenda"])
-    kept = spark.read.parquet(f"{target}/trusted/emendas_trusted.parquet").where("ano = 2021").collect()
+    kept = published(spark, f"{target}/trusted/emendas_trusted.parquet").df.where("ano = 2021").collect()
     assert all(firsts[r["codigoEmenda"].split("-")[1]] == r["numeroEmenda"] for r in kept)
 
 
