@@ -26,10 +26,11 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return plain.select(*(F.col(f"_{df.columns.index(n)}").alias(n) for n in names))
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage, and every
-    reader sees the same rows in the same files even after an executor is lost."""
-    return stage(df, f"llm-{name}").df
+    reader sees the same rows in the same files even after an executor is lost. With
+    ``keep`` it outlasts the scratch block it is made in."""
+    return stage(df, f"llm-{name}", keep=keep).df
 
 
 def shuffles(spark: SparkSession) -> int:

@@ -3,7 +3,6 @@ compact postings, and components of links."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -12,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..staging import fresh_path
+from ..staging import stage
 from .common import mix64, pick, shuffles, staged
 
 
@@ -28,16 +27,8 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = pick(docs, "text").where(F.col("text").isNotNull()).select(text_key(F.col("text")).alias("key"), "text")
     each = rows.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    name = f"texts_{uuid.uuid4().hex}"
-    (
-        each.select("key", F.monotonically_increasing_id().alias("r"), "text", "copies")
-        .write.bucketBy(shuffles(spark), "key")
-        .option("path", fresh_path(spark, "llm-texts"))
-        .option("compression", "zstd")
-        .format("parquet")
-        .saveAsTable(name)
-    )
-    return spark.table(name)
+    numbered = each.select("key", F.monotonically_increasing_id().alias("r"), "text", "copies")
+    return stage(numbered, "llm-texts", buckets=(shuffles(spark), ["key"])).df
 
 
 def with_texts(texts: DataFrame, some: DataFrame, *columns: str) -> DataFrame:

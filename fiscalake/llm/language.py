@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..staging import scratch
 from .common import arrow_map, in_fold, out_of_fold, pick, staged, table
 
 UNKNOWN = "und"
@@ -176,7 +177,7 @@ def fit(rows: DataFrame, settings: Settings = Settings()) -> Model | None:
         .distinct()
         .limit(2 * settings.sample)
     )
-    sample = staged(rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "text"), "lang-sample")
+    sample = rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "text")
 
     def learn(batches):
         data = [(i, y, t) for b in batches for i, y, t in zip(*(c.to_pylist() for c in b.columns))]
@@ -189,7 +190,9 @@ def fit(rows: DataFrame, settings: Settings = Settings()) -> Model | None:
                 pa.schema([("place", pa.int32()), ("w", pa.list_(pa.float64())), ("names", pa.list_(pa.string()))]),
             )
 
-    got = sample.coalesce(1).mapInArrow(learn, "place int, w array<double>, names array<string>").toArrow().to_pydict()
+    with scratch(spark):
+        sample = staged(sample, "lang-sample")
+        got = sample.coalesce(1).mapInArrow(learn, "place int, w array<double>, names array<string>").toArrow().to_pydict()
     if not got["place"]:
         return None
     languages = next(names for p, names in zip(got["place"], got["names"]) if p < 0)

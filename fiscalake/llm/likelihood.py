@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..staging import scratch
 from .common import Numbered, fold, pick, raw, shuffles, staged, table
 from .distinct import Postings
 
@@ -249,16 +250,19 @@ def log_likelihood(docs: DataFrame, path: str, learn, keep: dict | None = None)
     buckets = shuffles(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = pick(docs, "doc_id", "text")
-    counted = staged(count_words(rows.select("text", F.coalesce(learn, F.lit(False)).alias("learn")), buckets), "lm-words")
 
     def sums(batches):
         for batch in batches:
             all_counts = [np.frombuffer(c, np.int64) for c in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_pydict({"n": [int(c.sum()) for c in all_counts], "v": [int((c > 0).sum()) for c in all_counts]})
 
-    totals = counted.select("counts").mapInArrow(sums, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
-    n, distinct = int(totals[0] or 0), int(totals[1] or 0)
-    scored = staged(score_words(counted, path, count_pieces(counted, path), n, distinct, buckets), "lm-scores")
+    with scratch(spark):
+        learned = rows.select("text", F.coalesce(learn, F.lit(False)).alias("learn"))
+        counted = staged(count_words(learned, buckets), "lm-words")
+        totals = counted.select("counts").mapInArrow(sums, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
+        n, distinct = int(totals[0] or 0), int(totals[1] or 0)
+        pieces = count_pieces(counted, path)
+        scored = staged(score_words(counted, path, pieces, n, distinct, buckets), "lm-scores", keep=True)
     head = spark.sparkContext.broadcast(_head(scored))
 
     made = "row long, n_tokens long, n_known long, base_score double, score double, bucket int, codes binary, base long, rows binary"

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..staging import scratch
 from .common import arrow_map, mix64, pick, raw, shuffles, staged, table
 from .distinct import BLOBS, Postings, distinct_texts, repeated, text_key, with_texts
 
@@ -316,8 +317,6 @@ def without_repeats(docs: DataFrame, with_text: bool = False, keep: tuple[str, .
     A cut may fall inside a character; ``kept`` leaves such broken characters out, the
     hash does not. An empty table gives an empty result."""
     rows = pick(docs, "doc_id", "text", *keep).select("doc_id", text_key(F.col("text")).alias("key"), *keep)
-    texts = distinct_texts(docs)
-    found = repeats(texts)
 
     def run(batch: pa.RecordBatch):
         out = {n: [] for n in ("key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
@@ -330,10 +329,12 @@ def without_repeats(docs: DataFrame, with_text: bool = False, keep: tuple[str, .
         yield out
 
     schema = "key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
-    judged = arrow_map(
-        texts.select("key", "copies", "text").join(found.hint("shuffle_hash"), "key", "left").select("key", "copies", "text", "found"), run, schema
-    )
-    judged = staged(judged if with_text else judged.drop("kept"), "suffix-judged")
+    with scratch(docs.sparkSession):
+        texts = distinct_texts(docs)
+        found = repeats(texts).hint("shuffle_hash")
+        judged = texts.select("key", "copies", "text").join(found, "key", "left")
+        judged = arrow_map(judged.select("key", "copies", "text", "found"), run, schema)
+        judged = staged(judged if with_text else judged.drop("kept"), "suffix-judged", keep=True)
     nothing = hashlib.sha256(b"").hexdigest()
     zero = F.lit(0).cast("long")
     return rows.join(judged, "key", "left").select(

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..staging import scratch
 from .common import Numbered, arrow_map, in_fold, out_of_fold, pick, staged, table
 
 # --- character model ----------------------------------------------------------------------
@@ -304,14 +305,15 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()):
     at = F.xxhash64(F.col("doc_id").cast("string"))
     halves = [known.where(F.col("toxic") == y).orderBy(at, "doc_id").limit(s.sample // 2) for y in (0, 1)]
     chosen = F.broadcast(halves[0].unionByName(halves[1]))
-    sample = staged(texts.join(chosen, "doc_id").select("toxic", "text").distinct(), "toxicity-sample")
+    sample = texts.join(chosen, "doc_id").select("toxic", "text").distinct()
 
     def learn(batches):
         data = sorted((t, y) for b in batches for t, y in zip(b.column(1).to_pylist(), b.column(0).to_pylist()))
         weights, bias = train([t for t, _ in data], [y for _, y in data], Restorer(shared.value), s)
         yield pa.RecordBatch.from_pydict({"unit": ["", *weights], "w": [bias, *weights.values()]})
 
-    got = sample.coalesce(1).mapInArrow(learn, "unit string, w double").collect()
+    with scratch(docs.sparkSession):
+        got = staged(sample, "toxicity-sample").coalesce(1).mapInArrow(learn, "unit string, w double").collect()
     weights = {r["unit"]: r["w"] for r in got}
     return shared, (weights, weights.pop("", 0.0))
 
