@@ -382,10 +382,28 @@ _sql(
     "land_and_read",
     [],
     """SELECT o_orderkey, year(o_orderdate)::BIGINT AS ano,
-      CASE year(o_orderdate) WHEN 1998 THEN '20240103_000000' WHEN 1999 THEN '20240101_000000'
-        ELSE '20240102_000000' END AS ingest_id
-    FROM orders WHERE year(o_orderdate) = 2000 OR (year(o_orderdate) = 1999 AND o_orderstatus = 'F')
-      OR (year(o_orderdate) = 1998 AND o_orderstatus <> 'P')""",
+      CASE year(o_orderdate) WHEN 1998 THEN '20240103_000000' ELSE '20240101_000000' END AS ingest_id
+    FROM orders""",
+)
+_sql(
+    "forced_reload",
+    [],
+    """SELECT o_orderkey, year(o_orderdate)::BIGINT AS ano, 'emendas_' || year(o_orderdate) || '_20240101_000000' AS ingest_id
+    FROM orders WHERE year(o_orderdate) IN (1997, 1998)""",
+)
+_sql(
+    "page_set",
+    ["records"],
+    "SELECT codigoEmenda, ano, funcao, codigoEmenda::BIGINT % 12 + 1 AS pagina FROM records",
+)
+_sql("json_arrays", [], ORACLE["json_pages"])
+_PRINTED = "{'l_orderkey': l_orderkey, 'l_linenumber': l_linenumber, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey, 'l_returnflag': l_returnflag}"
+_sql(
+    "fingerprint",
+    [],
+    f"""SELECT registros, sha256(registros || '/' || a || '/' || b) AS hash, 2::BIGINT AS vezes
+    FROM (SELECT count(*) AS registros, sum(('0x' || h[1:15])::BIGINT) AS a, sum(('0x' || h[16:30])::BIGINT) AS b
+      FROM (SELECT sha256(to_json({_PRINTED})::VARCHAR) AS h FROM lineitem))""",
 )
 
 # ---- profiling, contract, quality ----------------------------------------------------
@@ -424,8 +442,10 @@ _sql(
 _sql(
     "profile_envelope",
     [],
-    """SELECT 'orders' AS arquivo_origem, 2001::BIGINT AS ano, count(*) AS total_registros,
-      3::BIGINT AS total_campos, 3::BIGINT AS campos FROM orders""",
+    """SELECT 'orders' AS arquivo_origem, 2001::BIGINT AS ano, (SELECT count(*) FROM orders) AS total_registros,
+      3::BIGINT AS total_campos, p.* FROM ("""
+    + _profile("orders", {"o_orderkey": "int", "o_orderstatus": "str", "o_orderpriority": "str"}, "o_orderkey")
+    + ") AS p",
 )
 _DICTIONARY = {
     "dim_tempo": "ano_id BIGINT, ano BIGINT, periodo VARCHAR",
@@ -484,6 +504,21 @@ _sql(
 )
 
 
+_sql(
+    "contract_gate",
+    ["records"],
+    "SELECT * FROM ("
+    + " UNION ALL ".join(
+        [
+            _rule("ano", "domain", "ano NOT BETWEEN 1996 AND 2000"),
+            _rule("valorRestoInscrito", "money", "subfuncao = 'P'"),
+            _rule("valorRestoPago", "money", "ano < 1995"),
+        ]
+    )
+    + ') WHERE "rows" > 0',
+)
+
+
 def _summary(records: str, order: str) -> str:
     """Discard accounting written as the steps themselves."""
     return f"""
@@ -502,6 +537,7 @@ def _summary(records: str, order: str) -> str:
 
 _SUMMARY = _with(["records"], "").rstrip() + "," + _summary("records", "ano, autor, valorEmpenhado")
 ORACLE["quality_summary"] = f"{_SUMMARY} SELECT * FROM s"
+ORACLE["publish_quality"] = f"{_SUMMARY} SELECT *, total_final AS publicados FROM s"
 ORACLE["quality_report"] = f"""{_SUMMARY}
   SELECT motivo, registros_descartados, round(registros_descartados / total_inicial::DOUBLE * 100, 2) AS percentual
   FROM (SELECT 'duplicata por codigoEmenda' AS motivo, duplicatas AS registros_descartados, total_inicial FROM s
@@ -602,6 +638,13 @@ _sql(
       (sum(l_quantity::{MONEY}) OVER (ORDER BY l_quantity DESC, {_KEY} ROWS UNBOUNDED PRECEDING))::DOUBLE AS acumulado
     FROM lineitem""",
 )
+_sql(
+    "rank_with_nulls",
+    [],
+    f"""SELECT {_KEY}, q AS quantidade, rank() OVER (ORDER BY q DESC NULLS LAST) AS posicao,
+      (sum(q::{MONEY}) OVER (ORDER BY q DESC NULLS LAST, {_KEY} ROWS UNBOUNDED PRECEDING))::DOUBLE AS acumulado
+    FROM (SELECT *, CASE WHEN l_returnflag <> 'R' THEN l_quantity END AS q FROM lineitem)""",
+)
 _sql(
     "projection_filter",
     [],
@@ -795,7 +838,7 @@ def _top(source: str, by: str, key: str, n: int) -> str:
 
 
 _sql("functions_totals", ["by_function"], "SELECT * FROM by_function")
-_sql("top_functions", ["by_function"], _top("by_function", "total_empenhado", "funcao", 3))
+_sql("top_functions", ["by_function"], _top("by_function", "total_empenhado", "funcao", 10))
 _sql("top_authors", ["by_author"], _top("by_author", "total_empenhado", "autor", 10))
 _sql("uf_totals", ["by_state"], "SELECT * FROM by_state")
 _sql("top_states", ["by_state"], _top("by_state", "total", "uf", 15))

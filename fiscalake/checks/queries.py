@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,9 @@ from .. import schemas as S
 from ..functions import lookups, money, text
 from ..operators import contract as C
 from ..operators import dedupe, joins, ordered, profile, statistics
-from ..plans import cleaning, features, mart, serving
+from ..plans import cleaning, features, mart, run, serving
 from ..sources import landing, layers as store, raw
-from ..staging import fresh_path, stage
+from ..staging import fresh_path, published, stage
 from .binding import POSITION, RULES, layers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -311,20 +312,98 @@ def page_completeness(spark, folder):
 
 @query
 def land_and_read(spark, folder):
-    """Years landed one by one, one of them again by force; the current loads read back."""
+    """All years landed one by one, some of them offered again, one by force; the current
+    loads read back."""
     orders = table(spark, folder, "orders").withColumn("ano", F.year("o_orderdate").cast("long"))
     path = fresh_path(spark, "landing")
-    landing.land(orders.where("ano = 1999 and o_orderstatus = 'F'"), path, 1999, "20240101_000000")
-    for year in (1998, 1999, 2000):
-        landing.land(orders.where(F.col("ano") == year), path, year, "20240102_000000")
-    landing.land(orders.where("ano = 1998 and o_orderstatus <> 'P'"), path, 1998, "20240103_000000", force=True)
-    return landing.read_landed(spark, path).select("o_orderkey", F.col("ano").cast("long").alias("ano"), "ingest_id")
+    years = sorted(row["ano"] for row in orders.select("ano").distinct().collect())
+    for year in years:
+        landing.land(orders.where(F.col("ano") == year), path, year, "20240101_000000", profile=False)
+    for year in years[::2]:  # landed before: nothing happens
+        landing.land(orders.where("false"), path, year, "20240102_000000", profile=False)
+    landing.land(orders.where("ano = 1998"), path, 1998, "20240103_000000", force=True, profile=False)
+    known = orders.drop("ano").schema.add("ano", "long").add("ingest_id", "string")
+    return landing.read_landed(spark, path, schema=known).select("o_orderkey", "ano", "ingest_id")
+
+
+@query
+def forced_reload(spark, folder):
+    """A sample landed first, then the real load by force: the names of the loads sort the
+    other way, the times of the loads count. All years read back, two of them chosen."""
+    orders = table(spark, folder, "orders").withColumn("ano", F.year("o_orderdate").cast("long"))
+    path = fresh_path(spark, "reload")
+    for year in (1997, 1998):
+        rows = orders.where(F.col("ano") == year)
+        landing.land(rows.where("o_orderstatus = 'P'"), path, year, f"emendas_{year}_sample", profile=False)
+        landing.land(rows, path, year, f"emendas_{year}_20240101_000000", force=True, profile=False)
+    landing.land(orders.where("ano = 1996"), path, 1996, "emendas_1996_sample", profile=False)
+    current = landing.read_landed(spark, path, years=[1997, 1998])
+    return current.select("o_orderkey", F.col("ano").cast("long").alias("ano"), "ingest_id")
+
+
+@query
+def page_set(spark, folder):
+    """Months as pages: written as page files, read, checked for gaps, landed, read back."""
+    path = fresh_path(spark, "page_set")
+    record = layers(spark, folder).records.select("codigoEmenda", "ano", "funcao")
+    pages = record.withColumn("pagina", F.pmod(F.col("codigoEmenda").cast("long"), F.lit(12)) + 1)
+    pages.write.partitionBy("pagina").json(f"{path}/pages")
+    read = raw.read_pages(spark, f"{path}/pages", lines=True)
+    landing.require_complete(raw.page_completeness(read.withColumn("ano", F.lit(0))))
+    landing.land(read.withColumnRenamed("ano", "exercicio"), path, 2001, "pages", "pagina", profile=False)
+    landed = landing.read_landed(spark, path)
+    return landed.select("codigoEmenda", F.col("exercicio").cast("long").alias("ano"), "funcao", F.col("pagina").cast("long").alias("pagina"))
+
+
+@query
+def json_arrays(spark, folder):
+    """Orders as files of one JSON array each, read through a glob."""
+    record = F.struct(
+        F.col("o_orderkey").cast("string").alias("codigoEmenda"),
+        F.year("o_orderdate").alias("ano"),
+        F.col("o_orderstatus").alias("subfuncao"),
+    )
+    path = fresh_path(spark, "arrays")
+    orders = table(spark, folder, "orders").withColumn("lote", F.floor(F.col("o_orderkey") / 4000))
+    arrays = orders.groupBy("lote").agg(F.to_json(F.collect_list(record)).alias("value"))
+    arrays.write.partitionBy("lote").text(path)
+    return raw.read_json(spark, f"{path}/lote=*/*.txt").select("codigoEmenda", "ano", "subfuncao")
+
+
+@query
+def publish_quality(spark, folder):
+    """The accounting of a published run: rows outside the years are read and counted."""
+    path = fresh_path(spark, "publish")
+    quality = run.publish_trusted(layers(spark, folder).records, POSITION, path, RULES)
+    rows = published(spark, f"{path}/emendas_trusted.parquet").rows
+    entry = {k: float(v) if k == "pct_descartado" else int(v) for k, v in quality.items()} | {"publicados": rows}
+    kinds = ", ".join(f"{k} {'double' if k == 'pct_descartado' else 'long'}" for k in entry)
+    return spark.createDataFrame([tuple(entry.values())], kinds)
+
+
+@query
+def contract_gate(spark, folder):
+    """What a blocking contract reports: carry-over amounts that are no amounts, amounts
+    that are too large for one, and years outside the window."""
+    records = layers(spark, folder).records
+    broken = records.withColumns(
+        {
+            "valorRestoInscrito": F.when(F.col("subfuncao") == "P", "lixo").otherwise(F.lit("1.234,50")),
+            "valorRestoPago": F.when(F.col("ano") < 1995, F.lit(1e15)).otherwise(F.lit(1.0)),
+        }
+    )
+    try:
+        C.enforce(broken, cleaning.raw_contract(RULES))
+        found = []
+    except C.ContractViolation as error:
+        found = error.found
+    return spark.createDataFrame(found, "column string, rule string, rows long")
 
 
 @query
 def fingerprint(spark, folder):
     """The same rows in two orders have one fingerprint."""
-    lines = table(spark, folder, "lineitem")
+    lines = table(spark, folder, "lineitem").select(*LINE_KEY[:2], "l_partkey", "l_suppkey", "l_returnflag")
     shuffled = lines.repartition("l_suppkey")
     return (
         profile.fingerprint(lines)
@@ -365,9 +444,9 @@ def profile_envelope(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     described = profile.profile_fields(orders, "o_orderkey")
     rows = table(spark, folder, "orders").count()
-    return profile.profile_document(described, rows, len(orders.columns), "orders", 2001).select(
-        "arquivo_origem", "ano", "total_registros", "total_campos", F.size("campos").cast("long").alias("campos")
-    )
+    envelope = profile.profile_document(described, rows, len(orders.columns), "orders", 2001)
+    fields = envelope.select("arquivo_origem", "ano", "total_registros", "total_campos", F.inline("campos"))
+    return _listed(fields)
 
 
 @query
@@ -416,9 +495,9 @@ def discard_gate(spark, folder):
     """Whether the discard share is within the ceiling, at several ceilings."""
     summary = quality_summary(spark, folder)
     limits = F.explode(F.array(*[F.lit(x) for x in (0.1, 0.2, RULES.discard_limit)]))
-    return summary.select("pct_descartado", limits.alias("limite")).withColumn(
-        "aprovado", F.col("pct_descartado") / 100 <= F.col("limite")
-    )
+    rows = summary.select("pct_descartado", limits.alias("limite"))
+    row = {"pct_descartado": F.col("pct_descartado")}
+    return rows.withColumn("aprovado", cleaning.passes(row, replace(RULES, discard_limit=F.col("limite"))))
 
 
 @query
@@ -530,6 +609,15 @@ def global_rank(spark, folder):
     return mart.published(ordered.rank_and_running_total(lines, "quantidade", key, "posicao", "acumulado"))
 
 
+@query
+def rank_with_nulls(spark, folder):
+    """The same where the lines of one flag have no quantity: they tie at the end."""
+    key = [*LINE_KEY, "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
+    quantity = F.when(F.col("l_returnflag") != "R", F.col("l_quantity").cast(S.MONEY))
+    lines = table(spark, folder, "lineitem").select(*key, quantity.alias("quantidade"))
+    return mart.published(ordered.rank_and_running_total(lines, "quantidade", key, "posicao", "acumulado"))
+
+
 @query
 def projection_filter(spark, folder):
     """Projection, replacement, exclusion and the filters, chained."""
@@ -737,7 +825,7 @@ def functions_totals(spark, folder):
 
 @query
 def top_functions(spark, folder):
-    return serving.top_functions(layers(spark, folder).serving, 3)
+    return serving.top_functions(layers(spark, folder).serving)
 
 
 @query

@@ -15,6 +15,11 @@ from .text import strip
 BLANK_AMOUNTS = ["", "nan", "None"]
 
 
+# What plain text must look like to be read as a number.
+_BLANKS = r"[\x00-\x20]*"
+NUMBER = rf"^{_BLANKS}[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?{_BLANKS}$"
+
+
 def _plain_number(col: Column) -> Column:
     """``1.234,56`` -> ``1234.56``."""
     return F.replace(F.replace(col, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
@@ -23,8 +28,11 @@ def _plain_number(col: Column) -> Column:
 def _as_money(col: Column, dtype: T.DataType) -> Column:
     # Only text carries Brazilian separators; a numeric column is already a number, and
     # taking its decimal point for a thousands separator would multiply it by a hundred.
-    text = isinstance(dtype, T.StringType)
-    return (_plain_number(col) if text else col).try_cast(MONEY)
+    if not isinstance(dtype, T.StringType):
+        return col.try_cast(MONEY)
+    plain = _plain_number(col)
+    # Casts that fail are slow; text that is no number is not tried.
+    return F.when(plain.rlike(NUMBER), plain.try_cast(MONEY))
 
 
 def money_or_null(col: Column, dtype: T.DataType = T.StringType()) -> Column:
@@ -39,9 +47,9 @@ def money_or_zero(col: Column, dtype: T.DataType = T.StringType()) -> Column:
 
 
 def bad_money(col: Column, dtype: T.DataType = T.StringType()) -> Column:
-    """True where text is present but is not an amount."""
+    """True where text is present but is not an amount, or a number is too large for one."""
     if not isinstance(dtype, T.StringType):
-        return F.lit(False)
+        return col.isNotNull() & _as_money(col, dtype).isNull()
     present = ~strip(_plain_number(col)).isin(BLANK_AMOUNTS)
     return F.coalesce(present & _as_money(col, dtype).isNull(), F.lit(False))
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.money import bad_money
+from ..functions.money import NUMBER, bad_money
 
 
 @dataclass(frozen=True)
@@ -19,6 +19,7 @@ class Field:
     nullable: bool = True
     allowed: Sequence | None = None
     money: bool = False
+    optional: bool = False
 
 
 @dataclass(frozen=True)
@@ -37,13 +38,27 @@ class ContractViolation(ValueError):
         super().__init__("; ".join(f"{column}: {rule} ({rows})" for column, rule, rows in found))
 
 
+# What text must look like to be read as a whole number. A cast that fails costs many times
+# as much as one that succeeds, so text that cannot be cast is not tried.
+_WHOLE = r"^[\x00-\x20]*[+-]?\d+[\x00-\x20]*$"
+
+
+def converted(col: Column, present: T.DataType, wanted: T.DataType) -> Column:
+    """``col`` in the wanted type, NULL where it does not convert."""
+    if isinstance(present, T.StringType) and isinstance(wanted, T.IntegralType):
+        return F.when(col.rlike(_WHOLE), col.try_cast(wanted))
+    if isinstance(present, T.StringType) and isinstance(wanted, T.DecimalType):
+        return F.when(col.rlike(NUMBER), col.try_cast(wanted))
+    return col if present == wanted else col.try_cast(wanted)
+
+
 def coerce(df: DataFrame, contract: Contract) -> DataFrame:
     """Declared columns in their declared types; a value that does not convert is NULL."""
-    types = dict(df.dtypes)
+    types = {f.name: f.dataType for f in df.schema}
     casts = {
-        f.name: F.col(f.name).try_cast(f.dtype)
+        f.name: converted(F.col(f.name), types[f.name], f.dtype)
         for f in contract.fields
-        if f.name in types and types[f.name] != f.dtype.simpleString()
+        if f.name in types and types[f.name] != f.dtype
     }
     return df.withColumns(casts) if casts else df
 
@@ -58,10 +73,12 @@ def check(df: DataFrame, contract: Contract) -> DataFrame:
     rules: list[tuple[str, str, Column]] = []
     for f in contract.fields:
         if f.name not in schema:
+            if f.optional:
+                continue
             rules.append((f.name, "missing", F.lit(1)))
             continue
         raw = F.col(f.name)
-        value = raw.try_cast(f.dtype)
+        value = converted(raw, schema[f.name], f.dtype)
         rules.append((f.name, "type", F.count_if(raw.isNotNull() & value.isNull())))
         if not f.nullable:
             rules.append((f.name, "null", F.count_if(raw.isNull())))

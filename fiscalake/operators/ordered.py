@@ -1,9 +1,9 @@
 """Surrogate keys, ranks and running totals over a whole table.
 
-A window without PARTITION BY moves every row to one task, which is fine for a table
-known to be small and for no other. Larger ones are range partitioned and sorted, each
-partition is numbered on its own, and the counts and sums of the earlier partitions, one
-small row per partition, are added afterwards.
+A window without PARTITION BY moves every row to one task. Rows are range partitioned and
+sorted instead, each partition is numbered on its own, and the counts and sums of the
+earlier partitions, one small row per partition, are added afterwards. That is the one way
+for tables of all sizes: adaptive execution makes a single partition of a small one.
 """
 
 from __future__ import annotations
@@ -12,11 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..staging import Staged, stage
 
-# A table of at most this many rows is numbered by one task.
-SINGLE_TASK_ROWS = 200_000
 # monotonically_increasing_id() holds the partition above this bit, the position below.
 _POSITION_BITS = 33
 
@@ -45,74 +44,79 @@ def _before(col: str) -> Column:
     return F.coalesce(F.sum(col).over(earlier), F.lit(0))
 
 
-def number_rows(
-    df: DataFrame, order: Sequence[Column], out: str, name: str = "numbered", single_task_rows: int = SINGLE_TASK_ROWS
-) -> Staged:
+def number_rows(df: DataFrame, order: Sequence[Column], out: str, name: str = "numbered") -> Staged:
     """Dense 1-based numbers in a total ``order``: ROW_NUMBER() OVER (ORDER BY ...)."""
     placed = positioned(df, order, name)
-    rows = placed.df
-    if placed.rows <= single_task_rows:
-        number = F.row_number().over(Window.orderBy("_part", "_pos")).cast("long").alias(out)
-        return placed._replace(df=rows.select(number, *df.columns))
-    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = placed.df.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select("_part", _before("_n").cast("long").alias("_offset"))
-    numbered = rows.join(F.broadcast(offsets), "_part").select(
+    # One row per partition, whatever the table.
+    numbered = placed.df.join(F.broadcast(offsets), "_part").select(
         (F.col("_offset") + F.col("_pos") + 1).alias(out), *df.columns
     )
     return placed._replace(df=numbered)
 
 
+def _total_type(df: DataFrame, value: str) -> str:
+    """The type of a running total: as wide as sums get, whatever the number of rows."""
+    kind = df.schema[value].dataType
+    return f"decimal(38,{kind.scale})" if isinstance(kind, T.DecimalType) else df.agg(F.sum(value)).dtypes[0][1]
+
+
 def rank_and_running_total(
-    df: DataFrame,
-    value: str,
-    tie_break: Sequence[str],
-    rank_out: str,
-    running_out: str,
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    df: DataFrame, value: str, tie_break: Sequence[str], rank_out: str, running_out: str
 ) -> DataFrame:
     """RANK() by ``value`` descending, and the running sum in that order.
 
-    Rows of equal value share the rank of the first of them, also where such a run
-    crosses partitions; the running sum takes them by ``tie_break``.
+    Rows of equal value share the rank of the first of them, also where such a run crosses
+    partitions; the running sum takes them by ``tie_break``. NULL values come last, are
+    equal to each other and add nothing: their running sum is the sum of all others, or
+    NULL where there are none.
     """
-    order = [F.desc(value), *[F.asc(c) for c in tie_break]]
-    upto = (Window.unboundedPreceding, Window.currentRow)
-    placed = positioned(df, order, "ranked")
-    rows = placed.df
-    if placed.rows <= single_task_rows:
-        return rows.select(
-            *df.columns,
-            F.rank().over(Window.orderBy(F.desc(value))).cast("long").alias(rank_out),
-            F.sum(value).over(Window.orderBy(*order).rowsBetween(*upto)).alias(running_out),
-        )
-    parts = rows.groupBy("_part").agg(
+    order = [F.desc_nulls_last(value), *[F.asc(c) for c in tie_break]]
+    rows = positioned(df, order, "ranked").df
+    total = _total_type(df, value)
+    missing = F.col(value).isNull()
+    summary = rows.groupBy("_part").agg(
         F.count(F.lit(1)).alias("_n"),
-        F.sum(value).alias("_sum"),
+        F.sum(value).cast(total).alias("_sum"),
+        F.count(value).alias("_filled"),
         F.max(value).alias("_first"),
-        F.min(F.struct(F.col(value).alias("value"), F.col("_pos").alias("begun"))).alias("_last"),
+        F.max(missing).alias("_has_null"),
+        F.min(F.when(missing, F.col("_pos"))).alias("_null_at"),
+        F.min(F.when(~missing, F.struct(F.col(value).alias("value"), F.col("_pos").alias("at")))).alias("_least"),
     )
-    parts = parts.select(
+    # The value of a partition's last row and where its run begins; NULL sorts last.
+    parts = summary.select(
         "_part",
         "_first",
-        F.col("_last.value").alias("_last"),
+        F.when(~F.col("_has_null"), F.col("_least.value")).alias("_last"),
+        F.when(F.col("_has_null"), F.col("_null_at")).otherwise(F.col("_least.at")).alias("_begun"),
         _before("_n").cast("long").alias("_rows_before"),
-        _before("_sum").alias("_sum_before"),
-        F.col("_last.begun").alias("_begun"),
+        _before("_sum").cast(total).alias("_sum_before"),
+        _before("_filled").alias("_filled_before"),
     ).withColumn("_begun", F.col("_begun") + F.col("_rows_before") + 1)
     # The rank at which the run of each partition's last value begins.
-    runs = parts.groupBy(F.col("_last").alias("_first")).agg(F.min("_begun").alias("_begun"))
-    parts = parts.drop("_begun").join(F.broadcast(runs), "_first", "left")
+    runs = parts.groupBy(F.col("_last").alias("_value")).agg(F.min("_begun").alias("_started"))
+    parts = parts.drop("_begun", "_last").join(F.broadcast(runs), F.col("_first").eqNullSafe(F.col("_value")), "left")
+    null_runs = runs.where("_value is null").agg(F.min("_started")).scalar()
 
     # One sort serves both windows: the order of the second is a prefix of the first's.
-    by_value = Window.partitionBy("_part").orderBy(F.desc(value))
-    by_place = Window.partitionBy("_part").orderBy(F.desc(value), "_pos").rowsBetween(*upto)
-    local = rows.withColumn("_run", F.sum(value).over(by_place)).withColumn(
-        "_rank", F.rank().over(by_value).cast("long")
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    by_value = Window.partitionBy("_part").orderBy(F.desc_nulls_last(value))
+    by_place = Window.partitionBy("_part").orderBy(F.desc_nulls_last(value), "_pos").rowsBetween(*upto)
+    local = rows.select(
+        "*",
+        F.sum(value).over(by_place).cast(total).alias("_run"),
+        F.count(value).over(by_place).alias("_seen"),
+        F.rank().over(by_value).cast("long").alias("_rank"),
     )
     rank_here = F.col("_rank") + F.col("_rows_before")
-    carried = (F.col(value) == F.col("_first")) & (F.col("_begun") < rank_here)
+    # Where the run began if it came from an earlier partition.
+    begun = F.when(missing, null_runs).when(F.col(value) == F.col("_first"), F.col("_started"))
+    zero = F.lit(0).cast(total)
+    running = F.coalesce("_sum_before", zero) + F.coalesce("_run", zero)
     return local.join(F.broadcast(parts), "_part").select(
         *df.columns,
-        F.when(carried, F.col("_begun")).otherwise(rank_here).alias(rank_out),
-        (F.col("_sum_before") + F.col("_run")).alias(running_out),
+        F.coalesce(F.least(begun, rank_here), rank_here).alias(rank_out),
+        F.when(F.col("_filled_before") + F.col("_seen") > 0, running).cast(total).alias(running_out),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..staging import stage
@@ -141,11 +141,14 @@ def observed(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Content fingerprint that depends on the rows but not on their order or files."""
-    row = F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
-    sums = df.agg(
-        F.count(F.lit(1)).alias("registros"),
-        F.coalesce(F.sum(F.xxhash64(row).cast("decimal(38,0)")), F.lit(0)).alias("_a"),
-        F.coalesce(F.sum(F.crc32(row)), F.lit(0)).alias("_b"),
-    )
+    """Content fingerprint that depends on the rows but not on their order or files: the
+    row count and two sums of 60 bits each of the rows' SHA-256, hashed. A decimal holds
+    the sums of more rows than there can be."""
+    row = F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"}), 256)
+
+    def total(start: int) -> Column:
+        number = F.conv(F.substring(row, start, 15), 16, 10).cast("decimal(38,0)")
+        return F.coalesce(F.sum(number), F.lit(0)).cast("decimal(38,0)")
+
+    sums = df.agg(F.count(F.lit(1)).alias("registros"), total(1).alias("_a"), total(16).alias("_b"))
     return sums.select("registros", F.sha2(F.concat_ws("/", "registros", "_a", "_b"), 256).alias("hash"))

@@ -25,41 +25,59 @@ def _complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.where(present).select(*[F.col(c).cast("double").alias(c) for c in columns])
 
 
-def _correlation(x: str, y: str, places: int | None) -> Column:
-    """Pearson correlation that is NULL for a constant column (``corr`` would divide by zero)."""
-    value = F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+def _correlations(data: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]) -> tuple[DataFrame, dict]:
+    """One row with an array of correlations, and the place of each pair in it.
+
+    Everything comes from plain sums of one pass: counts, sums and products of the values
+    less their means, which a first pass finds, so that large values do not cancel.
+    Columns of equal values are told by their bounds; their correlation is NULL.
+    """
+    means = data.agg(F.struct(*[F.avg(c).alias(c) for c in columns])).scalar()
+    centred = data.withColumn("_m", means).select(
+        *columns, *[(F.col(c) - F.col(f"_m.{c}")).alias(f"_d{i}") for i, c in enumerate(columns)]
+    )
+    products = sorted({tuple(sorted(p)) for p in pairs} | {(i, i) for p in pairs for i in p})
+    sums = centred.agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(f"_d{i}").alias(f"_s{i}") for i in range(len(columns))],
+        *[(F.min(c) < F.max(c)).alias(f"_v{i}") for i, c in enumerate(columns)],
+        *[F.sum(F.col(f"_d{i}") * F.col(f"_d{j}")).alias(f"_p{i}_{j}") for i, j in products],
+    )
+
+    def about(i: int, j: int) -> Column:
+        return F.col(f"_p{min(i, j)}_{max(i, j)}") - F.try_divide(F.col(f"_s{i}") * F.col(f"_s{j}"), F.col("_n"))
+
+    values = [
+        F.when(F.col(f"_v{i}") & F.col(f"_v{j}"), F.try_divide(about(i, j), F.sqrt(about(i, i)) * F.sqrt(about(j, j))))
+        for i, j in pairs
+    ]
+    return sums.select(F.array(*values).alias("_c")), {p: k for k, p in enumerate(pairs)}
+
+
+def _rounded(value: Column, places: int | None) -> Column:
     return value if places is None else F.round(value, places)
 
 
 def label_correlation(df: DataFrame, features: Sequence[str], label: str, places: int | None = None) -> DataFrame:
     """(feature, correlation) with the label; NULL means undefined."""
-    data = _complete(df, [*features, label])
-    one_row = data.agg(*[_correlation(f, label, places).alias(f) for f in features])
-    return _unpivot(one_row, {f: (f,) for f in features}, ["feature"], "correlation")
+    columns = [*features, label]
+    pairs = [(i, len(features)) for i in range(len(features))]
+    row, place = _correlations(_complete(df, columns), columns, pairs)
+    named = row.select([_rounded(F.get("_c", F.lit(place[p])), places).alias(f) for f, p in zip(features, pairs)])
+    return _unpivot(named, {f: (f,) for f in features}, ["feature"], "correlation")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], places: int | None = None) -> DataFrame:
-    """(x, y, correlation) for all ordered pairs of columns.
-
-    The covariances of all pairs come from one pass; those of a column with itself are
-    the variances.
-    """
-    data = _complete(df, columns)
+    """(x, y, correlation) for all ordered pairs of columns."""
     pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    covariances = data.agg(F.array(*[F.covar_samp(columns[i], columns[j]) for i, j in pairs]).alias("_c"))
-
-    def at(i: int, j: int) -> int:
-        return pairs.index((min(i, j), max(i, j)))
-
+    row, place = _correlations(_complete(df, columns), columns, pairs)
     entries = [
-        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.array(*map(F.lit, (at(i, j), at(i, i), at(j, j)))).alias("_k"))
+        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(place[min(i, j), max(i, j)]).alias("_k"))
         for i, x in enumerate(columns)
         for j, y in enumerate(columns)
     ]
-    both, var_x, var_y = (F.get("_c", F.get("_k", F.lit(n))) for n in range(3))
-    value = F.try_divide(both, F.sqrt(var_x) * F.sqrt(var_y))
-    named = covariances.select("_c", F.inline(F.array(*entries)))
-    return named.select("x", "y", (value if places is None else F.round(value, places)).alias("correlation"))
+    named = row.select("_c", F.inline(F.array(*entries)))
+    return named.select("x", "y", _rounded(F.get("_c", "_k"), places).alias("correlation"))
 
 
 def histogram(df: DataFrame, value: str, low: float, high: float, bins: int, by: str) -> DataFrame:

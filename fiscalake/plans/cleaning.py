@@ -46,6 +46,8 @@ def raw_contract(rules: Rules = DEFAULT_RULES, money_text: bool = True) -> Contr
             *[Field(c, text, nullable=False) for c in required],
             *[Field(c, text) for c in ("localidadeDoGasto", "subfuncao")],
             *[Field(c, text, money=money_text) for c in MONEY_COLUMNS[:3]],
+            # Amounts carried over are parsed like the others, but a source may lack them.
+            *[Field(c, text, money=money_text, optional=True) for c in MONEY_COLUMNS[3:]],
         ]
     )
 

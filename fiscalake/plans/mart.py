@@ -73,7 +73,7 @@ def with_kpis(trusted: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     return trusted.withColumns(
         {
             "taxa_execucao_pct": execution_rate(paid, committed),
-            "restos_liquidos": (F.col("valorRestoInscrito") - F.col("valorRestoCancelado")).cast(MONEY),
+            "restos_liquidos": F.col("valorRestoInscrito") - F.col("valorRestoCancelado"),
             "emenda_vitrine": is_showcase(paid, committed, rules.showcase_below),
         }
     )
@@ -130,7 +130,7 @@ def author_totals(rows: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
         pairs.groupBy("autor")
         .agg(
             F.min_by("tipoEmenda", F.struct(-F.col("_rows"), F.col("tipoEmenda"))).alias("_type"),
-            F.sum("_committed").cast(MONEY).alias("total_empenhado"),
+            F.sum("_committed").alias("total_empenhado"),
             F.sum("_paid").cast("double").alias("total_pago"),
             F.sum("_rows").alias("qtd_emendas"),
             _mean_rate().alias("media_execucao"),

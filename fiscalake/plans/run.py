@@ -23,7 +23,8 @@ def publish_trusted(records: DataFrame, position: Sequence[str], folder: str, ru
     Returns the quality summary."""
     window = cleaning.in_window(records, rules)
     checked = enforce(window, cleaning.raw_contract(rules))
-    quality = cleaning.require_quality(cleaning.discard_summary(checked, position, rules), rules)
+    # Rows outside the years are read and counted, too.
+    quality = cleaning.require_quality(cleaning.discard_summary(records, position, rules), rules)
     trusted = cleaning.trusted_zero(checked, position, rules)
     write_tables({"emendas_trusted": mart.published(trusted)}, folder)
     return quality
@@ -91,12 +92,22 @@ def publish_features(star: mart.Star, folder: str, rules: Rules = DEFAULT_RULES)
 
 
 def run_all(
-    spark: SparkSession, raw_folder: str, target: str, rules: Rules = DEFAULT_RULES, force: bool = False
+    spark: SparkSession,
+    raw_folder: str,
+    target: str,
+    rules: Rules = DEFAULT_RULES,
+    force: bool = False,
+    lines: bool = False,
+    profile: bool = False,
+    keep_nulls: bool = False,
 ) -> dict[str, int]:
     """Current raw files -> landed loads -> trusted -> mart, views and features.
 
     Each year is landed once unless ``force``; the later layers are always rebuilt from
     the current loads. A gate that fails stops the run before its layer is replaced.
+    ``lines``: files hold lines, which many tasks can read, instead of one array each.
+    ``profile``: describe the fields of each load. ``keep_nulls``: the null-keeping flavour
+    of cleaning, with its quarantine.
     """
     landed, trusted_folder, mart_folder = f"{target}/raw", f"{target}/trusted", f"{target}/mart"
     files = raw.select_current(raw.list_files(spark, raw_folder), read_ledger(spark, raw_folder))
@@ -104,10 +115,17 @@ def run_all(
     if not chosen:
         raise raw.NoRawData(f"no raw file in {raw_folder}")
     for row in chosen:
-        batch = raw.read_json(spark, row["path"], positioned=True)
-        land(batch, landed, row["ano"], row["arquivo"].removesuffix(".json"), "_at", row["origem"], force)
-    records = read_landed(spark, landed).withColumn("ano", F.col("ano").cast("long"))
-    publish_trusted(records, ["ano", "_file", "_at"], trusted_folder, rules)
+        batch = raw.read_json(spark, row["path"], positioned=True, lines=lines)
+        land(batch, landed, row["ano"], row["arquivo"].removesuffix(".json"), "_at", row["origem"], force, profile)
+    # All loads have the schema of the reader, so no file has to be opened to find it.
+    known = batch.drop("ano").schema.add("ano", "long").add("ingest_id", "string")
+    records = read_landed(spark, landed, schema=known).withColumn("ano", F.col("ano").cast("long"))
+    if keep_nulls:
+        publish_trusted_and_quarantine(
+            records, ["_file", "_at"], f"{target}/staging", trusted_folder, f"{target}/quarantine", rules, True
+        )
+    else:
+        publish_trusted(records, ["ano", "_file", "_at"], trusted_folder, rules)
     counts = publish_mart(read_trusted(spark, trusted_folder), mart_folder, rules)
     star = read_star(spark, mart_folder)
     return counts | publish_views(star, mart_folder, rules) | publish_features(star, f"{target}/feat", rules)

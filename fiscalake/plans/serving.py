@@ -20,7 +20,7 @@ from ..functions.money import (
 from ..operators.joins import lookup_join
 from ..operators.statistics import histogram
 from ..rules import DEFAULT_RULES, Rules
-from ..schemas import NO_STATE
+from ..schemas import MONEY, NO_STATE
 from .mart import Star, published
 
 ALL_STATES = "Todas"
@@ -89,9 +89,16 @@ def _any_of(column: str, values: Sequence) -> Column:
 
 
 def kpis(df: DataFrame) -> DataFrame:
-    committed, paid = exact_sum(F.col("valorEmpenhado")), exact_sum(F.col("valorPago"))
-    return df.agg(
-        F.count(F.lit(1)).alias("total_emendas"),
+    """One row. Records are first grouped by what is counted, so that the distinct counts,
+    which need a copy of their input for each, see a few groups instead of all records."""
+    groups = df.groupBy("autor", "funcao", "uf").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum(F.col("valorEmpenhado").cast(MONEY)).alias("_committed"),
+        F.sum(F.col("valorPago").cast(MONEY)).alias("_paid"),
+    )
+    committed, paid = (F.sum(c).cast("double") for c in ("_committed", "_paid"))
+    return groups.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("total_emendas"),
         committed.alias("total_empenhado"),
         paid.alias("total_pago"),
         F.when(committed > 0, ratio(paid, committed) * 100).otherwise(0.0).alias("taxa_execucao"),

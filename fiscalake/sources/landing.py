@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -66,11 +67,14 @@ def land(
     position: str | None = None,
     mode: str = "api",
     force: bool = False,
+    profile: bool = True,
 ) -> bool:
     """Land one year and record it; False if the ledger shows it was loaded before.
 
     Each load appends a partition of its own and replaces nothing. The ledger entry is
-    written last, so an interrupted load leaves no entry and is simply repeated.
+    written last, so an interrupted load leaves no entry and is simply repeated. It holds
+    the time of the load, which says what is current: ``ingest_id`` only names the load.
+    ``profile`` also describes all fields, which moves every distinct value once.
     """
     spark = batch.sparkSession
     ledger = read_ledger(spark, folder)
@@ -82,12 +86,14 @@ def land(
     # One load is one folder; writing it anew under the same id repairs a broken attempt.
     write_counted(rows, target, mode="overwrite")
     landed = spark.read.schema(rows.schema).parquet(target)
-    described = profile_fields(landed, position or rows.columns[0], rows.columns)
     print_of = fingerprint(landed).first()
-    profile_document(described, print_of["registros"], len(rows.columns), target, year).write.mode(
-        "overwrite"
-    ).json(f"{folder}/perfil/ano={year}/ingest_id={ingest_id}")
-    entry = [(year, target, print_of["hash"], print_of["registros"], ingest_id, mode)]
+    if profile:
+        described = profile_fields(landed, position or rows.columns[0], rows.columns)
+        profile_document(described, print_of["registros"], len(rows.columns), target, year).write.mode(
+            "overwrite"
+        ).json(f"{folder}/perfil/ano={year}/ingest_id={ingest_id}")
+    collected = datetime.now(UTC).isoformat(timespec="microseconds")
+    entry = [(year, target, print_of["hash"], print_of["registros"], collected, mode)]
     spark.createDataFrame(entry, LEDGER).write.mode("append").json(f"{folder}/ledger")
     return True
 

@@ -105,9 +105,13 @@ def current_paths(spark: SparkSession, folder: str, ledger: DataFrame) -> list[s
     return [row["path"] for row in chosen]
 
 
-def read_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """The page files of one collection as one table with the page number ``pagina``."""
-    df = spark.read.schema(RAW).option("multiLine", True).json(folder)
+def read_pages(spark: SparkSession, folder: str, lines: bool = False) -> DataFrame:
+    """The page files of one collection as one table with the page number ``pagina``: that
+    of the folder ``pagina=N`` a file is in, else that at the end of its name. ``lines`` as
+    in ``read_json``."""
+    df = spark.read.schema(RAW).option("multiLine", not lines).json(folder)
+    if "pagina" in df.columns:
+        return df.withColumn("pagina", F.col("pagina").cast("int"))
     return df.withColumn("pagina", F.regexp_extract(F.col("_metadata.file_name"), PAGE_NAME, 1).cast("int"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import RAW
 from ..sources.raw import PAGE_NAME
+from ..staging import exists
 
 
 def new_pages(spark: SparkSession, folder: str, lines: bool = False) -> DataFrame:
@@ -24,6 +25,7 @@ def land_new_pages(spark: SparkSession, folder: str, target: str, checkpoint: st
     and started again, neither repeats nor loses one. What has landed so far may still be
     incomplete, so check it with ``page_completeness`` before it becomes a load.
     """
+    before = _landed_rows(spark, target)
     query = (
         new_pages(spark, folder, lines)
         .writeStream.format("parquet")
@@ -33,4 +35,11 @@ def land_new_pages(spark: SparkSession, folder: str, target: str, checkpoint: st
         .start(target)
     )
     query.awaitTermination()
-    return sum(progress.numInputRows for progress in query.recentProgress)
+    return _landed_rows(spark, target) - before
+
+
+def _landed_rows(spark: SparkSession, target: str) -> int:
+    """Rows of the finished batches; Parquet counts them from its footers."""
+    if not exists(spark, f"{target}/_spark_metadata"):
+        return 0
+    return spark.read.schema("_ long").parquet(target).count()

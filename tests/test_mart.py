@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fiscalake.operators import joins, ordered
@@ -86,23 +87,40 @@ def test_views_equal_their_join_form(star):
     assert ranked.exceptAll(types).isEmpty() and types.exceptAll(ranked).isEmpty()
 
 
-@pytest.mark.parametrize("single_task_rows", [0, 10_000])
-def test_row_numbers_by_either_way(spark, single_task_rows):
-    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"), F.lit("x").alias("v"))
-    rows = ordered.number_rows(df.repartition(7), [F.desc("k")], "n", single_task_rows=single_task_rows).df
+@pytest.mark.parametrize("merge", ["false", "true"])
+def test_row_numbers(spark, merge):
+    """In many partitions, and in the few that adaptive execution makes of them."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merge)
+    try:
+        df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"), F.lit("x").alias("v"))
+        rows = ordered.number_rows(df.repartition(7), [F.desc("k")], "n").df
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert [r["n"] for r in rows.orderBy(F.desc("k")).collect()] == list(range(1, 5001))
 
 
+@pytest.mark.parametrize("nulls", [0, 3, 1])
 @pytest.mark.parametrize("spread", [1, 2, 7, 5000])
-def test_ranks_and_running_totals_by_either_way(spark, spread):
-    """With few distinct values, runs of equal rank reach across many partitions."""
+def test_ranks_and_running_totals(spark, spread, nulls):
+    """With few distinct values, runs of equal rank reach across many partitions, as do
+    runs of NULL: none, a third, or all of the rows."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         df = spark.range(5000).select(
             F.format_string("a%04d", "id").alias("a"), (F.col("id") * 31 % spread).cast(MONEY).alias("v")
         )
-        small = ordered.rank_and_running_total(df, "v", ["a"], "r", "t")
-        large = ordered.rank_and_running_total(df, "v", ["a"], "r", "t", single_task_rows=0)
+        if nulls:
+            df = df.withColumn("v", F.when(F.substring("a", 2, 4).cast("int") % nulls != 0, F.col("v")))
+        order = [F.desc_nulls_last("v"), "a"]
+        upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        small = df.select(
+            "a",
+            "v",
+            F.rank().over(Window.orderBy(F.desc_nulls_last("v"))).cast("long").alias("r"),
+            F.sum("v").over(upto).cast("decimal(38,4)").alias("t"),
+        )
+        large = ordered.rank_and_running_total(df, "v", ["a"], "r", "t")
+        assert dict(large.dtypes)["t"] == "decimal(38,4)"
         assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
         assert large.agg(F.max("t")).first()[0] == df.agg(F.sum("v")).first()[0]
     finally:
@@ -118,7 +136,7 @@ def test_joins_by_either_way(spark, how):
     )
     table = stage(spark.range(300).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")), "table")
     small = joins.lookup_join(rows, table, ["k"], how)
-    large = joins.lookup_join(rows, table, ["k"], how, broadcast_rows=0, rows_per_task=20)
+    large = joins.lookup_join(rows, table, ["k"], how, plain_rows=0, rows_per_task=20)
     assert large.columns == small.columns
     assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
 
