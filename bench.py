@@ -2,7 +2,7 @@
 
 ``cold`` queries start from the source tables and include every layer they need. The
 others run on the layers of one session, whose building is timed as ``build_*``. All
-rows of a result are fetched.
+rows of a result are made and thrown away.
 """
 
 from __future__ import annotations
@@ -75,20 +75,23 @@ def main() -> None:
     spark = local_session(CPUS)
     times: dict[str, float] = {}
 
+    def consume(df) -> None:
+        df.write.format("noop").mode("overwrite").save()
+
     def clock(name: str, make) -> None:
         start = time.perf_counter()
         make()
         times[name] = round(time.perf_counter() - start, 3)
 
     # The first job pays for starting the engine.
-    QUERIES["fact"](spark, FOLDER).toArrow()
+    consume(QUERIES["fact"](spark, FOLDER))
     for name, make in COLD.items():
-        clock(f"cold_{name}", lambda: make(Layers(spark, FOLDER)).toArrow())
+        clock(f"cold_{name}", lambda: consume(make(Layers(spark, FOLDER))))
     built = layers(spark, FOLDER, fresh=True)
     clock("build_trusted", lambda: built.trusted)
     clock("build_dimensions", lambda: built.star)
     for name in WARM:
-        clock(name, lambda: QUERIES[name](spark, FOLDER).toArrow())
+        clock(name, lambda: consume(QUERIES[name](spark, FOLDER)))
     report = {
         "metric": "total_seconds",
         "value": round(sum(times.values()), 3),

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 4)
 
+# Names and order of the raw and published columns.
 MONEY_COLUMNS = [
     "valorEmpenhado",
     "valorLiquidado",
@@ -55,6 +56,7 @@ FACT_COLUMNS = [
     "autor_id",
 ]
 
+# Names and order of the feature columns, and those that are correlated.
 FEATURE_COLUMNS = [
     "codigoEmenda",
     "autor",
