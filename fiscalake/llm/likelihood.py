@@ -32,6 +32,7 @@ HEAD = 1 << 17  # words whose scores go to all tasks
 DISTINCT = 400_000  # words a task counts before it passes them on
 ADD = 0.1  # to each count of the plain word model
 PRIOR = 1000.0  # pieces' worth of trust in the vocabulary's own scores
+PART = 33  # row numbers have the number of their stretch of input above this bit
 END = b""  # the end of a text; no word is empty
 
 
@@ -329,21 +330,36 @@ def log_likelihood(docs: DataFrame, path: str, learn, keep: dict | None = None)
             codes.append(c)
             rows_.append(np.frombuffer(r, np.uint32 if len(r) == 4 * len(c) else np.uint64).astype(np.int64) + base)
         codes, rows_ = np.concatenate(codes), np.concatenate(rows_)
-        if not len(codes):
-            return pa.Table.from_pydict({"row": [], "n_known": [], "base_score": [], "score": []}, _arrow("row long, n_known long, base_score double, score double"))
-        of, *values = _frames(*(right[n].to_pylist()[0] for n in ("codes", "known", "base", "lattice")))
-        at = np.searchsorted(of, codes)
+        out: dict[str, list] = {n: [] for n in ("part", "rows", "sums")}
+        if len(codes):
+            of, *values = _frames(*(right[n].to_pylist()[0] for n in ("codes", "known", "base", "lattice")))
+            at = np.searchsorted(of, codes)
+            found, inverse = np.unique(rows_, return_inverse=True)
+            sums = np.stack([np.bincount(inverse, v[at], len(found)) for v in values], 1)
+            part = found >> PART
+            ends = np.flatnonzero(np.append(part[1:] != part[:-1], True)) + 1
+            for a, b in zip(np.append(0, ends[:-1]), ends):
+                for name, value in zip(out, (int(part[a]), found[a:b].tobytes(), sums[a:b].tobytes())):
+                    out[name].append(value)
+        return pa.Table.from_pydict(out, _arrow("part long, rows binary, sums binary"))
+
+    def add(table: pa.Table) -> pa.Table:
+        rows_ = np.concatenate([np.frombuffer(x, np.int64) for x in table["rows"].to_pylist()])
+        sums = np.concatenate([np.frombuffer(x, float).reshape(-1, 3) for x in table["sums"].to_pylist()])
         found, inverse = np.unique(rows_, return_inverse=True)
-        total = [np.bincount(inverse, v[at], len(found)) for v in values]
-        return pa.Table.from_pydict({"row": found, "n_known": total[0].astype(np.int64), "base_score": total[1], "score": total[2]})
+        total = [np.bincount(inverse, sums[:, i], len(found)) for i in range(3)]
+        return pa.Table.from_pydict(
+            {"row": found, "more_n_known": total[0].astype(np.int64), "more_base_score": total[1], "more_score": total[2]}
+        )
 
+    # Sums come back packed by the stretch of input their texts are from.
     parts = (
         rare.groupBy("bucket")
         .cogroup(scored.select("bucket", "codes", "known", "base", "lattice").groupBy("bucket"))
-        .applyInArrow(meet, "row long, n_known long, base_score double, score double")
+        .applyInArrow(meet, "part long, rows binary, sums binary")
     )
     names = ("n_known", "base_score", "score")
-    more = parts.groupBy("row").agg(*(F.sum(c).alias(f"more_{c}") for c in names))
+    more = parts.groupBy("part").applyInArrow(add, "row long, more_n_known long, more_base_score double, more_score double")
     whole = ids.where(F.col("bucket").isNull()).join(more, "row", "left")
     return whole.select(
         "doc_id",
