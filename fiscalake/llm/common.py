@@ -76,13 +76,21 @@ def raw(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+class _Ids(dict):
+    """Numbers given out on first sight."""
+
+    def __missing__(self, word):
+        self[word] = number = len(self)
+        return number
+
+
 class Numbered:
     """Numbers for words in the order of first sight, forgotten when there are too many,
     so that a worker's memory does not grow with the corpus."""
 
     def __init__(self, limit: int, on_reset: Callable[[], None] | None = None):
         self.limit, self.on_reset = limit, on_reset
-        self.ids: dict[bytes, int] = {}
+        self.ids = _Ids()
 
     def make_room(self) -> None:
         """Call between documents: numbers given out earlier end here."""
@@ -94,7 +102,7 @@ class Numbered:
     def number(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
         """The words' numbers, and the words not seen before, in the order of their numbers."""
         ids, start = self.ids, len(self.ids)
-        out = np.fromiter((ids.setdefault(w, len(ids)) for w in words), np.int64, len(words))
+        out = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
         return out, list(islice(reversed(ids), len(ids) - start))[::-1]
 
 

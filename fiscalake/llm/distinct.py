@@ -134,3 +134,16 @@ def components(links: DataFrame) -> DataFrame:
         if new.where("old <> c").isEmpty():
             return new.select("r", "c")
         labels = new.select("r", "c")
+
+
+def merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``found`` (r, c) after more ``links`` (a, b): only the components that
+    these join are looked at."""
+    ends = links.select("a", "b")
+    for end in ("a", "b"):
+        own = found.select(F.col("r").alias(end), F.col("c").alias("c"))
+        ends = ends.join(own, end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
+    joined = components(ends.where("a <> b").distinct())
+    old = found.join(joined.select(F.col("r").alias("c"), F.col("c").alias("to")), "c", "left").select("r", F.coalesce("to", "c").alias("c"))
+    new = joined.join(found.select("r"), "r", "left_anti")
+    return staged(old.unionByName(new), "components")

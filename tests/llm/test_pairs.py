@@ -50,11 +50,10 @@ def family(rng, first, size, words, changes):
     return out
 
 
-@pytest.mark.parametrize("small", [48, 2])
-def test_join_against_brute_force(spark, monkeypatch, small):
-    """Once as it is, once with groups so small that leaders go round after round."""
-    monkeypatch.setattr(jaccard, "SMALL", small)
-    monkeypatch.setattr(jaccard, "LEADERS", 4)
+@pytest.mark.parametrize("leaders", [(1, 8), ()])
+def test_join_against_brute_force(spark, monkeypatch, leaders):
+    """Once as it is, once without leaders, so that the last round finds all links."""
+    monkeypatch.setattr(jaccard, "LEADERS", leaders)
     rng = random.Random(11)
     rows = documents() + family(rng, 1000, 25, 80, 5) + family(rng, 2000, 10, 30, 2)
     rows += [(3000, "A b C", None, None), (3001, "a B c", None, None), (3002, "a b", None, None)]
