@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 from itertools import islice
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +21,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _tell_workers(spark: SparkSession) -> None:
+    """In a local session, Python workers look for this package where the driver found it,
+    also if that is on the driver's path only. On a cluster it is installed or shipped."""
+    context = spark.sparkContext
+    root = str(Path(__file__).resolve().parents[2])
+    known = context.environment.get("PYTHONPATH", "")
+    if context.master.startswith("local") and root not in known.split(os.pathsep):
+        context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The columns of exactly these names, first of each, whatever else the frame holds
     (names that differ in case only would make a plain select ambiguous)."""
+    _tell_workers(df.sparkSession)
     plain = df.toDF(*(f"_{i}" for i in range(len(df.columns))))
     return plain.select(*(F.col(f"_{df.columns.index(n)}").alias(n) for n in names))
 

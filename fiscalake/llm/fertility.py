@@ -39,7 +39,7 @@ class Band(NamedTuple):
 
 # Bands by script; "other" holds for every script not named, and for texts without letters.
 BANDS = {
-    "latin": Band(1.5, 8.0, 0.10, 0.55),
+    "latin": Band(1.5, 8.0, 0.10, 0.65),
     "greek": Band(0.9, 6.0, 0.60, 0.35),
     "cyrillic": Band(0.9, 8.0, 0.60, 0.35),
     "cjk": Band(0.25, 4.0, 0.95, 0.35),

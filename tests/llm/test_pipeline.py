@@ -15,7 +15,7 @@ NAMES = ["doc_id", "text", "lang", "source", "n_chars"]
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
     path = tmp_path_factory.mktemp("corpus")
-    df = frame(spark, documents(size=120), clash=False).selectExpr("*", "length(text) AS n_chars")
+    df = frame(spark, documents(size=95), clash=False).selectExpr("*", "length(text) AS n_chars")
     df.write.parquet(f"{path}/documents.parquet")
     return str(path)
 
