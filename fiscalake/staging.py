@@ -8,6 +8,7 @@ database in that folder: dropping one removes its files, on any file system.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
@@ -35,7 +36,7 @@ def staging_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     app = context.applicationId
     if app not in _local_roots:
