@@ -194,7 +194,7 @@ class Settings(NamedTuple):
     """``sample``: at most so many distinct labelled texts, half of them of each label,
     train the score; ``vocabulary``: at most so many words and beginnings of words."""
 
-    sample: int = 12000
+    sample: int = 10000
     vocabulary: int = 4000
     steps: int = 300
     l2: float = 1e-3
@@ -254,15 +254,25 @@ class Scorer:
 
 def train(texts: list[str], labels: list[int], restorer: Restorer, s: Settings = Settings()) -> tuple[dict[str, float], float]:
     """Weights of units, and the bias. One class alone, or no text, gives a constant."""
-    sets = [frozenset(u for w in restore(t, restorer).split() for u in units(w)) for t in texts]
+    number: dict[str, int] = {}
+    by_word: dict[str, list[int]] = {}
+
+    def units_of(text: str) -> np.ndarray:
+        found: set[int] = set()
+        for w in set(restore(text, restorer).split()):
+            if w not in by_word:
+                by_word[w] = [number.setdefault(u, len(number)) for u in units(w)]
+            found.update(by_word[w])
+        return np.fromiter(found, np.int32, len(found))
+
+    sets = [units_of(t) for t in texts]
     y = np.array(labels, float)
     n1, n0 = float((y == 1).sum()), float((y == 0).sum())
     if not n1 or not n0:
         return {}, math.log((n1 + 0.5) / (n0 + 0.5))
-    count: dict[str, list[int]] = {}
+    count = np.zeros((len(number), 2), np.int64)
     for found, label in zip(sets, labels):
-        for u in found:
-            count.setdefault(u, [0, 0])[label] += 1
+        count[found, label] += 1
 
     def gain(c: list[int]) -> float:
         """Twice the log likelihood ratio of a unit's presence and the label."""
@@ -271,10 +281,14 @@ def train(texts: list[str], labels: list[int], restorer: Restorer, s: Settings =
         part = lambda k, n, q: (k * math.log(k / n / q) if k else 0) + ((n - k) * math.log((n - k) / n / (1 - q)) if n > k else 0)
         return 2 * sum(part(k, n, p) for k, n in table) if 0 < p < 1 else 0.0
 
-    rated = sorted(((-gain(c), u) for u, c in count.items() if sum(c) >= 3))
-    names = [u for g, u in rated[: s.vocabulary] if -g > 12]
-    place = {u: i for i, u in enumerate(names)}
-    rows = [np.array(sorted(place[u] for u in found if u in place), np.int64) for found in sets]
+    often = np.flatnonzero(count.sum(1) >= 3)
+    rated = sorted((-gain(count[i].tolist()), i) for i in often.tolist())
+    chosen = np.array([i for g, i in rated[: s.vocabulary] if -g > 12], np.int64)
+    names = list(number)
+    names = [names[i] for i in chosen]
+    place = np.full(len(number), -1)
+    place[chosen] = np.arange(len(chosen))
+    rows = [np.sort(place[found][place[found] >= 0]) for found in sets]
     lengths = np.array([len(r) for r in rows])
     index, owner = np.concatenate([*rows, np.empty(0, np.int64)]), np.repeat(np.arange(len(rows)), lengths)
     w, bias, grads, grad0 = np.zeros(len(names)), 0.0, np.full(len(names), 1e-8), 1e-8
@@ -286,7 +300,7 @@ def train(texts: list[str], labels: list[int], restorer: Restorer, s: Settings =
         grad0 += g0**2
         w -= 0.5 * gw / np.sqrt(grads)
         bias -= 0.5 * g0 / math.sqrt(grad0)
-    return {u: float(w[i]) for u, i in place.items() if w[i]}, float(bias)
+    return {u: float(x) for u, x in zip(names, w) if x}, float(bias)
 
 
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()):
@@ -345,7 +359,7 @@ def score_toxicity(docs: DataFrame, model, with_text: bool = False) -> DataFrame
 
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    labels = table(spark, folder, "labels").where(out_of_fold(F.col("doc_id"), 5, 0))
+    labels = pick(table(spark, folder, "labels"), "doc_id", "toxic").where(out_of_fold(F.col("doc_id"), 5, 0))
     return score_toxicity(docs, fit(docs, labels)).select(
         "doc_id", in_fold(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted"
     )
