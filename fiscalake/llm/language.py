@@ -91,17 +91,18 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 def train(texts: list[str], labels: list[str], s: Settings = Settings()) -> Model | None:
     """Learn from texts with labels; texts without letters are left out, None if all are."""
-    seen = [(f, y) for t, y in zip(texts, labels) if (f := features(t)) is not None]
+    seen, df = [], np.zeros(2**BITS)
+    for t, y in zip(texts, labels):
+        f = features(t)
+        if f is not None:
+            index, counts = np.unique(f, return_counts=True)
+            df[index.astype(np.int64)] += 1
+            seen.append((index.astype(np.int32), (counts * (SCALE / len(f))).astype(np.float32), y))
     if not seen:
         return None
-    languages = sorted({y for _, y in seen})
+    languages = sorted({y for _, _, y in seen})
     place = {y: i for i, y in enumerate(languages)}
-    rows, df = [], np.zeros(2**BITS)
-    for f, y in seen:
-        index, counts = np.unique(f, return_counts=True)
-        index = index.astype(np.int64)
-        df[index] += 1
-        rows.append((index, counts * (SCALE / len(f)), place[y]))
+    rows = [(index, share, place[y]) for index, share, y in seen]
     idf = np.log((1 + len(rows)) / (1 + df)) + 1
     k = len(languages)
     kept = [r for i, r in enumerate(rows) if i % s.calibration] or rows
@@ -223,6 +224,6 @@ def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -
 
 
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
+    docs = pick(table(spark, folder, "documents"), "doc_id", "text", "lang")
     model = fit(docs.where(out_of_fold(F.col("doc_id"), 3, 1)))
     return identify(docs, model).select("doc_id", in_fold(F.col("doc_id"), 3, 1).alias("held_out"), "lang_pred", "score")
