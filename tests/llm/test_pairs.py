@@ -61,6 +61,29 @@ def test_join_against_brute_force(spark, monkeypatch, leaders):
     assert Counter(map(tuple, got.collect())) == components(rows)
 
 
+@pytest.mark.parametrize("opening", [0, 10])
+def test_links_at_the_least_overlap(spark, opening):
+    """Pairs of 24 and 25 shingles with 22 in common, and of 49 and 50 with 44; once with an
+    opening that all texts have, whose shingles come last in every order."""
+    rng = random.Random(15)
+    new = lambda n: [f"x{rng.randrange(10**9)}" for _ in range(n)]
+    first, rows = new(opening), []
+    for i in range(400):
+        shared, more = (26, 2) if i % 2 else (48, 5)
+        both = first + new(shared - opening)
+        rows += [(2 * i, " ".join(both + new(more)), None, None), (2 * i + 1, " ".join(both + new(more + 1)), None, None)]
+    got = jaccard.join_texts(frame(spark, rows))
+    assert Counter(map(tuple, got.collect())) == components(rows)
+
+
+def test_shared_firsts_asked_for_are_guaranteed(spark):
+    sizes = [(n, m) for n in range(1, 260) for m in range(n, 5 * n // 4 + 1)]
+    behind = lambda n: n - min(n, n - jaccard.needed(n) + jaccard.spare(n))
+    asked = spark.createDataFrame(sizes, "n long, m long").select("n", "m", jaccard._enough("n", "m"), jaccard._enough("m", "n"))
+    for n, m, one, other in asked.collect():
+        assert one == other == max(1, -(-4 * (n + m) // 9) - max(behind(n), behind(m)))
+
+
 def test_one_of_each(spark):
     rows = documents(size=30)
     want = components(rows)
