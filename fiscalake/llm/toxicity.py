@@ -1,8 +1,8 @@
 """Toxicity with noisy-channel deobfuscation.
 
 Disguised words are restored before they are scored. A stretch of characters that may be
-disguised (digits or symbols inside a word, a letter three times or more, single letters
-with blanks or marks between them) becomes a lattice: at each character the writer may
+disguised (digits or symbols in a word or at its edges, a letter twice or more, single
+letters with blanks or marks between them) becomes a lattice: at each character the writer may
 have meant the letter itself, a letter it stands for (leetspeak), nothing (a repeated
 letter or a separator), or a word boundary. The Viterbi path under a character trigram
 model of the whole corpus and the costs of the channel is the restored text.
@@ -101,7 +101,8 @@ def count_characters(docs: DataFrame) -> np.ndarray:
 
 # --- restoring ----------------------------------------------------------------------------
 
-RUN = re.compile(r"([^\W\d_])\1\1")
+RUN = re.compile(r"([^\W\d_])\1")
+LONG_RUN = re.compile(r"([^\W\d_])\1\1")
 EDGES = ".,;:!?\"'()[]{}<>*%#&$|=-_~`^/\\"
 
 
@@ -111,6 +112,7 @@ class Restorer:
     def __init__(self, table: np.ndarray):
         self.table = [[list(map(float, row)) for row in plane] for plane in table]
         self.stretch = lru_cache(100_000)(self._stretch)
+        self.forms = lru_cache(20_000)(self._forms)
 
     def _choices(self, c: str, before: str) -> list[tuple[str, float]]:
         """What one character can mean: text and cost; empty text drops it."""
@@ -152,13 +154,46 @@ class Restorer:
             out.append(x)
         return "".join(reversed(out)).strip()
 
+    def _mean(self, text: str) -> float:
+        """Mean cost of a character of a text and its end."""
+        a = b = 0
+        total = 0.0
+        for code in [*map(_code, text), 0]:
+            total += self.table[a][b][code]
+            a, b = b, code
+        return total / (len(text) + 1)
+
+    def _decoded(self, core: str) -> list[str]:
+        """A letter three times is never meant; one written twice may be."""
+        if not any(map(str.isalpha, core)):
+            return [core]
+        if not core.isalpha() or LONG_RUN.search(core):
+            return [self.stretch(core)]
+        return [core, self.stretch(core)] if RUN.search(core) else [core]
+
+    def _forms(self, word: str) -> list[str]:
+        """What one word without blanks, in lower case, may mean, the most likely first.
+        Marks at its edges that are letters in LEET may be marks, or letters: all of them,
+        or those of the kind next to the word."""
+        core = word.strip(EDGES)
+        if not core:
+            return [core]
+        start = word.index(core)
+        heads, tails = _kept(word[:start][::-1]), _kept(word[start + len(core) :])
+        found = {x: None for head in heads for tail in tails for x in self._decoded(head[::-1] + core + tail)}
+        return sorted(found, key=self._mean) if len(found) > 1 else list(found)
+
     def word(self, word: str) -> str:
         """One word without blanks, in lower case: restored where it may be disguised, else
         without the marks at its edges."""
-        core = word.strip(EDGES)
-        if core.isalpha():
-            return self.stretch(core) if RUN.search(core) else core
-        return self.stretch(core) if any(map(str.isalpha, core)) else core
+        return self.forms(word)[0]
+
+
+def _kept(marks: str) -> list[str]:
+    """Parts of the ``marks`` at an edge, from the word outwards, that may be letters."""
+    marks = marks.rstrip("".join(set(EDGES) - set(LEET)))
+    first = marks[: len(marks) - len(marks.lstrip(marks[:1]))]
+    return list(dict.fromkeys(["", first if first[:1] in LEET else "", marks]))
 
 
 def spaced(words: list[str]) -> list[tuple[int, int]]:
@@ -225,7 +260,8 @@ class Scorer:
             self.mark = np.concatenate([self.mark, np.zeros(len(self.mark) + len(new), np.int8)])
         for w in new:
             text = w.decode()
-            known = [u for u in units(self.restorer.word(text)) if u in self.weights]
+            # Which form is meant may not show in its letters: the first that has known units.
+            known = next(filter(None, ([u for u in units(x) if u in self.weights] for x in self.restorer.forms(text))), [])
             if known:
                 self.found[self.held] = known
             self.mark[self.held] = (1 if known else 0) | (2 if len(text) == 1 else 0)

@@ -114,6 +114,16 @@ def test_restoring(restorer, written, meant):
     assert toxicity.restore(written, restorer) == meant
 
 
+@pytest.mark.parametrize(
+    "written, meant",
+    [("$tupid", "stupid"), ("!diot", "idiot"), ("|diot!!", "idiot"), ("!d!0t", "idiot"), ("(trash)", "trash"), ("tra$h,", "trash"),
+     ("worthle$$", "worthless"), ("worthle$$!", "worthless"), ("idioot", "idiot"), ("stuupid", "stupid"), ("worthless", "worthless")],
+)
+def test_disguised_edges_and_doubled_letters(restorer, written, meant):
+    weights = {w: 1.0 for w in ("stupid", "idiot", "trash", "worthless")}
+    assert toxicity.Scorer((weights, 0.0), restorer).units(written) == {meant}
+
+
 def test_toxicity_on_held_out_texts(spark):
     rng = random.Random(6)
     bad = ["idiot", "stupid", "loser", "trash"]
