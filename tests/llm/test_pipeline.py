@@ -47,6 +47,15 @@ def test_stages_in_turn(spark, folder, tmp_path):
             assert {r["doc_id"] for r in after} == {r[0] for r in before}
 
 
+@pytest.mark.parametrize("labelled", [True, False])
+def test_texts_of_any_length_stay(spark, folder, labelled):
+    rows = [(i, t, y if labelled else None, s, 0) for i, t, y, s in documents(size=95)]
+    rows += [(1000 + i, t, None, "s", 0) for i, t in enumerate(["a", "é", "the eau", "qz", "x 1", "ing que"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.languages(spark, docs, folder).collect()
+    assert sorted(str(r["doc_id"]) for r in kept) == sorted(str(r[0]) for r in rows if r[1] and re.search(r"[^\W\d_]", r[1]))
+
+
 def test_run_is_the_stages(spark, folder):
     got = corpus_pipeline.run(spark, folder)
     assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and got.count() > 0
