@@ -86,20 +86,28 @@ def completions(counts: dict[int, int], capacity: int, most: int = 8, tries: int
     def free(s: int, filling: tuple[int, ...]) -> bool:
         return filling.count(s) < counts[s]
 
-    def grow(below: int, filling: tuple[int, ...], room: int) -> None:
+    # An own stack, as a filling can have thousands of pieces: next size, filling, room,
+    # whether nothing was added to it, whether it was looked at.
+    stack: list[list] = []
+
+    def push(below: int, filling: tuple[int, ...], room: int) -> None:
         nonlocal tried
         tried += 1
-        last = True
-        for i in range(bisect_right(sizes, room, 0, below) - 1, -1, -1):
-            if free(sizes[i], filling):
-                last = False
-                grow(i + 1, (*filling, sizes[i]), room - sizes[i])
-            if tried > tries:
-                break
-        if last:
-            found[filling] = room
-
-    grow(len(sizes), (sizes[-1],), capacity - sizes[-1])
+        stack.append([bisect_right(sizes, room, 0, below) - 1, filling, room, True, False])
+
+    push(len(sizes), (sizes[-1],), capacity - sizes[-1])
+    while stack:
+        top = stack[-1]
+        i, filling, room, last, begun = top
+        if i < 0 or (begun and tried > tries):
+            stack.pop()
+            if last:
+                found[filling] = room
+            continue
+        top[0], top[4] = i - 1, True
+        if free(sizes[i], filling):
+            top[3] = False
+            push(i + 1, (*filling, sizes[i]), room - sizes[i])
 
     def dominated(filling: tuple[int, ...]) -> bool:
         room = found[filling]

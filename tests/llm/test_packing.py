@@ -45,6 +45,13 @@ def test_plans_are_optimal_for_small_cases():
         assert sum(n for _, n in plan) == fewest(sizes, 30) >= packing.least(Counter(sizes), 30)
 
 
+def test_many_pieces_of_one_token():
+    counts = {700: 30, 1: 1000}
+    plan = packing.complete(counts, 2048)
+    assert Counter(s for filling, n in plan for s in filling * n) == counts
+    assert all(sum(filling) <= 2048 for filling, _ in plan)
+
+
 def test_cut():
     assert packing.cut(1, 4) == [(0, 1)]
     assert packing.cut(4, 4) == [(0, 4)]
