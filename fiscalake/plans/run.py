@@ -98,7 +98,7 @@ def run_all(
     rules: Rules = DEFAULT_RULES,
     force: bool = False,
     lines: bool = False,
-    profile: bool = False,
+    profile: bool = True,
     keep_nulls: bool = False,
 ) -> dict[str, int]:
     """Current raw files -> landed loads -> trusted -> mart, views and features.
@@ -106,7 +106,7 @@ def run_all(
     Each year is landed once unless ``force``; the later layers are always rebuilt from
     the current loads. A gate that fails stops the run before its layer is replaced.
     ``lines``: files hold lines, which many tasks can read, instead of one array each.
-    ``profile``: describe the fields of each load. ``keep_nulls``: the null-keeping flavour
+    ``profile``: describe the fields of each load, unless switched off. ``keep_nulls``: the null-keeping flavour
     of cleaning, with its quarantine.
     """
     landed, trusted_folder, mart_folder = f"{target}/raw", f"{target}/trusted", f"{target}/mart"

@@ -239,3 +239,17 @@ def test_an_empty_table_gives_empty_results(trusted):
     table = features.features(star.fato_emendas)
     assert table.isEmpty()
     assert all(r["correlation"] is None for r in features.feature_ranking(table).collect())
+
+
+@pytest.mark.parametrize("switch, profiled", [({}, True), ({"profile": False}, False)])
+def test_loads_are_profiled_unless_switched_off(spark, many_records, write_json, tmp_path, monkeypatch, switch, profiled):
+    class Landed(Exception):
+        pass
+
+    def land(*given):
+        raise Landed(given[-1])
+
+    monkeypatch.setattr(run, "land", land)
+    write_json("raw/emendas_2021_20240201_000000.json", [r | {"ano": 2021} for r in many_records[:3]])
+    with pytest.raises(Landed, match=str(profiled)):
+        run.run_all(spark, str(tmp_path / "raw"), str(tmp_path / "out"), **switch)
