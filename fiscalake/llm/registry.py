@@ -6,6 +6,7 @@ from .fertility import op3_fertility
 from .jaccard import op9_jaccard
 from .language import op4_language
 from .likelihood import op8_likelihood
+from .merge_pieces import op11_pieces
 from .mixing import op6_mixing
 from .packing import op10_packing
 from .toxicity import op1_toxicity
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_likelihood": op8_likelihood,
     "op9_jaccard": op9_jaccard,
     "op10_packing": op10_packing,
+    "op11_pieces": op11_pieces,
     "pipeline": corpus_pipeline.run,
 }
 
