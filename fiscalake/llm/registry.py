@@ -6,6 +6,7 @@ from .fertility import op3_fertility
 from .jaccard import op9_jaccard
 from .language import op4_language
 from .likelihood import op8_likelihood
+from .manifest import OP12_SQL, op12_manifest
 from .merge_pieces import op11_pieces
 from .mixing import op6_mixing
 from .packing import op10_packing
@@ -26,10 +27,12 @@ QUERIES = {
     "op9_jaccard": op9_jaccard,
     "op10_packing": op10_packing,
     "op11_pieces": op11_pieces,
+    "op12_manifest": op12_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
     "op2_url_filter": OP2_SQL,
     "op7_topk": OP7_SQL,
+    "op12_manifest": OP12_SQL,
 }

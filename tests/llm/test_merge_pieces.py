@@ -113,7 +113,7 @@ def test_query(spark, library, tmp_path):
     assert sorted(map(tuple, got)) == sorted(expected)
 
 
-def test_other_kinds_of_vocabulary_are_refused(tmp_path):
-    path = str(tmp_path / "words.model")
-    with pytest.raises((ValueError, OSError)):
-        MergePieces(path)
+def test_a_vocabulary_that_merges_otherwise_is_refused(monkeypatch):
+    monkeypatch.setattr(MergePieces, "compatible", lambda self, left, right: self._merged(right) is not None)
+    with pytest.raises(ValueError, match="not a vocabulary of merges"):
+        MergePieces(PATH)
