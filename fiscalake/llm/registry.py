@@ -9,6 +9,7 @@ from .likelihood import op8_likelihood
 from .manifest import OP12_SQL, op12_manifest
 from .merge_pieces import op11_pieces
 from .mixing import op6_mixing
+from .negatives import OP13_SQL, op13_negatives
 from .packing import op10_packing
 from .toxicity import op1_toxicity
 from .suffixes import op5_suffixes
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_packing": op10_packing,
     "op11_pieces": op11_pieces,
     "op12_manifest": op12_manifest,
+    "op13_negatives": op13_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -35,4 +37,5 @@ ORACLE = {
     "op2_url_filter": OP2_SQL,
     "op7_topk": OP7_SQL,
     "op12_manifest": OP12_SQL,
+    "op13_negatives": OP13_SQL,
 }
