@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from fiscalake.llm import jaccard, suffixes
@@ -147,3 +148,32 @@ def test_anchors_depend_on_the_window_alone():
         whole = {p: a for s, e, a, _ in zip(*suffixes.anchors(text)) for p in range(s, e)}
         part = {p + shift: a + shift for s, e, a, _ in zip(*suffixes.anchors(text[shift:])) for p in range(s, e)}
         assert all(whole[p] == a for p, a in part.items())
+
+
+def test_parities_tell_no_more_than_the_difference():
+    rng = np.random.default_rng(3)
+    for n, changed in ((5, 1), (40, 6), (100, 30), (3000, 500), (30, 60)):
+        for _ in range(50):
+            shared = rng.integers(0, 2**63, n).astype(np.uint64)
+            a = np.unique(np.concatenate([shared, rng.integers(0, 2**63, changed).astype(np.uint64)]))
+            b = np.unique(np.concatenate([shared, rng.integers(0, 2**63, changed // 2).astype(np.uint64)]))
+            apart = sum(int(x).bit_count() for x in (jaccard.parities(a) ^ jaccard.parities(b)).view(np.uint64))
+            assert apart <= len(np.setxor1d(a, b))
+            if jaccard.linked(a, b):
+                assert 9 * apart <= len(a) + len(b)
+    assert not jaccard.parities(np.empty(0, np.uint64)).any()
+
+
+def test_heavily_changed_copies_of_a_family(spark):
+    """Copies on both sides of the least similarity, of which some link only to others
+    that were changed in the same places."""
+    rng = random.Random(21)
+    base = prose(rng, 90).split()
+    rows = []
+    for i in range(260):
+        text = list(base)
+        for place in rng.sample([5, 20, 35, 50, 65, 80], rng.randint(0, 5)):
+            text[place] = f"z{place}{rng.randrange(3)}"
+        rows.append((i, " ".join(text), None, None))
+    got = jaccard.join_texts(frame(spark, rows))
+    assert Counter(map(tuple, got.collect())) == components(rows)
