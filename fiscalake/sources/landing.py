@@ -1,16 +1,22 @@
-"""Append-only raw landing with a ledger that makes loads idempotent."""
+"""Append-only raw landing with a ledger that makes loads idempotent.
+
+Files are written once and never changed or replaced. A ledger entry is a file of its own
+that must not exist before, and the only thing that makes a folder of rows a load.
+"""
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.profile import fingerprint, profile_document, profile_fields
-from ..staging import exists, write_counted
+from ..staging import create_if_absent, exists, found, remove, write_counted
 
 LEDGER = "ano long, arquivo string, hash string, registros long, coletado_em string, modo string"
 
@@ -59,6 +65,38 @@ def require_complete(completeness: DataFrame) -> None:
         raise IncompleteLoad(f"missing pages for {broken}")
 
 
+def _entry_number(path: str) -> int:
+    return int(path.rsplit("-", 1)[1].removesuffix(".json"))
+
+
+def _record(spark: SparkSession, folder: str, entry: dict, force: bool) -> bool:
+    """Write the year's next ledger entry; False if the year has one already, unless
+    ``force``. Entries of a year are numbered, and a number is given once: of two loads
+    that come at a time, one is recorded first and the other sees it. The times of a year's
+    entries rise with their numbers, whatever the clocks say."""
+    year = entry["ano"]
+    while True:
+        numbers = [_entry_number(path) for path, _ in found(spark, f"{folder}/ledger/{year}-*.json")]
+        before = read_ledger(spark, folder).where(F.col("ano") == year).agg(F.max("coletado_em")).first()[0]
+        if before is not None and not force:
+            return False
+        now = datetime.now(UTC)
+        if before is not None:
+            now = max(now, _moment(before) + timedelta(microseconds=1))
+        entry |= {"coletado_em": now.isoformat(timespec="microseconds")}
+        path = f"{folder}/ledger/{year}-{max(numbers, default=0) + 1:08d}.json"
+        if create_if_absent(spark, path, json.dumps(entry)):
+            return True
+
+
+def _moment(text: str) -> datetime:
+    try:
+        moment = datetime.fromisoformat(text)
+    except ValueError:
+        return datetime.fromtimestamp(0, UTC)
+    return moment if moment.tzinfo else moment.replace(tzinfo=UTC)
+
+
 def land(
     batch: DataFrame,
     folder: str,
@@ -71,31 +109,55 @@ def land(
 ) -> bool:
     """Land one year and record it; False if the ledger shows it was loaded before.
 
-    Each load appends a partition of its own and replaces nothing. The ledger entry is
-    written last, so an interrupted load leaves no entry and is simply repeated. It holds
-    the time of the load, which says what is current: ``ingest_id`` only names the load.
-    ``profile`` also describes all fields, which moves every distinct value once.
+    What is landed never changes: each attempt writes a folder of its own, also under an
+    ``ingest_id`` that was used before, and becomes the year's load by its ledger entry
+    alone, which is written last and names the folder. An attempt that fails at any point,
+    a forced reload too, leaves the load before it; its folder is removed here, or, after
+    a lost driver, by ``remove_unfinished``. Of two writers of one year the ledger takes
+    one, and the other returns False; with ``force`` it is recorded after the first.
+
+    The entry holds the time of the load, which says what is current: ``ingest_id`` only
+    names the load. ``profile`` also describes all fields, which moves every distinct value
+    once.
     """
     spark = batch.sparkSession
-    ledger = read_ledger(spark, folder)
-    if not force and not ledger.where(F.col("ano") == year).isEmpty():
+    if not force and not read_ledger(spark, folder).where(F.col("ano") == year).isEmpty():
         return False
-    target = f"{folder}/dados/ano={year}/ingest_id={ingest_id}"
+    place = f"ano={year}/ingest_id={ingest_id}/tentativa=t{uuid.uuid4().hex}"
+    target, description = f"{folder}/dados/{place}", f"{folder}/perfil/{place}"
     rows = batch.drop("ano")
-    require_rows(rows)
-    # One load is one folder; writing it anew under the same id repairs a broken attempt.
-    write_counted(rows, target, mode="overwrite")
-    landed = spark.read.schema(rows.schema).parquet(target)
-    print_of = fingerprint(landed).first()
-    if profile:
-        described = profile_fields(landed, position or rows.columns[0], rows.columns)
-        profile_document(described, print_of["registros"], len(rows.columns), target, year).write.mode(
-            "overwrite"
-        ).json(f"{folder}/perfil/ano={year}/ingest_id={ingest_id}")
-    collected = datetime.now(UTC).isoformat(timespec="microseconds")
-    entry = [(year, target, print_of["hash"], print_of["registros"], collected, mode)]
-    spark.createDataFrame(entry, LEDGER).write.mode("append").json(f"{folder}/ledger")
-    return True
+    recorded = False
+    try:
+        if not write_counted(rows, target):
+            raise EmptyLoad("the load has no rows")
+        landed = spark.read.schema(rows.schema).parquet(target)
+        print_of = fingerprint(landed).first()
+        if profile:
+            described = profile_fields(landed, position or rows.columns[0], rows.columns)
+            envelope = profile_document(described, print_of["registros"], len(rows.columns), target, year)
+            envelope.write.json(description)
+        entry = {"ano": year, "arquivo": target, "hash": print_of["hash"], "registros": print_of["registros"], "modo": mode}
+        recorded = _record(spark, folder, entry, force)
+        return recorded
+    finally:
+        if not recorded:
+            remove(spark, target)
+            remove(spark, description)
+
+
+def remove_unfinished(spark: SparkSession, folder: str, older_than: timedelta = timedelta(days=1)) -> list[str]:
+    """Remove attempts that no ledger entry names, if they are older than any load takes;
+    returns their places. Loads that were replaced are history and stay."""
+    named = {row["arquivo"].rsplit("/dados/", 1)[-1] for row in read_ledger(spark, folder).collect()}
+    limit = (datetime.now(UTC) - older_than).timestamp() * 1000
+    gone = []
+    for path, changed in found(spark, f"{folder}/dados/ano=*/ingest_id=*/tentativa=*"):
+        place = path.rsplit("/dados/", 1)[-1]
+        if place not in named and changed <= limit:
+            remove(spark, path)
+            remove(spark, f"{folder}/perfil/{place}")
+            gone.append(place)
+    return gone
 
 
 def read_landed(
@@ -115,4 +177,4 @@ def read_landed(
         raise EmptyLoad(f"nothing landed in {folder}")
     reader = spark.read.option("basePath", f"{folder}/dados")
     reader = reader.schema(schema) if schema else reader.option("mergeSchema", True)
-    return reader.parquet(*paths)
+    return reader.parquet(*paths).drop("tentativa")

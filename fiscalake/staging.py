@@ -15,6 +15,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,9 +51,57 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder (or a match of a glob) is there, on any file system."""
+    return bool(found(spark, path))
+
+
+def _file_system(spark: SparkSession, path: str):
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(files.globStatus(hadoop))
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def found(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """Path and time of change, in milliseconds, of each file or folder a glob matches."""
+    hadoop, files = _file_system(spark, pattern)
+    return [(s.getPath().toString(), s.getModificationTime()) for s in files.globStatus(hadoop) or []]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all it holds, if it is there."""
+    hadoop, files = _file_system(spark, path)
+    files.delete(hadoop, True)
+
+
+def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not be there yet; False, and nothing written, if it is.
+
+    The content is complete before the name appears, and of several writers one wins: the
+    name is given by a rename that does not replace (a hard link on a local disk, where
+    renames do). A store without such a rename needs a connector that has one."""
+    jvm = spark.sparkContext._jvm
+    folder, name = path.rsplit("/", 1)
+    hadoop, files = _file_system(spark, path)
+    draft = jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}.{uuid.uuid4().hex}")
+    files.mkdirs(hadoop.getParent())
+    out = files.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        if files.getScheme() == "file":
+            place = lambda p: jvm.java.io.File(files.makeQualified(p).toUri().getPath()).toPath()
+            jvm.java.nio.file.Files.createLink(place(hadoop), place(draft))
+        else:
+            none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                files.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
+            )
+            context.rename(files.makeQualified(draft), files.makeQualified(hadoop), none)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        files.delete(draft, False)
+    return True
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -102,10 +151,8 @@ def replace_table(df: DataFrame, path: str, compression: str = "snappy") -> int:
     rows = write_counted(df, f"{path}/{folder}", compression)
     entry = [(before[-1]["number"] + 1 if before else 1, folder, rows)]
     spark.createDataFrame(entry, VERSIONS).coalesce(1).write.mode("append").json(f"{path}/versions")
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for old in before[:-1]:
-        place = hadoop(f"{path}/{old['folder']}")
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        remove(spark, f"{path}/{old['folder']}")
     return rows
 
 
