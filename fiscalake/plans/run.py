@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,8 @@ from ..rules import DEFAULT_RULES, Rules
 from ..schemas import MONEY
 from ..sources import raw
 from ..sources.landing import land, read_landed, read_ledger, require_rows
-from ..sources.layers import dictionary_json, staged, write_tables
+from ..sources.arrays import read_arrays
+from ..sources.layers import dictionary_json, staged, staging_place, write_tables
 from ..staging import Staged, published
 from . import cleaning, features, mart
 
@@ -39,7 +41,8 @@ def publish_trusted_and_quarantine(
     rules: Rules = DEFAULT_RULES,
     force: bool = False,
 ) -> dict[str, int]:
-    """The null-keeping flavour with its quarantine. Returns the row counts."""
+    """The null-keeping flavour with its quarantine. Returns the row counts. Name
+    ``staging_path`` with ``layers.staging_place``, so that other loads are staged anew."""
     staging = staged(cleaning.staging_rows(records, rules), staging_path, force)
     require_rows(staging)
     rejected = mart.published(cleaning.quarantine(staging, rules))
@@ -105,7 +108,7 @@ def run_all(
 
     Each year is landed once unless ``force``; the later layers are always rebuilt from
     the current loads. A gate that fails stops the run before its layer is replaced.
-    ``lines``: files hold lines, which many tasks can read, instead of one array each.
+    ``lines``: files hold lines instead of one array each; many tasks read either.
     ``profile``: describe the fields of each load, unless switched off. ``keep_nulls``: the null-keeping flavour
     of cleaning, with its quarantine.
     """
@@ -114,15 +117,16 @@ def run_all(
     chosen = files.where(F.col("ano").isin(rules.years)).orderBy("ano").collect()
     if not chosen:
         raise raw.NoRawData(f"no raw file in {raw_folder}")
+    read = partial(raw.read_json, lines=True) if lines else read_arrays
     for row in chosen:
-        batch = raw.read_json(spark, row["path"], positioned=True, lines=lines)
+        batch = read(spark, row["path"], positioned=True)
         land(batch, landed, row["ano"], row["arquivo"].removesuffix(".json"), "_at", row["origem"], force, profile)
     # All loads have the schema of the reader, so no file has to be opened to find it.
     known = batch.drop("ano").schema.add("ano", "long").add("ingest_id", "string")
     records = read_landed(spark, landed, schema=known).withColumn("ano", F.col("ano").cast("long"))
     if keep_nulls:
         publish_trusted_and_quarantine(
-            records, ["_file", "_at"], f"{target}/staging", trusted_folder, f"{target}/quarantine", rules, True
+            records, ["_file", "_at"], staging_place(spark, landed, f"{target}/staging"), trusted_folder, f"{target}/quarantine", rules
         )
     else:
         publish_trusted(records, ["ano", "_file", "_at"], trusted_folder, rules)

@@ -13,6 +13,7 @@ from ..plans.serving import with_serving_columns
 from ..rules import DEFAULT_RULES, Rules
 from ..staging import exists, is_published, published, replace_table
 from . import raw
+from .landing import current_entries, read_ledger
 
 
 class NoLayer(FileNotFoundError):
@@ -44,14 +45,27 @@ def write_tables(tables: Mapping[str, DataFrame], folder: str, compression: str
 
 def staged(df: DataFrame, path: str, force: bool = False, compression: str = "zstd") -> DataFrame:
     """``df`` written to ``path`` once; a finished table there is read instead unless
-    ``force``. Name ``path`` after the loads it came from, so that a new load is not
-    mistaken for an old one."""
+    ``force``. ``staging_place`` names ``path`` after the loads that ``df`` comes from."""
     spark = df.sparkSession
     if force or not is_published(spark, path):
         replace_table(df, path, compression)
     return published(spark, path).df
 
 
+def loads_key(ledger: DataFrame) -> str:
+    """What the current loads of a ledger hold, as one name: the same for the same rows,
+    another one after any load of other rows. A ledger has one current entry per year."""
+    current = current_entries(ledger).select(F.concat_ws("/", "ano", "registros", "hash").alias("one"))
+    listed = current.agg(F.array_join(F.array_sort(F.collect_list("one")), ";").alias("all"))
+    return listed.select(F.substring(F.sha2("all", 256), 1, 24)).first()[0]
+
+
+def staging_place(spark: SparkSession, landed: str, path: str) -> str:
+    """``path`` with the key of the loads in the folder ``landed``: a table staged there is
+    reused as long as the loads are the same, and made anew when one has changed."""
+    return f"{path}-{loads_key(read_ledger(spark, landed))}"
+
+
 def best_layer(
     spark: SparkSession, mart: str, trusted: str, raw_files: str, rules: Rules = DEFAULT_RULES, lines: bool = False
 ) -> DataFrame:

@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import RAW
+from .arrays import read_arrays
 
 # The names raw files are landed under.
 RAW_NAME = r"^emendas_(\d{4})_(\d{8}_\d{6})\.json$"
 SAMPLE_NAME = r"^emendas_(\d{4})_sample\.json$"
 PAGE_NAME = r"(\d+)\.json$"
+PAGE_FOLDER = r"/pagina=(\d+)/"
 
 LISTING = "path string, arquivo string"
 
@@ -26,8 +28,8 @@ def read_json(
 ) -> DataFrame:
     """JSON files united by column name; absent fields are NULL.
 
-    A file holds one JSON array, or with ``lines`` one object or array per line. Only
-    files of lines can be split: land an array file once and read Parquet afterwards.
+    A file holds one JSON array, or with ``lines`` one object or array per line. Spark
+    gives an array file to one task here; ``arrays.read_arrays`` splits it.
     With ``positioned``, ``_file`` and ``_at`` give each record's place in its file.
     """
     reader = spark.read.schema(RAW).option("multiLine", not lines)
@@ -105,14 +107,22 @@ def current_paths(spark: SparkSession, folder: str, ledger: DataFrame) -> list[s
     return [row["path"] for row in chosen]
 
 
+def page_number(path: Column) -> Column:
+    """The page a file holds: that of the folder ``pagina=N`` it is in, else the number at
+    the end of its name."""
+    numbers = [F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")) for pattern in (PAGE_FOLDER, PAGE_NAME)]
+    return F.coalesce(*numbers).cast("int")
+
+
 def read_pages(spark: SparkSession, folder: str, lines: bool = False) -> DataFrame:
-    """The page files of one collection as one table with the page number ``pagina``: that
-    of the folder ``pagina=N`` a file is in, else that at the end of its name. ``lines`` as
-    in ``read_json``."""
-    df = spark.read.schema(RAW).option("multiLine", not lines).json(folder)
-    if "pagina" in df.columns:
-        return df.withColumn("pagina", F.col("pagina").cast("int"))
-    return df.withColumn("pagina", F.regexp_extract(F.col("_metadata.file_name"), PAGE_NAME, 1).cast("int"))
+    """The page files of one collection as one table with their page number ``pagina``.
+    A file holds one JSON array, which can be split, or with ``lines`` one object or array
+    per line."""
+    if not lines:
+        rows = read_arrays(spark, folder, positioned=True)
+        return rows.withColumn("pagina", page_number(F.col("_file"))).drop("_file", "_at")
+    df = spark.read.schema(RAW).option("recursiveFileLookup", True).json(folder)
+    return df.withColumn("pagina", page_number(F.col("_metadata.file_path")))
 
 
 def page_completeness(pages: DataFrame, by: str = "ano", page: str = "pagina") -> DataFrame:

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from fiscalake.operators import profile
-from fiscalake.sources import landing
+from fiscalake.sources import landing, layers
 from fiscalake.staging import create_if_absent, exists, found
+from fiscalake.streaming import landing as stream
 
 from .conftest import record
 
@@ -126,3 +127,70 @@ def test_a_clock_that_goes_back_does_not_bring_back_an_old_load(spark, raw_frame
     assert create_if_absent(spark, f"{folder}/ledger/2023-00000002.json", future % target)
     landing.land(raw_frame([record("B")]), folder, 2023, "b", force=True, profile=False)
     assert codes(spark, folder) == ["B"]
+
+
+# ---- page streams --------------------------------------------------------------------
+
+
+def pages(write_json, year, *numbers, rows=3, tag=""):
+    for n in numbers:
+        write_json(f"pages/{tag}{year}_{n}.json", [record(f"{year}-{n}-{i}{tag}", ano=year) for i in range(rows)])
+
+
+def test_pages_are_landed_when_their_year_is_complete(spark, write_json, tmp_path):
+    source, target, checkpoint, landed = (str(tmp_path / p) for p in ("pages", "taken", "checkpoint", "landed"))
+
+    def run():
+        return stream.land_pages(spark, source, target, checkpoint, landed, {2023: 3}, 5, profile=False)
+
+    pages(write_json, 2022, 1, rows=5)
+    pages(write_json, 2023, 1, 3)
+    assert run() == []
+    assert [r["completa"] for r in stream.complete_years(stream.collected(spark, target), {2023: 3}, 5).collect()] == [False] * 2
+    pages(write_json, 2022, 2, rows=2)  # shorter than a page: the last
+    pages(write_json, 2023, 2)
+    assert run() == [2022, 2023]
+    assert landing.read_landed(spark, landed).count() == 7 + 9
+    assert run() == [] and len(found(spark, f"{target}/lotes/*.json")) == 2
+    ledger = {r["ano"]: r for r in landing.read_ledger(spark, landed).collect()}
+    assert (ledger[2022]["registros"], ledger[2023]["modo"]) == (7, "paginas")
+    # A page that comes again before its year is landed replaces the page before it.
+    pages(write_json, 2021, 1, rows=4)
+    pages(write_json, 2021, 2, rows=5)
+    assert run() == []
+    pages(write_json, 2021, 2, rows=1, tag="again")
+    assert run() == [2021]
+    assert codes(spark, landed, [2021]) == [*(f"2021-1-{i}" for i in range(4)), "2021-2-0again"]
+
+
+def test_a_batch_that_comes_again_is_recorded_once(spark, raw_frame, tmp_path):
+    target = str(tmp_path)
+    batch = raw_frame([record("A")]).withColumn("pagina", F.lit(1))
+    for _ in range(2):
+        stream._record_batch(batch, 7, target)
+    stream._record_batch(batch.limit(0), 8, target)
+    assert stream.collected(spark, target).count() == 1
+    assert len(found(spark, f"{target}/paginas/*/*")) == 1
+
+
+# ---- staging by content --------------------------------------------------------------
+
+
+def test_staging_follows_the_loads(spark, raw_frame, tmp_path):
+    folder, path = str(tmp_path / "raw"), str(tmp_path / "staging")
+
+    def staged():
+        place = layers.staging_place(spark, folder, path)
+        return place, sorted(r["codigoEmenda"] for r in layers.staged(landing.read_landed(spark, folder), place).collect())
+
+    landing.land(raw_frame([record("A")]), folder, 2023, "a", profile=False)
+    first = staged()
+    assert first[1] == ["A"] and staged() == first
+    landing.land(raw_frame([record("B")]), folder, 2023, "b", force=True, profile=False)
+    assert staged()[1] == ["B"] and staged()[0] != first[0]
+    landing.land(raw_frame([record("C")]), folder, 2022, "c", profile=False)
+    assert staged()[1] == ["B", "C"]
+    landing.land(raw_frame([record("A")]), folder, 2023, "d", force=True, profile=False)
+    landing.land(raw_frame([record("C")]), folder, 2022, "e", force=True, profile=False)
+    assert staged()[1] == ["A", "C"]
+    assert len(found(spark, f"{path}-*")) == 4
