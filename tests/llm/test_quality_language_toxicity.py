@@ -14,6 +14,14 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def varied(rng, n):
+    """Prose of some hundred words of many syllables, a few words frequent, as in real texts."""
+    syllable = lambda r: r.choice("bcdfghklmnprstvw") + r.choice("aeiou") + r.choice(["", "", "n", "r", "st", "l"])
+    words = ["".join(syllable(random.Random(7 * seed + k)) for k in range(1 + seed % 3)) for seed in range(400)]
+    words += ["the", "of", "and", "to", "in"] * 12
+    return " ".join(rng.choice(words) + rng.choice(["", "", "", "s", ",", "."]) for _ in range(n))
+
+
 def base(text):
     words = WORD.findall(text or "")
     windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
@@ -34,6 +42,7 @@ def test_fertility_against_brute_force(spark):
         (302, " x y \x0bz\x0c" * 9, "en", None),
         (303, "слово и ещё другие слова " * 2 + prose(random.Random(1), 3), "ru", None),
         (304, " ".join(chr(0x13000 + i) for i in range(300)), None, None),
+        *((400 + i, varied(random.Random(i), random.Random(i).randint(30, 400)), "en", None) for i in range(40)),
     ]
     got = fertility.judge_quality(frame(spark, rows), PIECES).collect()
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -50,7 +59,28 @@ def test_fertility_against_brute_force(spark):
             assert r["chars_per_token"] == pytest.approx(r["word_chars"] / len(ids))
         assert not (r["base_failed"] and r["kept"])
     assert {r["doc_id"]: r["script"] for r in got}[303] == "cyrillic"
-    assert all(r["kept"] for r in got if r["doc_id"] in range(60) and r["n_words"] >= 20 and not r["base_failed"])
+    # Texts of many different words stay; those of nine syllables are told by their entropy.
+    assert all(r["kept"] for r in got if (r["doc_id"] or 0) >= 400 and not r["base_failed"])
+    for r in got:
+        if not r["base_failed"]:
+            floor = fertility.BANDS[r["script"]].entropy * np.log2(min(r["n_tokens"], fertility.SPREAD))
+            assert (r["reason"] == "entropy") == (r["token_entropy"] < floor) or r["reason"] in ("chars", "bytes")
+            assert r["kept"] == (r["reason"] == "")
+    assert any(r["reason"] == "entropy" for r in got)
+    assert fertility.judge_quality(frame(spark, []), PIECES).collect() == []
+
+
+def test_bands_from_labels(spark):
+    rows = [(i, varied(random.Random(i), 60 + i), "en", None) for i in range(50)]
+    rows += [(50, "one word", "en", None), (51, prose(random.Random(1), 90), "en", None), (None, None, None, None)]
+    labels = spark.createDataFrame([(i, int(i != 51), 0) for i in [*range(52), 0, 99]], "doc_id long, quality int, toxic int")
+    (band,) = fertility.derived_bands(frame(spark, rows), labels, PIECES, margin=0.1).collect()
+    figures = [fertility.measures(t.encode(), fertility.Pieces(PIECES)) for _, t, _, _ in rows[:50]]
+    bits = [m["token_entropy"] / np.log2(min(m["n_tokens"], fertility.SPREAD)) for m in figures]
+    assert (band["script"], band["texts"], band["bytes"]) == ("latin", 50, pytest.approx(0.1))
+    assert band["entropy"] == pytest.approx(0.9 * min(bits))
+    assert band["least"] == pytest.approx(0.9 * min(m["chars_per_token"] for m in figures))
+    assert band["most"] == pytest.approx(1.1 * max(m["chars_per_token"] for m in figures))
 
 
 def test_bands():
