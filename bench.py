@@ -90,6 +90,7 @@ def main() -> None:
     built = layers(spark, FOLDER, fresh=True)
     clock("build_trusted", lambda: built.trusted)
     clock("build_dimensions", lambda: built.star)
+    clock("build_cube", lambda: built.cube)
     for name in WARM:
         clock(name, lambda: consume(QUERIES[name](spark, FOLDER)))
     report = {

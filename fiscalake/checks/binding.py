@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.lookups import lookup, period_of_year, simple_type
 from ..functions.text import upper_strip
-from ..plans import cleaning, features, mart
+from ..plans import cleaning, features, mart, serving
 from ..rules import Rules
 from ..schemas import MONEY, NATIONAL, NO_STATE, RAW_COLUMNS
 from ..staging import stage
@@ -162,6 +162,11 @@ class Layers:
         regions, themes and types are functions of columns the rows already have."""
         return mart.with_kpis(self.trusted, RULES)
 
+    @property
+    def cube(self) -> DataFrame:
+        """What the dashboard's figures add up, as a layer of its own."""
+        return self._once("cube", lambda: stage(serving.cube(self.serving), "cube")).df
+
     @property
     def features(self) -> DataFrame:
         """The feature table as a layer of its own, as it is published."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..plans.serving import SHOWCASE_COLUMNS, SHOWCASE_NAMES
 from ..schemas import NO_SUBFUNCTION, REGION_STATES, STATE_CODES
 
 _CTE: dict[str, tuple[list[str], str]] = {}
@@ -397,13 +398,68 @@ _sql(
     "SELECT codigoEmenda, ano, funcao, codigoEmenda::BIGINT % 12 + 1 AS pagina FROM records",
 )
 _sql("json_arrays", [], ORACLE["json_pages"])
-_PRINTED = "{'l_orderkey': l_orderkey, 'l_linenumber': l_linenumber, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey, 'l_returnflag': l_returnflag}"
+def _print_of(rows: str) -> str:
+    """Fingerprint of the rows of a query: count and two sums of each row's digest."""
+    return f"""SELECT registros, sha256(registros || '/' || a || '/' || b) AS hash
+    FROM (SELECT count(*) AS registros, sum(('0x' || h[1:15])::BIGINT) AS a, sum(('0x' || h[16:30])::BIGINT) AS b
+      FROM (SELECT sha256(to_json(r)::VARCHAR) AS h FROM ({rows}) AS r))"""
+
+
+def _cents(name: str) -> str:
+    return f"floor({name} * 100 + 0.5)::BIGINT"
+
+
 _sql(
     "fingerprint",
     [],
-    f"""SELECT registros, sha256(registros || '/' || a || '/' || b) AS hash, 2::BIGINT AS vezes
-    FROM (SELECT count(*) AS registros, sum(('0x' || h[1:15])::BIGINT) AS a, sum(('0x' || h[16:30])::BIGINT) AS b
-      FROM (SELECT sha256(to_json({_PRINTED})::VARCHAR) AS h FROM lineitem))""",
+    "SELECT registros, hash, 2::BIGINT AS vezes FROM ("
+    + _print_of(
+        "SELECT * REPLACE ("
+        + ", ".join(f"{_cents(c)} AS {c}" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+        + ", strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM lineitem"
+    )
+    + ")",
+)
+_LOAD = f"""SELECT o_orderkey, o_custkey, o_orderstatus, {_cents('o_totalprice')} AS centavos,
+    strftime(o_orderdate, '%Y-%m-%d') AS data, o_orderpriority, year(o_orderdate)::BIGINT AS ano FROM orders"""
+_sql("failed_reload", [], f"SELECT *, 1::BIGINT AS entradas FROM ({_LOAD})")
+
+
+def _entry(where: str) -> str:
+    """(ano, registros, hash) of the rows of every year that meet a condition."""
+    return f"""SELECT ano, registros, sha256(registros || '/' || a || '/' || b) AS hash
+    FROM (SELECT ano, count(*) AS registros, sum(('0x' || h[1:15])::BIGINT) AS a, sum(('0x' || h[16:30])::BIGINT) AS b
+      FROM (SELECT r.ano, sha256(to_json({{'o_orderkey': o_orderkey, 'o_custkey': o_custkey, 'o_orderstatus': o_orderstatus,
+        'centavos': centavos, 'data': data, 'o_orderpriority': o_orderpriority}})::VARCHAR) AS h
+        FROM ({_LOAD}) AS r WHERE {where}) GROUP BY ano)"""
+
+
+_sql(
+    "ledger_entries",
+    [],
+    f"""SELECT ano, ano || '/ingest_id=a' || ano AS carga, hash, registros, 'api' AS modo, ano % 2 = 1 AS atual FROM ({_entry('true')})
+    UNION ALL
+    SELECT ano, ano || '/ingest_id=b' || ano, hash, registros, 'amostra', true
+    FROM ({_entry("o_orderstatus <> 'O' AND ano % 2 = 0")})""",
+)
+_sql(
+    "empty_load_gate",
+    [],
+    f"""SELECT ano, count(*) FILTER (ok) = 0 AS recusada, count(*) FILTER (ok) AS registros
+    FROM (SELECT ano, ano % 2 = 1 AND o_orderpriority = '1-URGENT' AS ok FROM ({_LOAD})) GROUP BY ano""",
+)
+_sql("page_stream", [], ORACLE["page_set"])
+_sql(
+    "staged_by_loads",
+    [],
+    f"""SELECT ano, count(*) AS linhas, sum(centavos)::BIGINT AS centavos, caso
+    FROM ({_LOAD}) CROSS JOIN (VALUES ('antes'), ('de novo'), ('depois')) AS c(caso)
+    WHERE NOT (caso = 'depois' AND ano = 1997 AND o_orderstatus <> 'F') GROUP BY ano, caso""",
+)
+_sql(
+    "json_array_splits",
+    [],
+    """SELECT o_orderkey::VARCHAR AS "codigoEmenda", year(o_orderdate)::BIGINT AS ano, '}"{\\ ' || o_orderstatus || ' [{' AS subfuncao FROM orders""",
 )
 
 # ---- profiling, contract, quality ----------------------------------------------------
@@ -437,15 +493,39 @@ _sql(
 _sql(
     "document_profile",
     [],
-    _profile(_CUSTOMER, {"c_name": "str", "c_nationkey": "int", "c_mktsegment": "str"}, "c_custkey", example=False),
+    ORACLE["field_profile"],
 )
+_ORDERS = {"o_orderkey": "int", "o_custkey": "int", "o_orderstatus": "str", "o_totalprice": "float", "o_orderdate": "timestamp", "o_orderpriority": "str"}
 _sql(
     "profile_envelope",
     [],
-    """SELECT 'orders' AS arquivo_origem, 2001::BIGINT AS ano, (SELECT count(*) FROM orders) AS total_registros,
-      3::BIGINT AS total_campos, p.* FROM ("""
-    + _profile("orders", {"o_orderkey": "int", "o_orderstatus": "str", "o_orderpriority": "str"}, "o_orderkey")
-    + ") AS p",
+    f"""SELECT 'orders' AS arquivo_origem, 2001::BIGINT AS ano, (SELECT count(*) FROM orders) AS total_registros,
+      {len(_ORDERS)}::BIGINT AS total_campos, p.* FROM ({_profile("orders", _ORDERS, "o_orderkey")}) AS p""",
+)
+_LOADED = {"o_orderkey": "int", "o_custkey": "int", "o_orderstatus": "str", "centavos": "int", "data": "str", "o_orderpriority": "str"}
+_sql(
+    "landed_profile",
+    [],
+    " UNION ALL ".join(
+        f"""SELECT ano, count(*) AS registros, count(*) AS total_registros, {len(_LOADED)}::BIGINT AS total_campos, '{name}' AS campo,
+          '{kind}' AS tipo, count(*) AS total, count(*) - count(v) AS nulos, count(DISTINCT v) AS cardinalidade,
+          arg_min(v, o_orderkey) AS exemplo,
+          CASE WHEN count(DISTINCT v) <= 20 THEN string_agg(DISTINCT v, '|' ORDER BY v) END AS valores_unicos
+        FROM (SELECT ano, o_orderkey, {name}::VARCHAR AS v FROM ({_LOAD})) GROUP BY ano"""
+        for name, kind in _LOADED.items()
+    ),
+)
+_CURRENT = f"(SELECT * FROM ({_LOAD}) WHERE ano <> 1997 OR o_orderstatus = 'F')"
+_sql(
+    "merged_profile",
+    [],
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS campo, '{kind}' AS tipo, count(*) AS total, count(*) - count(v) AS nulos,
+          CASE WHEN count(DISTINCT v) <= 20 THEN count(DISTINCT v) END AS cardinalidade, arg_min(v, (ano, o_orderkey)) AS exemplo,
+          CASE WHEN count(DISTINCT v) <= 20 THEN string_agg(DISTINCT v, '|' ORDER BY v) END AS valores_unicos, true AS perto
+        FROM (SELECT ano, o_orderkey, {name}::VARCHAR AS v FROM {_CURRENT})"""
+        for name, kind in _LOADED.items()
+    ),
 )
 _DICTIONARY = {
     "dim_tempo": "ano_id BIGINT, ano BIGINT, periodo VARCHAR",
@@ -504,18 +584,22 @@ _sql(
 )
 
 
+def _cases(column: str, rule: str, test: str, value: str) -> str:
+    return f"""SELECT '{column}' AS "column", '{rule}' AS rule, count(*) AS "rows",
+      string_agg(codigoEmenda || '=' || {value}, '|' ORDER BY codigoEmenda) FILTER (rn <= 3) AS casos
+    FROM (SELECT *, row_number() OVER (ORDER BY codigoEmenda) AS rn FROM records WHERE {test}) HAVING count(*) > 0"""
+
+
 _sql(
     "contract_gate",
     ["records"],
-    "SELECT * FROM ("
-    + " UNION ALL ".join(
+    " UNION ALL ".join(
         [
-            _rule("ano", "domain", "ano NOT BETWEEN 1996 AND 2000"),
-            _rule("valorRestoInscrito", "money", "subfuncao = 'P'"),
-            _rule("valorRestoPago", "money", "ano < 1995"),
+            _cases("ano", "domain", "ano NOT BETWEEN 1996 AND 2000", "ano"),
+            _cases("valorRestoInscrito", "money", "subfuncao = 'P'", "'lixo'"),
+            _cases("valorRestoPago", "money", "ano < 1995", "'1.0E15'"),
         ]
-    )
-    + ') WHERE "rows" > 0',
+    ),
 )
 
 
@@ -852,6 +936,13 @@ _SHOW = """codigoEmenda, autor, funcao, localidadeDoGasto, valorEmpenhado::DOUBL
   valorPago::DOUBLE AS valorPago, taxa_execucao_pct"""
 _RULE = "valorEmpenhado > 1000 AND taxa_execucao_pct < 10"
 _sql("showcase_table", ["kpi_rows"], f"SELECT {_SHOW} FROM kpi_rows WHERE {_RULE}")
+_sql(
+    "showcase_display",
+    ["kpi_rows"],
+    "SELECT "
+    + ", ".join(f'"{old}" AS "{new}"' for old, new in zip(SHOWCASE_COLUMNS, SHOWCASE_NAMES))
+    + f" FROM (SELECT {_SHOW} FROM kpi_rows WHERE {_RULE})",
+)
 _sql(
     "top_showcases",
     ["kpi_rows"],
@@ -925,3 +1016,17 @@ _sql(
         for name, test in _SETTINGS.items()
     ),
 )
+_PUBLISHED = "codigoEmenda, ano, autor, funcao, valorEmpenhado, valorPago, count(*) OVER () AS linhas"
+_sql(
+    "publish_null_keeping",
+    [],
+    f"""SELECT {_PUBLISHED}, 'emendas_trusted' AS tabela FROM ({ORACLE["trusted_null"]})
+    UNION ALL SELECT {_PUBLISHED}, 'emendas_financeiro_invalido' FROM ({ORACLE["quarantine"]})""",
+)
+_sql(
+    "dictionary_document",
+    [],
+    f"""SELECT table_name, position::BIGINT AS position, column_name, column_type, 'YES' AS "null",
+      NULL::VARCHAR AS "key", NULL::VARCHAR AS "default", NULL::VARCHAR AS extra
+    FROM (VALUES {_LISTED}) AS d(table_name, position, column_name, column_type)""",
+)

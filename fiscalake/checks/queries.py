@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +16,9 @@ from ..operators import contract as C
 from ..operators import dedupe, joins, ordered, profile, statistics
 from ..plans import cleaning, features, mart, run, serving
 from ..sources import landing, layers as store, raw
+from ..sources.arrays import read_arrays
 from ..staging import fresh_path, published, stage
+from ..streaming import landing as streaming
 from .binding import POSITION, RULES, layers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -341,6 +344,147 @@ def forced_reload(spark, folder):
     return current.select("o_orderkey", F.col("ano").cast("long").alias("ano"), "ingest_id")
 
 
+def _loads(spark, folder):
+    """Orders as loads by year, printed the same way by any engine, and the years."""
+    orders = table(spark, folder, "orders")
+    rows = orders.select(
+        "o_orderkey", "o_custkey", "o_orderstatus",
+        F.floor(F.col("o_totalprice") * 100 + 0.5).alias("centavos"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("data"),
+        "o_orderpriority",
+        F.year("o_orderdate").cast("long").alias("ano"),
+    )
+    return rows, sorted(row["ano"] for row in rows.select("ano").distinct().collect())
+
+
+@query
+def failed_reload(spark, folder):
+    """Every year is landed, and landed again by force under the same name with rows that
+    cannot be computed to their end, and with none: the loads stay, and no entry is added."""
+    rows, years = _loads(spark, folder)
+    path = fresh_path(spark, "failed")
+    known = rows.drop("ano").schema.add("ano", "long").add("ingest_id", "string")
+    for year in years:
+        batch = rows.where(F.col("ano") == year)
+        landing.land(batch, path, year, "carga", profile=False)
+        last = batch.agg(F.max("o_orderkey")).scalar()
+        broken = batch.withColumn("data", F.when(F.col("o_orderkey") == last, F.raise_error(F.lit("lost"))).otherwise(F.col("data")))
+        for bad in (broken, batch.where("false")):
+            try:
+                landing.land(bad, path, year, "carga", force=True, profile=False)
+            except (landing.EmptyLoad, PySparkException):
+                continue
+            raise AssertionError("a load that fails was landed")
+    entries = landing.read_ledger(spark, path).groupBy("ano").agg(F.count(F.lit(1)).alias("entradas"))
+    return landing.read_landed(spark, path, schema=known).drop("ingest_id").join(F.broadcast(entries), "ano")
+
+
+@query
+def ledger_entries(spark, folder):
+    """What the ledger tells of every load: each year landed, every second one again by
+    force without its open orders."""
+    rows, years = _loads(spark, folder)
+    path = fresh_path(spark, "ledger")
+    for year in years:
+        batch = rows.where(F.col("ano") == year)
+        landing.land(batch, path, year, f"a{year}", profile=False)
+        if year % 2 == 0:
+            landing.land(batch.where("o_orderstatus <> 'O'"), path, year, f"b{year}", mode="amostra", force=True, profile=False)
+    ledger = landing.read_ledger(spark, path)
+    name = F.regexp_extract("arquivo", r"/ano=(\d+/ingest_id=\w+)/", 1)
+    current = landing.current_entries(ledger).select("arquivo", F.lit(True).alias("atual"))
+    known = ledger.join(F.broadcast(current), "arquivo", "left")
+    return known.select("ano", name.alias("carga"), "hash", "registros", "modo", F.coalesce("atual", F.lit(False)).alias("atual"))
+
+
+@query
+def empty_load_gate(spark, folder):
+    """Loads of urgent orders of odd years only: those without rows are refused."""
+    rows, years = _loads(spark, folder)
+    path = fresh_path(spark, "empty")
+    found = []
+    for year in years:
+        batch = rows.where((F.col("ano") == year) & (F.col("ano") % 2 == 1) & (F.col("o_orderpriority") == "1-URGENT"))
+        try:
+            landing.land(batch, path, year, "urgentes", profile=False)
+            found.append((year, False))
+        except landing.EmptyLoad:
+            found.append((year, True))
+    gates = spark.createDataFrame(found, "ano long, recusada boolean")
+    ledger = landing.read_ledger(spark, path).select("ano", "registros")
+    return gates.join(F.broadcast(ledger), "ano", "left").select("ano", "recusada", F.coalesce("registros", F.lit(0).cast("long")).alias("registros"))
+
+
+@query
+def landed_profile(spark, folder):
+    """The profile documents that loads leave beside them, read back."""
+    rows, years = _loads(spark, folder)
+    path = fresh_path(spark, "described")
+    for year in years:
+        landing.land(rows.where(F.col("ano") == year), path, year, "carga", "o_orderkey")
+    cells = "array<struct<campo string, tipo string, total long, nulos long, cardinalidade long, exemplo string, valores_unicos array<string>>>"
+    schema = f"arquivo_origem string, ano long, gerado_em string, total_registros long, total_campos long, campos {cells}"
+    written = spark.read.schema(schema).option("recursiveFileLookup", True).json(f"{path}/perfil")
+    known = landing.read_ledger(spark, path).select(F.col("arquivo").alias("arquivo_origem"), F.col("registros"))
+    documents = written.join(F.broadcast(known), "arquivo_origem")
+    return _listed(documents.select("ano", "registros", "total_registros", "total_campos", F.inline("campos")))
+
+
+@query
+def merged_profile(spark, folder):
+    """Every year landed, one of them twice, and the loads' sketches merged. Where there are
+    many values, whether the estimate of their number is within five hundredths."""
+    rows, years = _loads(spark, folder)
+    path = fresh_path(spark, "sketches")
+    for year in years:
+        landing.land(rows.where(F.col("ano") == year), path, year, "carga", "o_orderkey", exact=False)
+    landing.land(rows.where("ano = 1997 and o_orderstatus = 'F'"), path, 1997, "nova", "o_orderkey", force=True, exact=False)
+    current = rows.where("ano <> 1997 or o_orderstatus = 'F'")
+    counts = current.agg(*[F.count_distinct(c).alias(c) for c in current.columns if c != "ano"])
+    exact = counts.unpivot([], counts.columns, "campo", "_exact")
+    profiled = landing.read_profile(spark, path).join(F.broadcast(exact), "campo")
+    near = F.abs(F.col("cardinalidade") - F.col("_exact")) <= 0.05 * F.col("_exact")
+    few = F.when(F.col("_exact") <= profile.LIST_LIMIT, F.col("cardinalidade"))
+    return _listed(profiled.withColumns({"perto": near, "cardinalidade": few}).drop("_exact"))
+
+
+@query
+def page_stream(spark, folder):
+    """Months as page files, the first half and later the second: the stream takes in what
+    is new, and lands each year when its twelve pages are there."""
+    path = fresh_path(spark, "page_stream")
+    pages = layers(spark, folder).records.select("codigoEmenda", "ano", "funcao", "subfuncao")
+    pages = pages.withColumn("pagina", F.pmod(F.col("codigoEmenda").cast("long"), F.lit(12)) + 1)
+    years = [row["ano"] for row in pages.select("ano").distinct().collect()]
+    for part in ("pagina <= 6", "pagina > 6"):
+        pages.where(part).write.mode("append").partitionBy("pagina").json(f"{path}/pages")
+        streaming.land_pages(
+            spark, f"{path}/pages", f"{path}/taken", f"{path}/checkpoint", f"{path}/landed", {y: 12 for y in years}, lines=True, profile=False
+        )
+    landed = landing.read_landed(spark, f"{path}/landed", schema=T.StructType(list(S.RAW.fields)).add("pagina", "integer").add("ingest_id", "string"))
+    return landed.select("codigoEmenda", F.col("ano").cast("long").alias("ano"), "funcao", F.col("pagina").cast("long").alias("pagina"))
+
+
+@query
+def staged_by_loads(spark, folder):
+    """Staging reused while the loads are the same, and made anew when one has changed:
+    totals before and after a year is loaded again, the first of them asked for twice."""
+    rows, years = _loads(spark, folder)
+    path = fresh_path(spark, "staged_loads")
+    known = rows.drop("ano").schema.add("ano", "long").add("ingest_id", "string")
+    for year in years:
+        landing.land(rows.where(F.col("ano") == year), path, year, "a", profile=False)
+
+    def totals(case, make=lambda df: df):
+        place = store.staging_place(spark, path, f"{path}/staging")
+        staged = store.staged(make(landing.read_landed(spark, path, schema=known)), place)
+        return staged.groupBy("ano").agg(F.count(F.lit(1)).alias("linhas"), F.sum("centavos").alias("centavos")).withColumn("caso", F.lit(case))
+
+    first, again = totals("antes"), totals("de novo", lambda df: df.limit(0))
+    landing.land(rows.where("ano = 1997 and o_orderstatus = 'F'"), path, 1997, "b", force=True, profile=False)
+    return first.unionByName(again).unionByName(totals("depois"))
+
+
 @query
 def page_set(spark, folder):
     """Months as pages: written as page files, read, checked for gaps, landed, read back."""
@@ -370,6 +514,37 @@ def json_arrays(spark, folder):
     return raw.read_json(spark, f"{path}/lote=*/*.txt").select("codigoEmenda", "ano", "subfuncao")
 
 
+@query
+def json_array_splits(spark, folder):
+    """Orders as arrays with texts and objects that look like borders, read in splits."""
+    orders = table(spark, folder, "orders")
+    record = F.struct(
+        F.col("o_orderkey").cast("string").alias("codigoEmenda"),
+        F.year("o_orderdate").alias("ano"),
+        F.concat(F.lit('}"{\\ '), "o_orderstatus", F.lit(" [{")).alias("subfuncao"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.struct(F.struct(F.lit("}").alias("a")).alias("b"), F.array(F.lit("]")).alias("c"))).alias("mais"),
+    )
+    path = fresh_path(spark, "splits")
+    arrays = orders.withColumn("lote", F.floor(F.col("o_orderkey") / 40000)).groupBy("lote").agg(F.to_json(F.collect_list(record)).alias("value"))
+    arrays.write.partitionBy("lote").text(path)
+    return read_arrays(spark, f"{path}/lote=*/*.txt").select("codigoEmenda", "ano", "subfuncao")
+
+
+@query
+def publish_null_keeping(spark, folder):
+    """The null-keeping run: trusted rows and quarantine as they are published."""
+    path = fresh_path(spark, "null_keeping")
+    counts = run.publish_trusted_and_quarantine(
+        layers(spark, folder).records, POSITION[1:], f"{path}/staging", f"{path}/trusted", f"{path}/quarantine", RULES
+    )
+    tables = {"emendas_trusted": f"{path}/trusted", "emendas_financeiro_invalido": f"{path}/quarantine"}
+    parts = []
+    for name, place in tables.items():
+        rows = published(spark, f"{place}/{name}.parquet").df.select("codigoEmenda", "ano", "autor", "funcao", "valorEmpenhado", "valorPago")
+        parts.append(rows.withColumns({"tabela": F.lit(name), "linhas": F.lit(counts[name]).cast("long")}))
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def publish_quality(spark, folder):
     """The accounting of a published run: rows outside the years are read and counted."""
@@ -384,7 +559,7 @@ def publish_quality(spark, folder):
 @query
 def contract_gate(spark, folder):
     """What a blocking contract reports: carry-over amounts that are no amounts, amounts
-    that are too large for one, and years outside the window."""
+    that are too large for one, and years outside the window; and the first rows of each."""
     records = layers(spark, folder).records
     broken = records.withColumns(
         {
@@ -393,17 +568,25 @@ def contract_gate(spark, folder):
         }
     )
     try:
-        C.enforce(broken, cleaning.raw_contract(RULES))
-        found = []
+        C.enforce(broken, cleaning.raw_contract(RULES), ["codigoEmenda"])
+        found, cases = [], []
     except C.ContractViolation as error:
-        found = error.found
-    return spark.createDataFrame(found, "column string, rule string, rows long")
+        found, cases = error.found, error.cases
+    rows = []
+    for column, rule, count in found:
+        some = [f"{position}={value}" for c, r, _, position, value in cases if (c, r) == (column, rule)]
+        rows.append((column, rule, count, "|".join(some)))
+    return spark.createDataFrame(rows, "column string, rule string, rows long, casos string")
 
 
 @query
 def fingerprint(spark, folder):
-    """The same rows in two orders have one fingerprint."""
-    lines = table(spark, folder, "lineitem").select(*LINE_KEY[:2], "l_partkey", "l_suppkey", "l_returnflag")
+    """The same lines, all their columns, in two orders have one fingerprint. Numbers of
+    two places and dates are printed the same way by any engine."""
+    lines = table(spark, folder, "lineitem")
+    hundredths = {c: F.floor(F.col(c) * 100 + 0.5) for c, kind in lines.dtypes if kind == "double"}
+    dates = {c: F.date_format(c, "yyyy-MM-dd") for c, kind in lines.dtypes if kind.startswith("timestamp")}
+    lines = lines.withColumns(hundredths | dates)
     shuffled = lines.repartition("l_suppkey")
     return (
         profile.fingerprint(lines)
@@ -430,25 +613,38 @@ def field_profile(spark, folder):
 
 @query
 def document_profile(spark, folder):
-    """Customers written as JSON, some without a segment, profiled as documents."""
+    """Customers written as JSON, some without a segment, profiled as documents in the
+    order of their keys."""
     customers = table(spark, folder, "customer").withColumn(
         "c_mktsegment", F.when(F.col("c_nationkey") != 3, F.col("c_mktsegment"))
     )
     path = fresh_path(spark, "documents")
-    customers.select("c_name", "c_nationkey", "c_mktsegment").write.json(path)
-    return _listed(profile.profile_documents(raw.read_documents(spark, path, lines=True)).drop("exemplo"))
+    customers.write.json(path)
+    documents = raw.read_documents(spark, path, lines=True)
+    placed = documents.withColumn("_at", F.variant_get("v", "$.c_custkey", "long"))
+    return _listed(profile.profile_documents(placed))
 
 
 @query
 def profile_envelope(spark, folder):
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    orders = table(spark, folder, "orders")
     described = profile.profile_fields(orders, "o_orderkey")
-    rows = table(spark, folder, "orders").count()
-    envelope = profile.profile_document(described, rows, len(orders.columns), "orders", 2001)
+    envelope = profile.profile_document(described, orders.count(), len(orders.columns), "orders", 2001)
     fields = envelope.select("arquivo_origem", "ano", "total_registros", "total_campos", F.inline("campos"))
     return _listed(fields)
 
 
+@query
+def dictionary_document(spark, folder):
+    """The data dictionary as the JSON documents that are written, read back."""
+    path = fresh_path(spark, "dictionary")
+    store.dictionary_json(profile.data_dictionary(layers(spark, folder).star.tables()), path)
+    cell = "position int, column_name string, column_type string, `null` string, `key` string, `default` string, extra string"
+    written = spark.read.schema(f"table_name string, columns array<struct<{cell.replace(' string', ': string').replace(' int', ': int')}>>").json(path)
+    listed = written.select("table_name", F.inline("columns"))
+    return listed.select("table_name", F.col("position").cast("long").alias("position"), "column_name", "column_type", "null", "key", "default", "extra")
+
+
 @query
 def data_dictionary(spark, folder):
     """Columns and types of the mart, with the rows that carry each column."""
@@ -810,42 +1006,42 @@ def line_correlation(spark, folder):
 
 @query
 def kpis(spark, folder):
-    return serving.kpis(layers(spark, folder).serving)
+    return serving.kpis(layers(spark, folder).cube)
 
 
 @query
 def coverage(spark, folder):
-    return serving.coverage(layers(spark, folder).serving)
+    return serving.coverage(layers(spark, folder).cube)
 
 
 @query
 def functions_totals(spark, folder):
-    return serving.by_function(layers(spark, folder).serving)
+    return serving.by_function(layers(spark, folder).cube)
 
 
 @query
 def top_functions(spark, folder):
-    return serving.top_functions(layers(spark, folder).serving)
+    return serving.top_functions(layers(spark, folder).cube)
 
 
 @query
 def top_authors(spark, folder):
-    return serving.top_authors(layers(spark, folder).serving)
+    return serving.top_authors(layers(spark, folder).cube)
 
 
 @query
 def uf_totals(spark, folder):
-    return serving.by_state(layers(spark, folder).serving)
+    return serving.by_state(layers(spark, folder).cube)
 
 
 @query
 def top_states(spark, folder):
-    return serving.top_states(layers(spark, folder).serving)
+    return serving.top_states(layers(spark, folder).cube)
 
 
 @query
 def uf_share(spark, folder):
-    return serving.state_shares(layers(spark, folder).serving)
+    return serving.state_shares(layers(spark, folder).cube)
 
 
 @query
@@ -853,6 +1049,12 @@ def showcase_table(spark, folder):
     return serving.showcase_table(layers(spark, folder).serving)
 
 
+@query
+def showcase_display(spark, folder):
+    """The showcase table under its display names."""
+    return serving.showcase_display(layers(spark, folder).serving)
+
+
 @query
 def top_showcases(spark, folder):
     return serving.top_showcases(layers(spark, folder).serving)
@@ -860,7 +1062,7 @@ def top_showcases(spark, folder):
 
 @query
 def showcase_totals(spark, folder):
-    return serving.showcase_totals(layers(spark, folder).serving)
+    return serving.showcase_totals(layers(spark, folder).cube)
 
 
 @query
@@ -875,12 +1077,12 @@ def scatter_set(spark, folder):
 
 @query
 def executive_summary(spark, folder):
-    return serving.executive_summary(layers(spark, folder).serving)
+    return serving.executive_summary(layers(spark, folder).cube)
 
 
 @query
 def report_states(spark, folder):
-    return serving.report_states(layers(spark, folder).serving)
+    return serving.report_states(layers(spark, folder).cube)
 
 
 @query
@@ -890,7 +1092,7 @@ def report_showcases(spark, folder):
 
 @query
 def report_authors(spark, folder):
-    return serving.report_authors(layers(spark, folder).serving)
+    return serving.report_authors(layers(spark, folder).cube)
 
 
 @query

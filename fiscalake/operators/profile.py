@@ -25,7 +25,7 @@ LIST_LIMIT = 20
 
 
 def _type_name(simple: str) -> str:
-    return TYPE_NAMES.get(simple, "float" if simple.startswith("decimal") else simple)
+    return TYPE_NAMES.get(simple, "float" if simple.startswith("decimal") else simple.removesuffix("_ntz"))
 
 
 def profile_fields(df: DataFrame, position: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -42,6 +42,58 @@ def profile_fields(df: DataFrame, position: str, columns: Sequence[str] | None =
     return _shown(described.withColumn("tipo", named[F.col("campo")]))
 
 
+def field_sketches(df: DataFrame, position: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """A row per field from which profiles of any union of tables are merged: counts, a
+    sketch of the distinct values, the first example, and the values where there are at
+    most 20. One pass that combines to a row per field and task; only the values of
+    fields whose sketch is small, for which it is exact, are then listed in another."""
+    columns = list(columns or df.columns)
+    types = dict(df.dtypes)
+    cells = F.array(*[F.struct(F.lit(c).alias("campo"), F.nullif(F.col(c).cast("string"), F.lit("")).alias("valor")) for c in columns])
+    entries = df.select(F.col(position).alias("_at"), F.inline(cells))
+    filled = F.col("valor").isNotNull()
+    fields = entries.groupBy("campo").agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count("valor").alias("preenchidos"),
+        F.hll_sketch_agg("valor").alias("esboco"),
+        F.min(F.when(filled, F.struct("_at", "valor")))["valor"].alias("exemplo"),
+    )
+    fields = stage(fields, "sketches").df
+    small = fields.where(F.hll_sketch_estimate("esboco") <= LIST_LIMIT)
+    listed = entries.where(filled).join(F.broadcast(small.select("campo")), "campo", "left_semi").groupBy("campo", "valor").count()
+    lists = listed.groupBy("campo").agg(F.sort_array(F.collect_list("valor")).alias("valores"))
+    listed_or_none = F.when(F.hll_sketch_estimate("esboco") <= LIST_LIMIT, F.coalesce("valores", F.array().cast("array<string>")))
+    named = F.create_map(*[F.lit(x) for c in columns for x in (c, _type_name(types[c]))])
+    joined = fields.join(F.broadcast(lists), "campo", "left")
+    return joined.select("campo", named[F.col("campo")].alias("tipo"), "total", "preenchidos", "esboco", "exemplo", listed_or_none.alias("valores"))
+
+
+def merged_profile(sketches: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """The profile of the union of what was sketched, in the columns of
+    ``profile_fields``. Cardinalities are exact where there are at most 20 values, else
+    estimates within a few hundredths. The example is that of the first table in the
+    columns ``order`` that has one; the type that of the most values."""
+    filled = F.col("preenchidos") > 0
+    listed = F.array_sort(F.array_distinct(F.flatten(F.collect_list("valores"))))
+    merged = sketches.groupBy("campo").agg(
+        F.max_by("tipo", F.struct("preenchidos", "tipo")).alias("tipo"),
+        F.sum("total").alias("total"),
+        F.sum("preenchidos").alias("_filled"),
+        F.hll_sketch_estimate(F.hll_union_agg("esboco")).alias("_estimate"),
+        F.min_by(F.when(filled, F.col("exemplo")), F.when(filled, F.struct(*order, "exemplo"))).alias("exemplo"),
+        F.when(F.every(F.col("valores").isNotNull()), listed).alias("_listed"),
+    )
+    few = F.col("_listed").isNotNull() & (F.size("_listed") <= LIST_LIMIT)
+    return _shown(
+        merged.withColumns(
+            {
+                "cardinalidade": F.when(F.col("_listed").isNotNull(), F.size("_listed")).otherwise(F.col("_estimate")).cast("long"),
+                "valores_unicos": F.when(few, F.col("_listed")),
+            }
+        )
+    )
+
+
 def profile_documents(documents: DataFrame, body: str = "v", position: str = "_at") -> DataFrame:
     """The same profile of JSON objects held in a VARIANT column. Each value has a type
     of its own here, of which the most frequent counts, and a field that an object lacks

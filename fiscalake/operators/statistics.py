@@ -10,74 +10,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _unpivot(one_row: DataFrame, names: dict[str, tuple[str, ...]], heads: Sequence[str], out: str) -> DataFrame:
-    """One row with a column per name -> one row per name."""
-    entries = [
-        F.struct(*[F.lit(v).alias(h) for h, v in zip(heads, labels)], F.col(name).alias(out))
-        for name, labels in names.items()
-    ]
-    return one_row.select(F.inline(F.array(*entries)))
-
-
 def _complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows without a missing value, as doubles."""
     present = reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
     return df.where(present).select(*[F.col(c).cast("double").alias(c) for c in columns])
 
 
-def _correlations(data: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]) -> tuple[DataFrame, dict]:
-    """One row with an array of correlations, and the place of each pair in it.
-
-    Everything comes from plain sums of one pass: counts, sums and products of the values
-    less their means, which a first pass finds, so that large values do not cancel.
-    Columns of equal values are told by their bounds; their correlation is NULL.
-    """
-    means = data.agg(F.struct(*[F.avg(c).alias(c) for c in columns])).scalar()
-    centred = data.withColumn("_m", means).select(
-        *columns, *[(F.col(c) - F.col(f"_m.{c}")).alias(f"_d{i}") for i, c in enumerate(columns)]
-    )
-    products = sorted({tuple(sorted(p)) for p in pairs} | {(i, i) for p in pairs for i in p})
-    sums = centred.agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.sum(f"_d{i}").alias(f"_s{i}") for i in range(len(columns))],
-        *[(F.min(c) < F.max(c)).alias(f"_v{i}") for i, c in enumerate(columns)],
-        *[F.sum(F.col(f"_d{i}") * F.col(f"_d{j}")).alias(f"_p{i}_{j}") for i, j in products],
-    )
-
-    def about(i: int, j: int) -> Column:
-        return F.col(f"_p{min(i, j)}_{max(i, j)}") - F.try_divide(F.col(f"_s{i}") * F.col(f"_s{j}"), F.col("_n"))
+def _correlations(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
+    """One row with a map ``_c``: the number of each pair -> its correlation.
 
-    values = [
-        F.when(F.col(f"_v{i}") & F.col(f"_v{j}"), F.try_divide(about(i, j), F.sqrt(about(i, i)) * F.sqrt(about(j, j))))
-        for i, j in pairs
-    ]
-    return sums.select(F.array(*values).alias("_c")), {p: k for k, p in enumerate(pairs)}
+    One pass, whatever the number of columns: a row becomes a cell per pair, and one
+    mergeable aggregate, which holds means and sums of centred products and so does not
+    cancel, takes the cells by pair. Tasks combine to a row per pair before anything is
+    moved. Pairs with a column of equal values, or without rows, are undefined."""
+    cells = [F.struct(F.lit(k).alias("pair"), F.col(columns[i]).alias("x"), F.col(columns[j]).alias("y")) for k, (i, j) in enumerate(pairs)]
+    sums = F.covar_pop("x", "y").alias("xy"), F.stddev_pop("x").alias("x"), F.stddev_pop("y").alias("y")
+    found = _complete(df, columns).select(F.inline(F.array(*cells))).groupBy("pair").agg(*sums)
+    found = found.select("pair", F.try_divide("xy", F.col("x") * F.col("y")).alias("c"))
+    defined = found.where(F.col("c").isNotNull() & ~F.isnan("c"))
+    return defined.agg(F.map_from_entries(F.collect_list(F.struct("pair", "c"))).alias("_c"))
 
 
-def _rounded(value: Column, places: int | None) -> Column:
-    return value if places is None else F.round(value, places)
+def _listed(row: DataFrame, heads: Sequence[str], entries: Sequence[tuple], places: int | None) -> DataFrame:
+    """The row's correlations with the labels ``heads`` of each entry (labels, number)."""
+    named = [F.struct(*[F.lit(v).alias(h) for h, v in zip(heads, labels)], F.lit(k).alias("_k")) for labels, k in entries]
+    value = F.try_element_at("_c", F.col("_k"))
+    return row.select("_c", F.inline(F.array(*named))).select(*heads, (value if places is None else F.round(value, places)).alias("correlation"))
 
 
 def label_correlation(df: DataFrame, features: Sequence[str], label: str, places: int | None = None) -> DataFrame:
     """(feature, correlation) with the label; NULL means undefined."""
-    columns = [*features, label]
-    pairs = [(i, len(features)) for i in range(len(features))]
-    row, place = _correlations(_complete(df, columns), columns, pairs)
-    named = row.select([_rounded(F.get("_c", F.lit(place[p])), places).alias(f) for f, p in zip(features, pairs)])
-    return _unpivot(named, {f: (f,) for f in features}, ["feature"], "correlation")
+    row = _correlations(df, [*features, label], [(i, len(features)) for i in range(len(features))])
+    return _listed(row, ["feature"], [((f,), k) for k, f in enumerate(features)], places)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], places: int | None = None) -> DataFrame:
     """(x, y, correlation) for all ordered pairs of columns."""
     pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    row, place = _correlations(_complete(df, columns), columns, pairs)
-    entries = [
-        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(place[min(i, j), max(i, j)]).alias("_k"))
-        for i, x in enumerate(columns)
-        for j, y in enumerate(columns)
-    ]
-    named = row.select("_c", F.inline(F.array(*entries)))
-    return named.select("x", "y", _rounded(F.get("_c", "_k"), places).alias("correlation"))
+    number = {pair: k for k, pair in enumerate(pairs)}
+    entries = [((x, y), number[min(i, j), max(i, j)]) for i, x in enumerate(columns) for j, y in enumerate(columns)]
+    return _listed(_correlations(df, columns, pairs), ["x", "y"], entries, places)
 
 
 def histogram(df: DataFrame, value: str, low: float, high: float, bins: int, by: str) -> DataFrame:

@@ -15,7 +15,7 @@ from ..operators.joins import lookup_join
 from ..operators.ordered import number_rows, rank_and_running_total
 from ..rules import DEFAULT_RULES, Rules
 from ..schemas import FACT_COLUMNS, MONEY
-from ..staging import Staged
+from ..staging import Staged, stage
 
 
 @dataclass(frozen=True)
@@ -141,12 +141,11 @@ def author_totals(rows: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
 
 
 def ranking_by_author(rows: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Authors by committed amount, with rank and running total."""
-    return published(
-        rank_and_running_total(
-            author_totals(rows, rules), "total_empenhado", ["autor"], "rank_empenhado", "total_acumulado"
-        )
-    )
+    """Authors by committed amount, with rank and running total. The totals, one row per
+    author, are written first: the borders of the global order are found in what is
+    written, not by summing up once more."""
+    totals = stage(author_totals(rows, rules), "author_totals").df
+    return published(rank_and_running_total(totals, "total_empenhado", ["autor"], "rank_empenhado", "total_acumulado"))
 
 
 def place_region(rules: Rules = DEFAULT_RULES) -> Column:

@@ -17,14 +17,14 @@ from ..sources.landing import land, read_landed, read_ledger, require_rows
 from ..sources.arrays import read_arrays
 from ..sources.layers import dictionary_json, staged, staging_place, write_tables
 from ..staging import Staged, published
-from . import cleaning, features, mart
+from . import cleaning, features, mart, serving
 
 
 def publish_trusted(records: DataFrame, position: Sequence[str], folder: str, rules: Rules = DEFAULT_RULES) -> dict:
     """Contract, discard gate, then the write: a failed gate leaves the old table alone.
     Returns the quality summary."""
     window = cleaning.in_window(records, rules)
-    checked = enforce(window, cleaning.raw_contract(rules))
+    checked = enforce(window, cleaning.raw_contract(rules), position)
     # Rows outside the years are read and counted, too.
     quality = cleaning.require_quality(cleaning.discard_summary(records, position, rules), rules)
     trusted = cleaning.trusted_zero(checked, position, rules)
@@ -89,6 +89,18 @@ def publish_views(star: mart.Star, folder: str, rules: Rules = DEFAULT_RULES) ->
     return write_tables(mart.views(star.fato_emendas, rules), folder)
 
 
+def cube_place(spark: SparkSession, folder: str) -> str:
+    """Where the cube of the published fact is: its name holds the fact's version, so a fact
+    that is published anew has a cube of its own."""
+    return f"{folder}/cubo-{published(spark, f'{folder}/fato_emendas.parquet').path.rsplit('/', 1)[-1]}"
+
+
+def read_cube(spark: SparkSession, folder: str) -> DataFrame:
+    """The cube of the published fact, made on first use: the dashboard's figures are read
+    from it in place of the records. Money is decimal, for exact sums."""
+    return staged(serving.cube(read_star(spark, folder).fato_emendas), cube_place(spark, folder))
+
+
 def publish_features(star: mart.Star, folder: str, rules: Rules = DEFAULT_RULES) -> dict[str, int]:
     table = features.features(star.fato_emendas, rules)
     return write_tables({"features": table}, folder)

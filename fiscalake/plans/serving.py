@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import (
-    exact_sum,
     execution_rate,
     format_money_br,
     format_number_br,
@@ -88,17 +87,55 @@ def _any_of(column: str, values: Sequence) -> Column:
     return F.col(column).isin(list(values)) if values else F.lit(False)
 
 
+# ---- the reused result ---------------------------------------------------------------
+
+CUBE_KEYS = ["ano", "funcao", "uf", "autor", "tipoEmenda"]
+_MEASURES = ["_rows", "_codes", "_committed", "_paid", "_shown", "_shown_value", "_flagged", "_flagged_value"]
+
+
+def _is_cube(df: DataFrame) -> bool:
+    return "_rows" in df.columns
+
+
+def _measures(df: DataFrame, *names: str) -> list[Column]:
+    """What is added up, of records or, once more, of a cube's rows."""
+    if _is_cube(df):
+        return [F.sum(m).alias(m) for m in names]
+    committed, paid = F.col("valorEmpenhado").cast(MONEY), F.col("valorPago").cast(MONEY)
+    made = {
+        "_rows": lambda: F.count(F.lit(1)),
+        "_codes": lambda: F.count("codigoEmenda"),
+        "_committed": lambda: F.sum(committed),
+        "_paid": lambda: F.sum(paid),
+        "_shown": lambda: F.count_if(_is_showcase()),
+        "_shown_value": lambda: F.sum(F.when(_is_showcase(), committed)),
+        "_flagged": lambda: F.count_if("emenda_vitrine"),
+        "_flagged_value": lambda: F.sum(F.when(F.col("emenda_vitrine"), committed)),
+    }
+    return [made[m]().alias(m) for m in names]
+
+
+def cube(df: DataFrame) -> DataFrame:
+    """Counts and exact sums by year, function, state, author and type: what the headline
+    figures, totals and rankings add up, under any choice of these. All functions below
+    that take records take a cube, too. It has as many rows as there are combinations,
+    at most as many as records; store it next to what it was made from (``run.read_cube``)."""
+    return df.groupBy(*CUBE_KEYS).agg(*_measures(df, *_MEASURES))
+
+
+def _amount(measure: str) -> Column:
+    return F.col(measure).cast("double")
+
+
 def kpis(df: DataFrame) -> DataFrame:
-    """One row. Records are first grouped by what is counted, so that the distinct counts,
-    which need a copy of their input for each, see a few groups instead of all records."""
-    groups = df.groupBy("autor", "funcao", "uf").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.sum(F.col("valorEmpenhado").cast(MONEY)).alias("_committed"),
-        F.sum(F.col("valorPago").cast(MONEY)).alias("_paid"),
-    )
+    """One row. The distinct counts take a row per author, function and state and task."""
+    if not _is_cube(df):
+        paid = F.col("valorPago").cast(MONEY).alias("_paid")
+        committed = F.col("valorEmpenhado").cast(MONEY).alias("_committed")
+        df = df.select("autor", "funcao", "uf", F.lit(1).alias("_rows"), committed, paid)
     committed, paid = (F.sum(c).cast("double") for c in ("_committed", "_paid"))
-    return groups.agg(
-        F.coalesce(F.sum("_rows"), F.lit(0)).alias("total_emendas"),
+    return df.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("total_emendas"),
         committed.alias("total_empenhado"),
         paid.alias("total_pago"),
         F.when(committed > 0, ratio(paid, committed) * 100).otherwise(0.0).alias("taxa_execucao"),
@@ -115,14 +152,9 @@ def top(df: DataFrame, by: str, key: str, n: int) -> DataFrame:
 
 
 def by_function(df: DataFrame) -> DataFrame:
-    return (
-        df.where(F.col("funcao").isNotNull())
-        .groupBy("funcao")
-        .agg(
-            exact_sum(F.col("valorEmpenhado")).alias("total_empenhado"),
-            exact_sum(F.col("valorPago")).alias("total_pago"),
-            F.count("codigoEmenda").alias("qtd"),
-        )
+    totals = df.where(F.col("funcao").isNotNull()).groupBy("funcao").agg(*_measures(df, "_committed", "_paid", "_codes"))
+    return totals.select(
+        "funcao", _amount("_committed").alias("total_empenhado"), _amount("_paid").alias("total_pago"), F.col("_codes").alias("qtd")
     )
 
 
@@ -132,11 +164,8 @@ def top_functions(df: DataFrame, n: int = 10) -> DataFrame:
 
 
 def by_author(df: DataFrame) -> DataFrame:
-    return (
-        df.where(F.col("autor").isNotNull())
-        .groupBy("autor")
-        .agg(exact_sum(F.col("valorEmpenhado")).alias("total_empenhado"))
-    )
+    totals = df.where(F.col("autor").isNotNull()).groupBy("autor").agg(*_measures(df, "_committed"))
+    return totals.select("autor", _amount("_committed").alias("total_empenhado"))
 
 
 def top_authors(df: DataFrame, n: int = 10) -> DataFrame:
@@ -145,12 +174,9 @@ def top_authors(df: DataFrame, n: int = 10) -> DataFrame:
 
 def by_state(df: DataFrame) -> DataFrame:
     """Totals of the records that belong to one state, largest first."""
-    return (
-        df.where(F.col("uf") != NO_STATE)
-        .groupBy("uf")
-        .agg(exact_sum(F.col("valorEmpenhado")).alias("total"), F.count("codigoEmenda").alias("qtd"))
-        .orderBy(F.desc("total"), "uf")
-    )
+    totals = df.where(F.col("uf") != NO_STATE).groupBy("uf").agg(*_measures(df, "_committed", "_codes"))
+    rows = totals.select("uf", _amount("_committed").alias("total"), F.col("_codes").alias("qtd"))
+    return rows.orderBy(F.desc("total"), "uf")
 
 
 def top_states(df: DataFrame, n: int = 15) -> DataFrame:
@@ -195,29 +221,28 @@ def top_showcases(df: DataFrame, n: int = 20) -> DataFrame:
 
 def showcase_totals(df: DataFrame) -> DataFrame:
     """Count and committed value under the dashboard's rule and under the flag."""
-    committed = F.col("valorEmpenhado")
-    shown, flagged = _is_showcase(), F.col("emenda_vitrine")
-
-    def value(test: Column) -> Column:
-        return F.coalesce(exact_sum(F.when(test, committed)), F.lit(0.0))
-
-    return df.agg(
-        F.count_if(shown).alias("qtd_vitrines"),
-        value(shown).alias("valor_vitrines"),
-        F.count_if(flagged).alias("qtd_flag"),
-        value(flagged).alias("valor_flag"),
+    totals = df.agg(*_measures(df, "_shown", "_shown_value", "_flagged", "_flagged_value"))
+    count = lambda m: F.coalesce(m, F.lit(0)).cast("long")
+    value = lambda m: F.coalesce(_amount(m), F.lit(0.0))
+    return totals.select(
+        count("_shown").alias("qtd_vitrines"),
+        value("_shown_value").alias("valor_vitrines"),
+        count("_flagged").alias("qtd_flag"),
+        value("_flagged_value").alias("valor_flag"),
     )
 
 
 def coverage(df: DataFrame) -> DataFrame:
     """Records and value that belong to one state, against those that do not."""
     none = F.col("uf") == NO_STATE
-    committed = F.col("valorEmpenhado")
-    total = exact_sum(committed)
-    uncovered = F.coalesce(exact_sum(F.when(none, committed)), F.lit(0.0))
-    rows_none = F.count_if(none)
+    if not _is_cube(df):
+        df = df.select("uf", F.lit(1).alias("_rows"), F.col("valorEmpenhado").cast(MONEY).alias("_committed"))
+    total = F.sum("_committed").cast("double")
+    uncovered = F.coalesce(F.sum(F.when(none, F.col("_committed"))).cast("double"), F.lit(0.0))
+    rows = F.coalesce(F.sum("_rows"), F.lit(0)).cast("long")
+    rows_none = F.coalesce(F.sum(F.when(none, F.col("_rows"))), F.lit(0)).cast("long")
     return df.agg(
-        (F.count(F.lit(1)) - rows_none).alias("qtd_com_uf"),
+        (rows - rows_none).alias("qtd_com_uf"),
         rows_none.alias("qtd_sem_uf"),
         uncovered.alias("valor_sem_uf"),
         F.round((1 - ratio(uncovered, total)) * 100, 6).alias("pct_valor_coberto"),
@@ -232,15 +257,15 @@ def rate_histogram(df: DataFrame, low: float = 0.0, high: float = 101.0, bins: i
 def executive_summary(df: DataFrame) -> DataFrame:
     """The report's headline figures as Brazilian text: records, committed, paid, the
     ratio of the sums, and count and value of the flagged showcases."""
-    committed, paid = exact_sum(F.col("valorEmpenhado")), exact_sum(F.col("valorPago"))
-    flagged = exact_sum(F.when(F.col("emenda_vitrine"), F.col("valorEmpenhado")))
-    return df.agg(
-        format_number_br(F.count(F.lit(1))).alias("emendas"),
+    totals = df.agg(*_measures(df, "_rows", "_committed", "_paid", "_flagged", "_flagged_value"))
+    committed, paid = _amount("_committed"), _amount("_paid")
+    return totals.select(
+        format_number_br(F.coalesce("_rows", F.lit(0)).cast("long")).alias("emendas"),
         format_money_br(committed).alias("empenhado"),
         format_money_br(paid).alias("pago"),
         format_pct_br(ratio(paid, committed) * 100).alias("execucao"),
-        format_number_br(F.count_if("emenda_vitrine")).alias("vitrines"),
-        format_money_br(F.coalesce(flagged, F.lit(0.0))).alias("valor_vitrines"),
+        format_number_br(F.coalesce("_flagged", F.lit(0)).cast("long")).alias("vitrines"),
+        format_money_br(F.coalesce(_amount("_flagged_value"), F.lit(0.0))).alias("valor_vitrines"),
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.profile import fingerprint, profile_document, profile_fields
+from ..operators.profile import field_sketches, fingerprint, merged_profile, profile_document, profile_fields
 from ..staging import create_if_absent, exists, found, remove, write_counted
 
 LEDGER = "ano long, arquivo string, hash string, registros long, coletado_em string, modo string"
@@ -106,6 +106,7 @@ def land(
     mode: str = "api",
     force: bool = False,
     profile: bool = True,
+    exact: bool = True,
 ) -> bool:
     """Land one year and record it; False if the ledger shows it was loaded before.
 
@@ -117,14 +118,15 @@ def land(
     one, and the other returns False; with ``force`` it is recorded after the first.
 
     The entry holds the time of the load, which says what is current: ``ingest_id`` only
-    names the load. ``profile`` also describes all fields, which moves every distinct value
-    once.
+    names the load. ``profile`` also describes all fields, as a document and as sketches
+    that ``read_profile`` merges. ``exact`` counts the distinct values of every field, which
+    moves each of them once; without it the document has the sketches' estimates.
     """
     spark = batch.sparkSession
     if not force and not read_ledger(spark, folder).where(F.col("ano") == year).isEmpty():
         return False
     place = f"ano={year}/ingest_id={ingest_id}/tentativa=t{uuid.uuid4().hex}"
-    target, description = f"{folder}/dados/{place}", f"{folder}/perfil/{place}"
+    target, description, sketched = f"{folder}/dados/{place}", f"{folder}/perfil/{place}", f"{folder}/esbocos/{place}"
     rows = batch.drop("ano")
     recorded = False
     try:
@@ -133,7 +135,9 @@ def land(
         landed = spark.read.schema(rows.schema).parquet(target)
         print_of = fingerprint(landed).first()
         if profile:
-            described = profile_fields(landed, position or rows.columns[0], rows.columns)
+            at = position or rows.columns[0]
+            field_sketches(landed, at, rows.columns).coalesce(1).write.parquet(sketched)
+            described = profile_fields(landed, at, rows.columns) if exact else merged_profile(spark.read.parquet(sketched))
             envelope = profile_document(described, print_of["registros"], len(rows.columns), target, year)
             envelope.write.json(description)
         entry = {"ano": year, "arquivo": target, "hash": print_of["hash"], "registros": print_of["registros"], "modo": mode}
@@ -141,8 +145,8 @@ def land(
         return recorded
     finally:
         if not recorded:
-            remove(spark, target)
-            remove(spark, description)
+            for path in (target, description, sketched):
+                remove(spark, path)
 
 
 def remove_unfinished(spark: SparkSession, folder: str, older_than: timedelta = timedelta(days=1)) -> list[str]:
@@ -154,12 +158,26 @@ def remove_unfinished(spark: SparkSession, folder: str, older_than: timedelta =
     for path, changed in found(spark, f"{folder}/dados/ano=*/ingest_id=*/tentativa=*"):
         place = path.rsplit("/dados/", 1)[-1]
         if place not in named and changed <= limit:
-            remove(spark, path)
-            remove(spark, f"{folder}/perfil/{place}")
+            for kind in ("dados", "perfil", "esbocos"):
+                remove(spark, f"{folder}/{kind}/{place}")
             gone.append(place)
     return gone
 
 
+def read_profile(spark: SparkSession, folder: str, years: Sequence[int] | None = None) -> DataFrame:
+    """The profile of all current loads, or of those of some years, merged from what lies
+    beside each of them: no load is read again. Loads without a profile have no part."""
+    current = current_entries(read_ledger(spark, folder))
+    if years is not None:
+        current = current.where(F.col("ano").isin(list(years)))
+    paths = [row["arquivo"].replace("/dados/", "/esbocos/") for row in current.collect()]
+    paths = [path for path in paths if exists(spark, path)]
+    if not paths:
+        raise EmptyLoad(f"no profile in {folder}")
+    sketches = spark.read.option("basePath", f"{folder}/esbocos").parquet(*paths)
+    return merged_profile(sketches, ["ano"])
+
+
 def read_landed(
     spark: SparkSession, folder: str, years: Sequence[int] | None = None, schema: StructType | None = None
 ) -> DataFrame:

@@ -141,6 +141,23 @@ def test_contract_reports_all_violations(raw_frame):
     ]
 
 
+def test_contract_shows_the_first_cases_of_each_rule(raw_frame):
+    rows = [record(f"C{i:02d}", ano=2031 - i, valorPago="abc" if i % 2 else "1,00") for i in range(8)] + [record(None)]
+    df = raw_frame(rows)
+    with pytest.raises(C.ContractViolation, match="'abc' at C01/2030") as error:
+        C.enforce(df, cleaning.raw_contract(), ["codigoEmenda", "ano"], 2)
+    assert error.value.cases == [
+        ("ano", "domain", 1, "C00/2031", "2031"),
+        ("ano", "domain", 2, "C01/2030", "2030"),
+        ("codigoEmenda", "null", 1, "2023", None),
+        ("valorPago", "money", 1, "C01/2030", "abc"),
+        ("valorPago", "money", 2, "C03/2028", "abc"),
+    ]
+    plan = C.failure_cases(df, cleaning.raw_contract(), ["codigoEmenda"])._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    assert C.failure_cases(raw_frame([record("A")]), cleaning.raw_contract(), ["codigoEmenda"]).isEmpty()
+
+
 def test_contract_refuses_an_empty_table_and_tolerates_extras(raw_frame):
     empty = raw_frame([])
     assert [r["rule"] for r in C.violations(empty, cleaning.raw_contract()).collect()] == ["empty"]

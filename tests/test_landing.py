@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fiscalake.operators import profile
 from fiscalake.sources import landing, layers
-from fiscalake.staging import create_if_absent, exists, found
+from fiscalake.staging import create_if_absent, exists, found, remove
 from fiscalake.streaming import landing as stream
 
 from .conftest import record
@@ -194,3 +194,29 @@ def test_staging_follows_the_loads(spark, raw_frame, tmp_path):
     landing.land(raw_frame([record("C")]), folder, 2022, "e", force=True, profile=False)
     assert staged()[1] == ["A", "C"]
     assert len(found(spark, f"{path}-*")) == 4
+
+
+# ---- profiles beside the loads -------------------------------------------------------
+
+
+def test_profiles_are_merged_without_reading_the_loads(spark, raw_frame, tmp_path):
+    folder = str(tmp_path / "raw")
+    first = [record(f"A{i:03d}", ano=2022, autor=f"a{i % 15}", subfuncao=None if i % 2 else "") for i in range(90)]
+    second = [record(f"B{i:03d}", autor=f"a{10 + i % 15}", subfuncao="x" if i == 7 else None) for i in range(60)]
+    landing.land(raw_frame(first), folder, 2022, "a", "codigoEmenda", exact=False)
+    landing.land(raw_frame([record("OLD", autor="old")]), folder, 2023, "b", "codigoEmenda")
+    landing.land(raw_frame(second), folder, 2023, "c", "codigoEmenda", force=True)
+    remove(spark, f"{folder}/dados")
+    got = {r["campo"]: r for r in landing.read_profile(spark, folder).collect()}
+    want = {r["campo"]: r for r in profile.profile_fields(raw_frame(first + second), "codigoEmenda").collect()}
+    for name, row in got.items():
+        for key in ("tipo", "total", "nulos", "exemplo"):
+            assert row[key] == want[name][key], (name, key)
+        assert row["cardinalidade"] == pytest.approx(want[name]["cardinalidade"], rel=0.05)
+        # 25 authors, of which either load has 15: known, but too many to be listed.
+        assert row["valores_unicos"] == want[name]["valores_unicos"]
+    assert got["autor"]["cardinalidade"] == 25 and got["subfuncao"]["valores_unicos"] == ["x"]
+    only = {r["campo"]: r for r in landing.read_profile(spark, folder, [2022]).collect()}
+    assert len(only["autor"]["valores_unicos"]) == 15 and only["subfuncao"]["tipo"] == "null"
+    with pytest.raises(landing.EmptyLoad):
+        landing.read_profile(spark, folder, [1990])

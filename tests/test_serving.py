@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from fiscalake.plans import cleaning, mart, serving
+from fiscalake.plans import cleaning, mart, run, serving
 from fiscalake.staging import stage
 
 
@@ -106,3 +106,36 @@ def test_lower_layers_get_the_missing_columns(wide):
     both = full.select("codigoEmenda", "uf", F.round("taxa_execucao_pct", 2).alias("taxa_execucao_pct"))
     assert both.exceptAll(wide.select(both.columns)).isEmpty()
     assert full.where("emenda_vitrine").count() == serving.showcase_table(full).count()
+
+
+def test_figures_from_the_cube_are_those_of_the_records(wide):
+    cube = serving.cube(wide)
+    for make in (
+        serving.kpis, serving.coverage, serving.by_function, serving.top_functions, serving.by_author, serving.top_authors,
+        serving.by_state, serving.state_shares, serving.showcase_totals, serving.executive_summary, serving.report_states,
+    ):
+        from_cube, from_records = make(cube), make(wide)
+        assert from_cube.dtypes == from_records.dtypes
+        assert sorted(map(tuple, from_cube.collect()), key=repr) == sorted(map(tuple, from_records.collect()), key=repr)
+    some = serving.filtered(cube, [2021], ["Saúde"], "CE")
+    assert some.agg(F.sum("_rows")).first()[0] == serving.filtered(wide, [2021], ["Saúde"], "CE").count()
+    nothing = wide.where("false")
+    for make in (serving.kpis, serving.coverage, serving.showcase_totals, serving.executive_summary):
+        assert make(serving.cube(nothing)).collect() == make(nothing).collect()
+
+
+def test_the_cube_follows_the_published_fact(spark, raw_frame, many_records, tmp_path):
+    folder = str(tmp_path / "mart")
+
+    def publish(records):
+        trusted = cleaning.trusted_zero(raw_frame(records), ["numeroEmenda"])
+        run.publish_mart(trusted, folder)
+        return run.read_cube(spark, folder), trusted.count()
+
+    first, rows = publish(many_records)
+    assert serving.kpis(first).first()["total_emendas"] == rows
+    place = run.cube_place(spark, folder)
+    assert run.read_cube(spark, folder).count() == first.count() and run.cube_place(spark, folder) == place
+    second, fewer = publish(many_records[:40])
+    assert run.cube_place(spark, folder) != place
+    assert serving.kpis(second).first()["total_emendas"] == fewer < rows
