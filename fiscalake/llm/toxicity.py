@@ -103,16 +103,32 @@ def count_characters(docs: DataFrame) -> np.ndarray:
 
 RUN = re.compile(r"([^\W\d_])\1")
 LONG_RUN = re.compile(r"([^\W\d_])\1\1")
+RUNS = re.compile(r"([^\W\d_])\1+")
+SHORT = 100  # letters of a word that is remembered
 EDGES = ".,;:!?\"'()[]{}<>*%#&$|=-_~`^/\\"
 
 
+NO_LETTER = "".join(sorted(set(EDGES) - set(LEET)))
+
+
+def _folded(text: str) -> str:
+    return RUNS.sub(r"\1", text)
+
+
 class Restorer:
     """Viterbi decoding of one stretch of characters under a cost table of trigrams."""
 
     def __init__(self, table: np.ndarray):
         self.table = [[list(map(float, row)) for row in plane] for plane in table]
-        self.stretch = lru_cache(100_000)(self._stretch)
-        self.forms = lru_cache(20_000)(self._forms)
+        self._short_stretch = lru_cache(100_000)(self._stretch)
+        self._short_forms = lru_cache(20_000)(self._forms)
+
+    def stretch(self, text: str) -> str:
+        """The best path; that of a long text is not remembered."""
+        return self._short_stretch(text) if len(text) <= SHORT else self._stretch(text)
+
+    def forms(self, word: str) -> list[str]:
+        return self._short_forms(word) if len(word) <= SHORT else self._forms(word)
 
     def _choices(self, c: str, before: str) -> list[tuple[str, float]]:
         """What one character can mean: text and cost; empty text drops it."""
@@ -126,7 +142,8 @@ class Restorer:
         return [*out, ("", DROP_OTHER), (" ", KEEP_OTHER)]
 
     def _stretch(self, text: str) -> str:
-        # A state is the last two codes; its value the cost so far and the way back.
+        # A state is the last two codes, of which there are few, as characters have few
+        # meanings; its value is the cost so far and the way back. No path is left out.
         states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         before = ""
         for c in text:
@@ -144,8 +161,6 @@ class Restorer:
                         key, value, link = (b, code), so_far + cost + row[code], (way, x)
                     if key not in new or value < new[key][0]:
                         new[key] = (value, link)
-            if len(new) > 48:  # paths far behind the best cannot catch up
-                new = dict(sorted(new.items(), key=lambda kv: kv[1][0])[:48])
             states = new
         _, way = min(((v + self.table[a][b][0], way) for (a, b), (v, way) in states.items()), key=lambda x: x[0])
         out = []
@@ -191,7 +206,7 @@ class Restorer:
 
 def _kept(marks: str) -> list[str]:
     """Parts of the ``marks`` at an edge, from the word outwards, that may be letters."""
-    marks = marks.rstrip("".join(set(EDGES) - set(LEET)))
+    marks = marks.rstrip(NO_LETTER)
     first = marks[: len(marks) - len(marks.lstrip(marks[:1]))]
     return list(dict.fromkeys(["", first if first[:1] in LEET else "", marks]))
 
@@ -248,6 +263,9 @@ class Scorer:
 
     def __init__(self, model: tuple[dict[str, float], float], restorer: Restorer, limit: int = 400_000):
         (self.weights, self.bias), self.restorer = model, restorer
+        # The known words and beginnings, with letters in a row taken as one.
+        self.whole = {_folded(u) for u in self.weights if u[0] != "^"}
+        self.begun = {_folded(u[1:]) for u in self.weights if u[0] == "^"}
         self.words = Numbered(limit, self._empty)
         self._empty()
 
@@ -255,13 +273,43 @@ class Scorer:
         self.found: dict[int, list[str]] = {}
         self.mark, self.held = np.zeros(1 << 16, np.int8), 0
 
+    def _reached(self, folded: str) -> bool:
+        """Whether what letters can be restored to, in a row taken as one, may have a known
+        unit: a path keeps all letters but repeated ones."""
+        return folded in self.whole or any(folded[:k] in self.begun for k in range(1, 6))
+
+    def _plain(self, text: str) -> list[str] | None:
+        """The known units of a word whose restored forms cannot have others than it has
+        without marks at its edges: none of the forms' letters reach a known unit. None if
+        they may, or if the word holds more than letters and one mark that may be a letter
+        on either side: then the lattice decides."""
+        core = text.strip(EDGES)
+        if not core.isalpha():
+            return None if core else []
+        start = text.index(core)
+        heads, tails = [""], [""]
+        for marks, letters in ((text[:start][::-1], heads), (text[start + len(core) :], tails)):
+            marks = marks.rstrip(NO_LETTER)
+            if len(marks) > 1:
+                return None
+            letters += LEET.get(marks, "")
+        doubled = RUN.search(core)
+        if doubled and LONG_RUN.search(core):
+            return None
+        if doubled or len(heads) + len(tails) > 2:
+            if any(self._reached(_folded(head + core + tail)) for head in heads for tail in tails):
+                return None
+        return [u for u in units(core) if u in self.weights]
+
     def _meet(self, new: list[bytes]) -> None:
         if self.held + len(new) > len(self.mark):
             self.mark = np.concatenate([self.mark, np.zeros(len(self.mark) + len(new), np.int8)])
         for w in new:
             text = w.decode()
             # Which form is meant may not show in its letters: the first that has known units.
-            known = next(filter(None, ([u for u in units(x) if u in self.weights] for x in self.restorer.forms(text))), [])
+            known = self._plain(text)
+            if known is None:
+                known = next(filter(None, ([u for u in units(x) if u in self.weights] for x in self.restorer.forms(text))), [])
             if known:
                 self.found[self.held] = known
             self.mark[self.held] = (1 if known else 0) | (2 if len(text) == 1 else 0)

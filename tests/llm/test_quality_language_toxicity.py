@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 from collections import Counter
@@ -135,6 +136,56 @@ def restorer():
     return toxicity.Restorer(toxicity.costs(counts))
 
 
+def every_path(restorer, text):
+    """The least cost of all meanings of a text, each tried."""
+    best, choices, before = None, [], ""
+    for c in text:
+        choices.append(restorer._choices(c, before))
+        before = c
+    for way in itertools.product(*choices):
+        a = b = 0
+        total = 0.0
+        for x, cost in way:
+            code = toxicity._code(x) if x else -1
+            if code < 0:
+                total += cost
+            elif code or b:
+                total += cost + restorer.table[a][b][code]
+                a, b = b, code
+        total += restorer.table[a][b][0]
+        written = "".join(x for x, _ in way)
+        if best is None or total < best[0] - 1e-9:
+            best = (total, {" ".join(written.split())})
+        elif total < best[0] + 1e-9:
+            best[1].add(" ".join(written.split()))
+    return best[1]
+
+
+def test_the_best_path_of_all(restorer):
+    rng = random.Random(12)
+    for _ in range(400):
+        text = "".join(rng.choices("abdegilost0134568$!|(*@+- .x", k=rng.randint(1, 6)))
+        assert " ".join(restorer.stretch(text).split()) in every_path(restorer, text), text
+
+
+def test_words_that_need_no_lattice(restorer):
+    """What is told of a word without its lattice is what the lattice would tell."""
+    rng = random.Random(13)
+    known = {u: 1.0 for w in ("idiot", "stupid", "scum", "loser", "is", "as", "trolls", "moron") for u in toxicity.units(w)}
+    scorer, plain = toxicity.Scorer((known, 0.0), restorer), 0
+    heads, tails = ["", "(", "!", "$", '"', "|", '("', "*", "-$"], ["", "!", "!!", ".", "$", ").", "*", "|", '!"', "?!"]
+    for _ in range(6000):
+        word = rng.choice(["idiot", "idiiot", "stupid", "tupid", "cum", "scum", "loser", "losers", "rolls", "trol", "moon", "dioot", "a", "i", "table"])
+        word = "".join(c * rng.choice([1, 1, 1, 1, 2, 3]) if rng.random() < 0.4 else c for c in word)
+        text = rng.choice(heads) + word + rng.choice(tails)
+        told = scorer._plain(text)
+        if told is not None:
+            plain += 1
+            forms = ([u for u in toxicity.units(x) if u in known] for x in restorer.forms(text))
+            assert told == next(filter(None, forms), []), text
+    assert plain > 1000
+
+
 @pytest.mark.parametrize(
     "written, meant",
     [("1d10t", "idiot"), ("idiooooot", "idiot"), ("i d i o t", "idiot"), ("stup!d", "stupid"), ("l0$er", "loser"), ("tr@sh", "trash"),
