@@ -15,7 +15,7 @@ from ..operators.joins import lookup_join
 from ..operators.ordered import number_rows, rank_and_running_total
 from ..rules import DEFAULT_RULES, Rules
 from ..schemas import FACT_COLUMNS, MONEY
-from ..staging import Staged, stage
+from ..staging import Staged, stage, submit
 
 
 @dataclass(frozen=True)
@@ -96,7 +96,7 @@ def build(trusted: DataFrame, rules: Rules = DEFAULT_RULES) -> Star:
     """All mart tables. The dimensions do not depend on each other and are written at the
     same time; the fact stays lazy, so write it or stage it where it is reused."""
     with ThreadPoolExecutor() as pool:
-        waiting = [pool.submit(make, trusted, rules) for make in (dim_funcao, dim_localidade, dim_autor)]
+        waiting = [submit(pool, make, trusted, rules) for make in (dim_funcao, dim_localidade, dim_autor)]
         funcao, localidade, autor = (dim.result() for dim in waiting)
     tempo = dim_tempo(trusted, rules)
     return Star(tempo, funcao, localidade, autor, fact(trusted, tempo, localidade, autor, rules))

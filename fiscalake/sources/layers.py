@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..plans.cleaning import typed
 from ..plans.serving import with_serving_columns
 from ..rules import DEFAULT_RULES, Rules
-from ..staging import exists, is_published, published, replace_table
+from ..staging import exists, is_published, published, replace_table, submit
 from . import raw
 from .landing import current_entries, read_ledger
 
@@ -37,7 +37,7 @@ def write_tables(tables: Mapping[str, DataFrame], folder: str, compression: str
     there only when it is complete; returns the rows written, counted on the way."""
     with ThreadPoolExecutor() as pool:
         waiting = {
-            name: pool.submit(replace_table, df, f"{folder}/{name}.parquet", compression)
+            name: submit(pool, replace_table, df, f"{folder}/{name}.parquet", compression)
             for name, df in tables.items()
         }
         return {name: written.result() for name, written in waiting.items()}

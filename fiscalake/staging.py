@@ -1,27 +1,28 @@
 """Written tables: steps between layers, which cut lineage, and published tables.
 
 A staged table lives in the folder the cluster names in ``spark.checkpoint.dir``, so it
-outlives any executor. Only a local session without that setting, where all of Spark is
-one process, gets a folder of its own. Staged tables are managed tables of a scratch
+outlives any executor. A local session without that setting, where all of Spark is one
+process, gets one beside its tables; on a cluster the setting is asked for. Staged tables are managed tables of a scratch
 database in that folder: dropping one removes its files, on any file system.
 """
 
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-_local_roots: dict[str, str] = {}
-# Tables staged inside each open ``scratch`` block, innermost last.
-_open_blocks: list[list[str]] = []
+# Tables staged inside each ``scratch`` block that is open here, innermost last. Threads have
+# blocks of their own; ``submit`` gives those of the caller to work done in another thread.
+_open_blocks: ContextVar[tuple[list[str], ...]] = ContextVar("open_blocks", default=())
 
 
 class Staged(NamedTuple):
@@ -34,15 +35,12 @@ class Staged(NamedTuple):
 
 def staging_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    context = spark.sparkContext
-    if not re.fullmatch(r"local(\[.*\])?", context.master):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = context.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="fiscalake-")
-    return _local_roots[app]
+    if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -194,7 +192,8 @@ def stage(
     if buckets:
         writer = writer.bucketBy(buckets[0], *buckets[1])
     writer.saveAsTable(table)
-    holders = _open_blocks[:-1] if keep else _open_blocks
+    holders = _open_blocks.get()
+    holders = holders[:-1] if keep else holders
     if holders:
         holders[-1].append(table)
     return Staged(spark.table(table), seen.get["rows"], table)
@@ -205,13 +204,20 @@ def drop(spark: SparkSession, staged: Staged) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {staged.path}")
 
 
+def submit(pool: ThreadPoolExecutor, work: Callable, *args):
+    """Let a pool do ``work``; what it stages belongs to the blocks open here."""
+    return pool.submit(copy_context().run, work, *args)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables staged inside are removed at the end, but for those staged with ``keep``;
     what is returned from the block must depend on these alone."""
-    _open_blocks.append([])
+    own: list[str] = []
+    before = _open_blocks.set((*_open_blocks.get(), own))
     try:
         yield
     finally:
-        for table in _open_blocks.pop():
+        _open_blocks.reset(before)
+        for table in own:
             spark.sql(f"DROP TABLE IF EXISTS {table}")

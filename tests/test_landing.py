@@ -220,3 +220,40 @@ def test_profiles_are_merged_without_reading_the_loads(spark, raw_frame, tmp_pat
     assert len(only["autor"]["valores_unicos"]) == 15 and only["subfuncao"]["tipo"] == "null"
     with pytest.raises(landing.EmptyLoad):
         landing.read_profile(spark, folder, [1990])
+
+
+# ---- staged tables -------------------------------------------------------------------
+
+
+def test_blocks_of_threads_are_their_own(spark):
+    from fiscalake.staging import scratch, stage
+
+    inside, left = Barrier(2), Barrier(2)
+
+    def first():
+        with scratch(spark):
+            table = stage(spark.range(3), "first").path
+            inside.wait()
+            left.wait()
+            return spark.table(table).count()
+
+    def second():
+        inside.wait()
+        with scratch(spark):
+            table = stage(spark.range(5), "second").path
+        gone = not spark.catalog.tableExists(table)
+        left.wait()
+        return gone
+
+    assert at_once(first, second) == [3, True]
+
+
+def test_work_in_a_pool_belongs_to_the_block(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from fiscalake.staging import scratch, stage, submit
+
+    with scratch(spark), ThreadPoolExecutor() as pool:
+        table = submit(pool, lambda: stage(spark.range(3), "pooled").path).result()
+        assert spark.catalog.tableExists(table)
+    assert not spark.catalog.tableExists(table)
