@@ -83,11 +83,13 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
         "page_id", _lower(url_part(F.col("url"), 1)).alias("host"), url_part(F.col("url"), 2).alias("path")
     )
     stacks = _stacks(pick(rules, "host", "path", "action"))
+    # No rule has a host of more labels, so the anchors of a very long host are few.
+    deepest = F.coalesce(stacks.agg(F.max(F.size(F.split("anchor", r"\.")))).scalar(), F.lit(1))
     points = (
         rows.select("host", "path")
         .distinct()
         .where(F.col("host") != "")
-        .withColumn("labels", _labels(F.col("host")))
+        .withColumn("labels", F.slice(_labels(F.col("host")), 1, deepest))
         .select("host", "path", F.posexplode(F.expr("transform(sequence(1, size(labels)), n -> array_join(slice(labels, 1, n), '.'))")).alias("level", "anchor"))
         .join(stacks.select("anchor").distinct(), "anchor", "left_semi")
     )

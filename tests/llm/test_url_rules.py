@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -57,3 +58,14 @@ def test_empty_tables(spark, pages):
     assert url_rules.judge(none, rules).collect() == []
     some = spark.createDataFrame(pages[:3], "page_id long, url string")
     assert {r["verdict"] for r in url_rules.judge(some, rules.limit(0), "block").collect()} == {"block"}
+
+
+def test_very_long_hosts(spark):
+    hosts = ["a." * 30_000 + "a.net", ".".join(str(i) for i in range(20_000)), "." * 5000, "x" * 60_000 + ".org"]
+    pages = [(i, f"http://{h}/a/b") for i, h in enumerate(hosts)]
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    rules = spark.createDataFrame(RULES, "host string, path string, action string")
+    start = time.monotonic()
+    got = sorted(tuple(r) for r in url_rules.judge(df, rules).collect())
+    assert got == [(i, *brute(u, RULES)) for i, u in pages]
+    assert time.monotonic() - start < 40
