@@ -18,7 +18,7 @@ from ..functions.text import upper_strip
 from ..plans import cleaning, features, mart, serving
 from ..rules import Rules
 from ..schemas import MONEY, NATIONAL, NO_STATE, RAW_COLUMNS
-from ..staging import stage
+from ..staging import found, stage
 
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 # Nation i lies in region i modulo 5. The nations of the last region stand for places
@@ -50,15 +50,21 @@ RULES = Rules(
 POSITION = ["ano", "autor", "valorEmpenhado"]
 
 
-_schemas: dict[str, StructType] = {}
+_schemas: dict[tuple, StructType] = {}
+
+
+def _state_of(spark: SparkSession, path: str) -> tuple:
+    """What is there now, and since when: what is remembered of other files is not used."""
+    return tuple(sorted(found(spark, path)))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A test table; its schema is looked up in the files once, not by every query."""
     path = f"{folder}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    state = _state_of(spark, path)
+    if state not in _schemas:
+        _schemas[state] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[state]).parquet(path)
 
 
 def _hundredths(name: str) -> Column:
@@ -173,12 +179,12 @@ class Layers:
         return self._once("features", lambda: stage(features.features(self.serving, RULES), "features")).df
 
 
-_open: dict[tuple[str, str], Layers] = {}
+_open: dict[tuple, Layers] = {}
 
 
 def layers(spark: SparkSession, folder: str, fresh: bool = False) -> Layers:
-    """The layers of ``folder`` in this session; ``fresh`` starts over."""
-    key = (spark.sparkContext.applicationId, folder)
+    """The layers of the tables now in ``folder`` in this session; ``fresh`` starts over."""
+    key = (spark.sparkContext.applicationId, folder, _state_of(spark, f"{folder}/*.parquet"))
     if fresh or key not in _open:
         _open[key] = Layers(spark, folder)
     return _open[key]

@@ -793,24 +793,28 @@ _sql(
       count(*) AS qtd_emendas, {_mean('taxa_execucao_pct')} AS media_execucao
       FROM fato fe JOIN dim_autor da ON fe.autor_id = da.autor_id GROUP BY fe.autor, da.tipo_simplificado)""",
 )
+# A record's region is that of its place, if the place is known.
+_cte(
+    "placed",
+    ["fato", "dim_localidade"],
+    "SELECT f.*, (SELECT max(p.regiao) FROM dim_localidade p WHERE p.localidade_id = f.localidade_id) AS regiao FROM fato f",
+)
 _sql(
     "dist_function_region",
-    ["fato", "dim_funcao", "dim_localidade"],
-    f"""SELECT df.funcao, df.area_tematica, dl.regiao, count(*) AS qtd_emendas,
-      sum(valorEmpenhado)::DOUBLE AS total_empenhado, sum(valorPago)::DOUBLE AS total_pago,
-      {_mean('taxa_execucao_pct')} AS media_execucao, sum(emenda_vitrine::INT)::BIGINT AS emendas_vitrine
-    FROM fato fe JOIN dim_funcao df ON fe.funcao = df.funcao
-      LEFT JOIN dim_localidade dl ON fe.localidade_id = dl.localidade_id GROUP BY df.funcao, df.area_tematica, dl.regiao""",
+    ["placed", "dim_funcao"],
+    f"""SELECT t.funcao, t.area_tematica, g.* EXCLUDE (funcao) FROM dim_funcao t JOIN (
+      SELECT funcao, regiao, count(*) AS qtd_emendas, count(*) FILTER (emenda_vitrine) AS emendas_vitrine,
+        sum(valorEmpenhado)::DOUBLE AS total_empenhado, sum(valorPago)::DOUBLE AS total_pago,
+        {_mean('taxa_execucao_pct')} AS media_execucao
+      FROM placed GROUP BY ALL) g USING (funcao)""",
 )
 _sql(
     "exec_function_place",
-    ["fato", "dim_localidade"],
-    f"""SELECT fe.funcao, fe.uf, dl.regiao, count(*) AS total_emendas,
-      sum(CASE WHEN emenda_vitrine THEN 1 ELSE 0 END)::BIGINT AS vitrines,
-      round(sum(CASE WHEN emenda_vitrine THEN 1 ELSE 0 END)::DOUBLE / count(*) * 100, 1) AS pct_vitrines,
-      {_mean('taxa_execucao_pct')} AS media_execucao
-    FROM fato fe LEFT JOIN dim_localidade dl ON fe.localidade_id = dl.localidade_id
-    GROUP BY fe.funcao, fe.uf, dl.regiao""",
+    ["placed"],
+    f"""SELECT *, round(vitrines::DOUBLE / total_emendas * 100, 1) AS pct_vitrines FROM (
+      SELECT funcao, uf, regiao, count(*) AS total_emendas, count(*) FILTER (emenda_vitrine) AS vitrines,
+        {_mean('taxa_execucao_pct')} AS media_execucao
+      FROM placed GROUP BY ALL)""",
 )
 _sql(
     "fact_joins",
