@@ -2,6 +2,7 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fiscalake.llm import language, registry
@@ -61,9 +62,26 @@ def test_run_is_the_stages(spark, folder):
     assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and got.count() > 0
 
 
+def test_empty_tables(spark, tmp_path):
+    none = frame(spark, [], clash=False).selectExpr("*", "length(text) AS n_chars")
+    none.write.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, none, str(tmp_path))
+        assert out.collect() == [] and (name == "packing" or out.columns == NAMES)
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_stages_take_columns_of_any_name(spark, folder):
+    """Extra columns, some named as those that stages make, some as theirs but for case."""
+    docs = frame(spark, documents(size=40)).withColumn("n_chars", F.lit(1).cast("long"))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        assert out.count() > 0 and (name == "packing" or out.columns == NAMES)
+
+
 def test_registry():
     numbers = sorted(int(m[1]) for q in registry.QUERIES if (m := re.match(r"op(\d+)_", q)))
-    assert numbers == list(range(1, 11)) and "pipeline" in registry.QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in registry.QUERIES
     assert set(registry.ORACLE) <= set(registry.QUERIES)
     assert language.UNKNOWN == "und"
 
