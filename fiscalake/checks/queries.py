@@ -344,7 +344,7 @@ def forced_reload(spark, folder):
     return current.select("o_orderkey", F.col("ano").cast("long").alias("ano"), "ingest_id")
 
 
-def _loads(spark, folder):
+def _yearly_loads(spark, folder):
     """Orders as loads by year, printed the same way by any engine, and the years."""
     orders = table(spark, folder, "orders")
     rows = orders.select(
@@ -361,7 +361,7 @@ def _loads(spark, folder):
 def failed_reload(spark, folder):
     """Every year is landed, and landed again by force under the same name with rows that
     cannot be computed to their end, and with none: the loads stay, and no entry is added."""
-    rows, years = _loads(spark, folder)
+    rows, years = _yearly_loads(spark, folder)
     path = fresh_path(spark, "failed")
     known = rows.drop("ano").schema.add("ano", "long").add("ingest_id", "string")
     for year in years:
@@ -383,7 +383,7 @@ def failed_reload(spark, folder):
 def ledger_entries(spark, folder):
     """What the ledger tells of every load: each year landed, every second one again by
     force without its open orders."""
-    rows, years = _loads(spark, folder)
+    rows, years = _yearly_loads(spark, folder)
     path = fresh_path(spark, "ledger")
     for year in years:
         batch = rows.where(F.col("ano") == year)
@@ -400,7 +400,7 @@ def ledger_entries(spark, folder):
 @query
 def empty_load_gate(spark, folder):
     """Loads of urgent orders of odd years only: those without rows are refused."""
-    rows, years = _loads(spark, folder)
+    rows, years = _yearly_loads(spark, folder)
     path = fresh_path(spark, "empty")
     found = []
     for year in years:
@@ -418,7 +418,7 @@ def empty_load_gate(spark, folder):
 @query
 def landed_profile(spark, folder):
     """The profile documents that loads leave beside them, read back."""
-    rows, years = _loads(spark, folder)
+    rows, years = _yearly_loads(spark, folder)
     path = fresh_path(spark, "described")
     for year in years:
         landing.land(rows.where(F.col("ano") == year), path, year, "carga", "o_orderkey")
@@ -434,7 +434,7 @@ def landed_profile(spark, folder):
 def merged_profile(spark, folder):
     """Every year landed, one of them twice, and the loads' sketches merged. Where there are
     many values, whether the estimate of their number is within five hundredths."""
-    rows, years = _loads(spark, folder)
+    rows, years = _yearly_loads(spark, folder)
     path = fresh_path(spark, "sketches")
     for year in years:
         landing.land(rows.where(F.col("ano") == year), path, year, "carga", "o_orderkey", exact=False)
@@ -469,7 +469,7 @@ def page_stream(spark, folder):
 def staged_by_loads(spark, folder):
     """Staging reused while the loads are the same, and made anew when one has changed:
     totals before and after a year is loaded again, the first of them asked for twice."""
-    rows, years = _loads(spark, folder)
+    rows, years = _yearly_loads(spark, folder)
     path = fresh_path(spark, "staged_loads")
     known = rows.drop("ano").schema.add("ano", "long").add("ingest_id", "string")
     for year in years:
