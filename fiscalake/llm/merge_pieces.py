@@ -171,9 +171,39 @@ class MergePieces:
 
     def _empty(self) -> None:
         self.words.ids.clear()
-        self.start, self.count, self.all = (np.empty(0, t) for t in (np.int64, np.int64, np.int32))
+        self.start, self.count, self.texts_with, self.all = (np.empty(0, t) for t in (np.int64, np.int64, np.int32, np.int32))
         self.held = self.ends = self.weight = 0
 
+    def _forget(self) -> None:
+        """Make room: parts that were in one text only go, or, if that is not enough, all."""
+        again = np.flatnonzero(self.texts_with[: self.held] > 1)
+        names = list(self.words.ids)
+        kept, counts, ids = [names[i] for i in again], self.count[again], self._ids(again)
+        self._empty()
+        if self._weight(kept, len(ids)) < HELD // 2:
+            self.words.number(kept)
+            self._remember(kept, counts, ids)
+
+    @staticmethod
+    def _weight(parts: list[bytes], tokens: int) -> int:
+        return sum(map(len, parts)) + 4 * tokens + 150 * len(parts)
+
+    def _remember(self, parts: list[bytes], counts: np.ndarray, ids: np.ndarray) -> None:
+        """Store the ids of parts that have just got their numbers, one after the other."""
+        self._put("start", self.ends + np.cumsum(counts) - counts, self.held)
+        self._put("count", counts, self.held)
+        self._put("texts_with", np.zeros(len(parts), np.int32), self.held)
+        self._put("all", ids, self.ends)
+        self.held, self.ends = self.held + len(parts), self.ends + len(ids)
+        self.weight += self._weight(parts, len(ids))
+
+    def _ids(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of numbered parts, one after the other."""
+        counts = self.count[numbers]
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.all[np.repeat(self.start[numbers] - ends + counts, counts) + np.arange(total)]
+
     def _put(self, name: str, new: Sequence[int] | np.ndarray, at: int) -> None:
         """Arrays double when they are full, so that a new part costs little."""
         old = getattr(self, name)
@@ -187,20 +217,14 @@ class MergePieces:
         if not text:
             return np.empty(0, np.int32)
         if self.weight > HELD:
-            self._empty()
+            self._forget()
         numbers, new = self.words.number(self.part.findall(b" " + text.replace(SPACE.encode(), b" ")))
         if new:
             made = [self.tokens(w.decode().replace(" ", SPACE)) for w in new]
             counts = np.fromiter(map(len, made), np.int64, len(made))
-            total = int(counts.sum())
-            self._put("start", self.ends + np.cumsum(counts) - counts, self.held)
-            self._put("count", counts, self.held)
-            self._put("all", np.fromiter(chain.from_iterable(made), np.int32, total), self.ends)
-            self.held, self.ends = self.held + len(new), self.ends + total
-            self.weight += sum(map(len, new)) + 4 * total + 150 * len(new)
-        counts = self.count[numbers]
-        ends = np.cumsum(counts)
-        return self.all[np.repeat(self.start[numbers] - ends + counts, counts) + np.arange(int(ends[-1]))]
+            self._remember(new, counts, np.fromiter(chain.from_iterable(made), np.int32, int(counts.sum())))
+        self.texts_with[numbers] += 1  # once per text, however often a part is in it
+        return self._ids(numbers)
 
     # --- decoding -------------------------------------------------------------------------
 

@@ -84,6 +84,16 @@ def test_a_worker_forgets_parts(library, monkeypatch):
     for text in ["some words here", "more words " * 50, "x" * 5000, "none of the above"] * 3:
         assert small.encode(text.encode()).tolist() == library.encode(text)
         assert small.weight < 2000 + 30 * 5000
+    forgotten = 0
+    for i in range(60):
+        text = f"often found words {i} and {i * i} new {chr(97 + i % 26) * i}"
+        before = small.held
+        assert small.encode(text.encode()).tolist() == library.encode(text)
+        forgotten += small.held < before
+        # What is in text after text is kept when the rest goes.
+        assert forgotten < 2 or small.words.ids[b" often"] < 8
+        assert len(small.words.ids) == small.held <= small.weight
+    assert forgotten > 3
 
 
 def test_tables(spark, library):
