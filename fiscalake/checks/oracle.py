@@ -329,7 +329,7 @@ _sql(
     SELECT 'trusted', count(*), sum(valorEmpenhado)::DOUBLE, count(*) FILTER (valorEmpenhado > 1000
       AND valorPago::DOUBLE / valorEmpenhado::DOUBLE * 100 < 10), count(DISTINCT uf) FROM trusted
     UNION ALL
-    SELECT 'raw', count(*), sum(valorEmpenhado::DECIMAL(18,2))::DOUBLE, count(*) FILTER (valorEmpenhado > 1000
+    SELECT unnest(['raw', 'raw arrays']), count(*), sum(valorEmpenhado::DECIMAL(18,2))::DOUBLE, count(*) FILTER (valorEmpenhado > 1000
       AND valorPago::DECIMAL(18,2)::DOUBLE / valorEmpenhado::DECIMAL(18,2)::DOUBLE * 100 < 10),
       count(DISTINCT {_state('localidadeDoGasto')}) FROM records""",
 )

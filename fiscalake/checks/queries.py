@@ -227,17 +227,23 @@ def lookup_register(spark, folder):
 
 @query
 def layer_fallback(spark, folder):
-    """The serving columns from the mart, from trusted alone and from raw JSON alone."""
+    """The serving columns from the mart, from trusted alone and from raw JSON alone, as
+    lines and as documents of one array each."""
     built = layers(spark, folder)
     path = fresh_path(spark, "layers")
     store.write_tables(built.star.tables(), f"{path}/mart")
     store.write_tables({"t": mart.published(built.trusted)}, path)
-    _as_documents(built.records).write.json(f"{path}/raw")
+    documents = _as_documents(built.records)
+    documents.write.json(f"{path}/raw")
+    by_year = documents.groupBy("ano", F.pmod(F.xxhash64("codigoEmenda"), F.lit(16)).alias("lote"))
+    arrays = by_year.agg(F.to_json(F.collect_list(F.struct(*documents.columns))).alias("value"))
+    arrays.select("lote", "value").write.partitionBy("lote").text(f"{path}/arrays")
     parts = []
     for layer, found in (
         ("mart", store.best_layer(spark, f"{path}/mart", f"{path}/t.parquet", f"{path}/none", RULES)),
         ("trusted", store.best_layer(spark, f"{path}/none", f"{path}/t.parquet", f"{path}/none", RULES)),
         ("raw", store.best_layer(spark, f"{path}/none", f"{path}/none", f"{path}/raw", RULES, lines=True)),
+        ("raw arrays", store.best_layer(spark, f"{path}/none", f"{path}/none", f"{path}/arrays", RULES)),
     ):
         parts.append(
             found.agg(
@@ -247,7 +253,7 @@ def layer_fallback(spark, folder):
                 F.count_distinct("uf").alias("ufs"),
             ).select(F.lit(layer).alias("camada"), "*")
         )
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
 @query

@@ -13,6 +13,7 @@ from ..plans.serving import with_serving_columns
 from ..rules import DEFAULT_RULES, Rules
 from ..staging import exists, is_published, published, replace_table, submit
 from . import raw
+from .arrays import read_arrays
 from .landing import current_entries, read_ledger
 
 
@@ -90,7 +91,8 @@ def best_layer(
         return with_serving_columns(table, rules)
     if not exists(spark, raw_files):
         raise NoLayer("run the cleaning and mart steps first")
-    return with_serving_columns(typed(raw.read_json(spark, raw_files, lines=lines), "keep"), rules)
+    records = raw.read_json(spark, raw_files, lines=True) if lines else read_arrays(spark, raw_files)
+    return with_serving_columns(typed(records, "keep"), rules)
 
 
 def dictionary_json(dictionary: DataFrame, folder: str) -> None:
