@@ -84,7 +84,7 @@ def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
     out.write(bytearray(text.encode()))
     out.close()
     try:
-        if files.getScheme() == "file":
+        if files.getUri().getScheme() == "file":
             place = lambda p: jvm.java.io.File(files.makeQualified(p).toUri().getPath()).toPath()
             jvm.java.nio.file.Files.createLink(place(hadoop), place(draft))
         else:
