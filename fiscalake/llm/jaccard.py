@@ -44,8 +44,9 @@ from .distinct import (
 WORDS, NUMERATOR, DENOMINATOR = 5, 4, 5  # shingles of 5 words; alike from 4/5 on
 ORDERS = 3
 BANDS = ((0.9, 1.0), (NUMERATOR / DENOMINATOR, 0.9))  # ratios of sizes that are paired in one go
-HOT = 1 << 16  # frequent shingles that are put last; which ones changes the work only
-SAMPLE = 50_000  # texts that these are taken from
+PLACES = 22  # leading bits of a code: the place at which texts with it are counted
+BLOCK = 1 << 16  # places that are added up in one go
+OFTEN = 8  # texts, at least, that have a frequent shingle
 LEADERS = (1, 8)  # of a group, in the first rounds
 WORDS_OF_BITS = 8  # numbers that hold a set's parities
 BITS = [f"p{i}" for i in range(WORDS_OF_BITS)]
@@ -106,13 +107,16 @@ def spare(n):
     return 1 + 2 * n // 25
 
 
+def places(codes: np.ndarray) -> np.ndarray:
+    return (codes >> np.uint64(64 - PLACES)).astype(np.int64)
+
+
 def firsts(codes: np.ndarray, hot: np.ndarray, seed: int) -> np.ndarray:
-    """A set's prefix under order ``seed``; ``hot`` is sorted."""
+    """A set's prefix under order ``seed``; ``hot`` tells the places of frequent shingles."""
     n = len(codes)
     key = mixed(codes, seed) >> np.uint64(1)
     if len(hot):
-        at = np.minimum(np.searchsorted(hot, codes), len(hot) - 1)
-        key |= (hot[at] == codes).astype(np.uint64) << np.uint64(63)
+        key |= hot[places(codes)].astype(np.uint64) << np.uint64(63)
     count = min(n, n - needed(n) + spare(n))
     return codes[np.argpartition(key, count - 1)[:count]] if count < n else codes
 
@@ -123,33 +127,47 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _frequent(texts: DataFrame) -> np.ndarray:
-    """Sorted codes of the most frequent shingles of a sample of the different texts, drawn
-    by their keys and ``SAMPLE`` rows in expectation. They are put last in every order:
-    which ones they are changes the work, not the result."""
-    share = SAMPLE / max(texts.count(), SAMPLE)
-    some = texts.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < math.ceil(share * (1 << 30))).select("text")
+    """Whether the shingles at each place are frequent, counted over all texts: more sets
+    have them than two average places and chance account for. These are put last in every
+    order. Empty if none are."""
 
     def run(batches):
-        shingles, waiting, size = Shingles(), [], 0
+        shingles, counts, waiting, size = Shingles(), np.zeros(1 << PLACES, np.uint32), [], 0
 
-        def counted():
-            code, count = np.unique(np.concatenate(waiting), return_counts=True)
-            many = count >= max(2, len(waiting) // 1024)
-            return pa.RecordBatch.from_pydict({"code": code[many].view(np.int64), "count": count[many]})
+        def add():
+            counts[:] += np.bincount(np.concatenate(waiting), minlength=1 << PLACES).astype(np.uint32)
 
         for batch in batches:
             for text in raw(batch.column(0)):
-                waiting.append(shingles.of(text))
+                waiting.append(places(shingles.of(text)))
                 size += len(waiting[-1])
                 if size > 3_000_000:
-                    yield counted()
+                    add()
                     waiting, size = [], 0
         if waiting:
-            yield counted()
-
-    counts = some.mapInArrow(run, "code long, count long").groupBy("code").agg(F.sum("count").alias("n")).where(F.col("n") >= 8)
-    found = counts.orderBy(F.desc("n"), "code").limit(HOT).select("code").toArrow()["code"].to_numpy()
-    return np.sort(found.astype(np.int64).view(np.uint64))
+            add()
+        for at in range(0, 1 << PLACES, BLOCK):
+            own = counts[at : at + BLOCK]
+            if own.any():
+                # Byte by byte of the counts: the high ones are nearly all 0.
+                packed = pa.compress(own.view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
+                yield pa.RecordBatch.from_pydict({"block": [at // BLOCK], "n": [int(own.sum(dtype=np.int64))], "counts": [packed]})
+
+    counted = staged(texts.select("text").mapInArrow(run, "block long, n long, counts binary"), "jaccard-counts")
+    mean = (counted.agg(F.sum("n")).first()[0] or 0) / (1 << PLACES)
+    least = max(OFTEN, 2 * mean + 6 * math.sqrt(mean))
+
+    def mark(rows: pa.Table) -> pa.Table:
+        total = np.zeros(BLOCK, np.int64)
+        for packed in rows["counts"].to_pylist():
+            planes = np.frombuffer(pa.decompress(packed, 4 * BLOCK, "zstd", asbytes=True), np.uint8)
+            total += np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32)[:, 0]
+        return pa.table({"block": rows["block"][:1], "frequent": [np.packbits(total >= least).tobytes()]})
+
+    hot = np.zeros(1 << PLACES, bool)
+    for block, bits in counted.groupBy("block").applyInArrow(mark, "block long, frequent binary").collect():
+        hot[block * BLOCK : (block + 1) * BLOCK] = np.unpackbits(np.frombuffer(bits, np.uint8))
+    return hot if hot.any() else hot[:0]
 
 
 SETS = pa.schema([(c, pa.binary() if c == "key" else pa.int64()) for c in ("r", "key", "n", "f1", "f2")])

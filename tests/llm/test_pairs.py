@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fiscalake.llm import jaccard, suffixes
 
@@ -77,6 +78,18 @@ def test_links_at_the_least_overlap(spark, opening):
     assert Counter(map(tuple, got.collect())) == components(rows)
 
 
+def test_frequent_shingles_are_counted_over_all_texts(spark):
+    """Nine of 120,000 texts share an opening: its shingle comes last, under any order."""
+    own = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(30)), lambda i: F.concat(F.lit("w"), F.col("id"), F.lit("x"), i)), " ")
+    opening = F.when(F.col("id") % 13_500 == 7, "all of these begin alike ").otherwise("")
+    hot = jaccard._frequent(spark.range(120_000).select(F.col("id").cast("string").cast("binary").alias("key"), F.concat(opening, own).alias("text")))
+    shared = int(jaccard.Shingles().of(b"all of these begin alike")[0])
+    for i in range(7, 120_000, 13_500):
+        codes = jaccard.Shingles().of(("all of these begin alike " + " ".join(f"w{i}x{j}" for j in range(31))).encode())
+        assert shared in codes.tolist()
+        assert not any(shared in jaccard.firsts(codes, hot, seed).tolist() for seed in range(20))
+
+
 def test_shared_firsts_asked_for_are_guaranteed(spark):
     sizes = [(n, m) for n in range(1, 260) for m in range(n, 5 * n // 4 + 1)]
     behind = lambda n: n - min(n, n - jaccard.needed(n) + jaccard.spare(n))
