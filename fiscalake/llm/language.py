@@ -2,9 +2,10 @@
 
 A text is a row of letters, each run of anything else one boundary; its features are the
 n-grams of one to three of these, weighted by their share of the text and the inverse
-document frequency in the training sample. Weights are learned with
-follow-the-regularised-leader steps under an elastic net, which leaves most of them zero,
-and the scores are calibrated by one temperature on rows kept out of the training.
+document frequency. Weights are learned with follow-the-regularised-leader steps under an
+elastic net, which leaves most of them zero, and the scores are calibrated by one
+temperature on rows kept out of the training. All training rows are dealt at random to
+groups of bounded size; each group is learned by one task, and the model is their mean.
 """
 
 from __future__ import annotations
@@ -22,13 +23,13 @@ from .common import arrow_map, in_fold, out_of_fold, pick, staged, table
 
 UNKNOWN = "und"
 BITS = 17  # features are hashed to 2**BITS places
+BLOCK = 1 << 13  # places whose weights are averaged in one go
 SCALE = 40.0  # brings weighted shares to the size that the step length is made for
 
 
 class Settings(NamedTuple):
-    """``sample`` is the number of training rows that is drawn over all languages, up to
-    chance; twice as many are the bound. ``languages``: at most so many are learned, the
-    most frequent."""
+    """``sample`` is the number of training rows that are learned in one group, up to
+    chance. ``languages``: at most so many are learned, the most frequent."""
 
     sample: int = 8000
     languages: int = 1000
@@ -45,6 +46,7 @@ class Model(NamedTuple):
     weights: np.ndarray  # places x languages, with the inverse document frequency in
     bias: np.ndarray
     temperature: float
+    texts: tuple[int, ...]  # of each language, that it was learned from
 
 
 def _letters() -> np.ndarray:
@@ -138,7 +140,8 @@ def train(texts: list[str], labels: list[str], s: Settings = Settings()) -> Mode
     for _ in range(40):
         a, b = high - ratio * (high - low), low + ratio * (high - low)
         low, high = (low, b) if loss(a) <= loss(b) else (a, high)
-    return Model(languages, (w[:-1] * idf[:, None]).astype(np.float32), w[-1], math.exp((low + high) / 2))
+    texts = tuple(sum(y == i for _, _, y in rows) for i in range(k))
+    return Model(languages, (w[:-1] * idf[:, None]).astype(np.float32), w[-1], math.exp((low + high) / 2), texts)
 
 
 def predict(text: str | None, model: Model | None) -> tuple[str, float]:
@@ -153,57 +156,80 @@ def predict(text: str | None, model: Model | None) -> tuple[str, float]:
 
 
 def fit(rows: DataFrame, settings: Settings = Settings()) -> Model | None:
-    """A model from ``rows`` (doc_id, text, lang). The sample is drawn by id over all rows
-    without their texts, then trained on in one task; only the weights reach the driver,
-    at most 2**BITS for each language."""
+    """A model from all ``rows`` (doc_id, text, lang) with none of these null. They are dealt
+    to groups by a hash of the id, those of a language with few rows to several groups, so
+    that it is no rarer there than its size asks for. A group is one task's; only the mean
+    weights reach the driver, at most 2**BITS for each language. A language's weights are
+    the mean over the groups that have it, by its texts there."""
     rows = pick(rows, "doc_id", "text", "lang").where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
-    # An equal share for each language, what small ones leave over for the others. A row
-    # is drawn if the hash of its id is below its language's share: no sort, no group.
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.languages)
-    sizes, left, shares = sorted(map(tuple, counts.collect()), key=lambda x: (x[1], x[0])), settings.sample, []
-    for i, (name, size) in enumerate(sizes):
-        part = min(size, left / (len(sizes) - i))
-        shares.append((name, int(part / size * (1 << 40))))
-        left -= part
+    sizes = sorted(map(tuple, counts.collect()))
+    if not sizes:
+        return None
+    total = sum(size for _, size in sizes)
+    groups = -(-total // settings.sample)
+    # A language smaller than the mean one is given out as often as brings it there.
+    times = [(name, max(1, min(groups, total // (len(sizes) * size)))) for name, size in sizes]
+    groups = max(groups, -(-sum(n * size for (_, n), (_, size) in zip(times, sizes)) // settings.sample))
     spark = rows.sparkSession
-    drawn = spark.createDataFrame(shares, "lang string, below long")
-    at = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40))
-    ids = (
-        rows.select("doc_id", "lang", at.alias("at"))
-        .join(F.broadcast(drawn), "lang")
-        .where(F.col("at") < F.col("below"))
-        .select("doc_id", "lang")
-        .distinct()
-        .limit(2 * settings.sample)
-    )
-    sample = rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", "text")
-
-    def learn(batches):
-        data = [(i, y, t) for b in batches for i, y, t in zip(*(c.to_pylist() for c in b.columns))]
-        data.sort()
+    dealt = spark.createDataFrame(times, "lang string, times long")
+    turn = F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)).alias("turn")
+    at = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(groups)) + F.floor(F.col("turn") * groups / F.col("times"))
+    each = rows.join(F.broadcast(dealt), "lang").select("doc_id", "lang", "text", "times", turn)
+    each = each.select("doc_id", "lang", "text", F.pmod(at, F.lit(groups)).alias("group")).repartition(groups, "group")
+    names = [name for name, _ in sizes]
+
+    def learn(table: pa.Table) -> pa.Table:
+        data = sorted(zip(*(table[c].to_pylist() for c in ("doc_id", "lang", "text"))))
         model = train([t for _, _, t in data], [y for _, y, _ in data], settings)
+        out = {"group": [], "block": [], "n": [], "w": []}
         if model:
-            used = np.flatnonzero(model.weights.any(1))
-            yield pa.RecordBatch.from_pydict(
-                {"place": [*used.tolist(), -1], "w": [*model.weights[used].astype(float).tolist(), [*model.bias, model.temperature]], "names": [[]] * len(used) + [model.languages]},
-                pa.schema([("place", pa.int32()), ("w", pa.list_(pa.float64())), ("names", pa.list_(pa.string()))]),
-            )
+            own = [names.index(y) for y in model.languages]
+            n, bias = np.zeros(len(names), np.int64), np.zeros(len(names))
+            n[own], bias[own] = model.texts, model.bias
+            parts = [np.append(bias, model.temperature)]
+            for low in range(0, 2**BITS, BLOCK):
+                parts.append(np.zeros((BLOCK, len(names))))
+                parts[-1][:, own] = model.weights[low : low + BLOCK]
+            for block, w in enumerate(parts, -1):
+                if block < 0 or w.any():
+                    out["block"].append(block)
+                    out["w"].append(pa.compress(w.tobytes(), "zstd", asbytes=True))
+            out["group"], out["n"] = [table["group"][0].as_py()] * len(out["w"]), [n.tolist()] * len(out["w"])
+        kinds = [("group", pa.int64()), ("block", pa.int64()), ("n", pa.list_(pa.int64())), ("w", pa.binary())]
+        return pa.Table.from_pydict(out, pa.schema(kinds))
 
     with scratch(spark):
-        sample = staged(sample, "lang-sample")
-        got = sample.coalesce(1).mapInArrow(learn, "place int, w array<double>, names array<string>").toArrow().to_pydict()
-    if not got["place"]:
-        return None
-    languages = next(names for p, names in zip(got["place"], got["names"]) if p < 0)
-    weights, bias, temperature = np.zeros((2**BITS, len(languages)), np.float32), None, 1.0
-    for place, w in zip(got["place"], got["w"]):
-        if place < 0:
-            bias, temperature = np.array(w[:-1]), w[-1]
+        kinds = "group long, block long, n array<long>, w binary"
+        learned = staged(each.groupBy("group").applyInArrow(learn, kinds), "lang-learned")
+        head = learned.where("block < 0").select("group", "n").collect()
+        if not head:
+            return None
+        # Texts of each language over all groups: blocks without weights are left out.
+        texts = np.sum([r["n"] for r in head], axis=0)
+
+        def mean(table: pa.Table) -> pa.Table:
+            block, k, out = table["block"][0].as_py(), len(names), 0.0
+            for _, n, w in sorted(zip(*(table[c].to_pylist() for c in ("group", "n", "w")))):
+                share = np.array(n) / np.maximum(texts, 1)
+                size = 8 * (k + 1 if block < 0 else BLOCK * k)
+                w = np.frombuffer(pa.decompress(w, size, "zstd", asbytes=True))
+                out = out + (w * np.append(share, sum(n) / texts.sum()) if block < 0 else w.reshape(-1, k) * share)
+            w = out if block < 0 else out.astype(np.float32)
+            return pa.table({"block": [block], "w": [pa.compress(w.tobytes(), "zstd", asbytes=True)]})
+
+        got = learned.groupBy("block").applyInArrow(mean, "block long, w binary").collect()
+    weights, last = np.zeros((2**BITS, len(names)), np.float32), np.zeros(0)
+    for block, w in got:
+        if block < 0:
+            last = np.frombuffer(pa.decompress(w, 8 * (len(names) + 1), "zstd", asbytes=True))
         else:
-            weights[place] = w
-    return Model(languages, weights, bias, temperature)
+            own = np.frombuffer(pa.decompress(w, 4 * BLOCK * len(names), "zstd", asbytes=True), np.float32)
+            weights[block * BLOCK : (block + 1) * BLOCK] = own.reshape(-1, len(names))
+    seen = np.flatnonzero(texts)
+    return Model([names[i] for i in seen], weights[:, seen], last[:-1][seen], float(last[-1]), tuple(texts[seen].tolist()))
 
 
 def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -113,6 +113,21 @@ def test_language_on_held_out_texts(spark):
     assert len(got) == len(rows)
 
 
+def test_language_is_learned_from_every_row(spark):
+    """In groups of 40 of 330 rows: a text that one row alone has tells its language, too."""
+    rng = random.Random(31)
+    rows = [(i, prose(rng, 40, ("en", "fr")[i % 2]), ("en", "fr")[i % 2], "s") for i in range(300)]
+    rows += [(300 + i, chr(0x3B1 + i % 24) * 3 + " " + chr(0x430 + i) * 40, "xx", "s") for i in range(30)]
+    model = language.fit(frame(spark, rows, clash=False), language.Settings(sample=40))
+    assert model.languages == ["en", "fr", "xx"]
+    # The small language is dealt to three groups each.
+    assert model.texts == (150, 150, 90)
+    assert np.mean([language.predict(t, model)[0] == y for _, t, y, _ in rows]) > 0.97
+    whole = language.train([t for _, t, _, _ in rows], [y for _, _, y, _ in rows])
+    one = language.fit(frame(spark, rows, clash=False))
+    assert one.languages == whole.languages and (one.weights == whole.weights).all() and one.temperature == whole.temperature
+
+
 def test_language_without_anything_to_learn(spark):
     df = frame(spark, documents(size=6), clash=False)
     assert language.fit(df.limit(0)) is None
