@@ -150,7 +150,10 @@ class Layers:
 
     @property
     def trusted_plan(self) -> DataFrame:
-        """Trusted rows straight from the source tables, for a single consumer."""
+        """Trusted rows straight from the source tables, for a single consumer; from the raw
+        layer if that is written already."""
+        if "records" in self._done:
+            return cleaning.trusted_zero(cleaning.in_window(self.records, RULES), POSITION, RULES)
         return cleaning.trusted_zero(records(self.spark, self.folder, RULES), POSITION, RULES)
 
     @property

@@ -225,19 +225,28 @@ def lookup_register(spark, folder):
     )
 
 
+def _arrays(documents: DataFrame, least: int = 16, rows_per_lot: int = 500_000) -> DataFrame:
+    """Documents of one JSON array for each year and lot (``lote``, ``value``). There are
+    more lots of more rows, so that an array is never a growing share of them; a task takes
+    whole arrays, and rows are moved as they are."""
+    lots = max(least, -(-documents.count() // rows_per_lot))
+    lot = F.pmod(F.xxhash64("codigoEmenda"), F.lit(lots)).alias("lote")
+    dealt = documents.select("*", lot).repartition("ano", "lote")
+    arrays = dealt.groupBy("ano", "lote").agg(F.to_json(F.collect_list(F.struct(*documents.columns))).alias("value"))
+    return arrays.select("lote", "value")
+
+
 @query
 def layer_fallback(spark, folder):
     """The serving columns from the mart, from trusted alone and from raw JSON alone, as
     lines and as documents of one array each."""
     built = layers(spark, folder)
+    documents = _as_documents(built.records)  # the trusted table is made from these, too
     path = fresh_path(spark, "layers")
     store.write_tables(built.star.tables(), f"{path}/mart")
     store.write_tables({"t": mart.published(built.trusted)}, path)
-    documents = _as_documents(built.records)
     documents.write.json(f"{path}/raw")
-    by_year = documents.groupBy("ano", F.pmod(F.xxhash64("codigoEmenda"), F.lit(16)).alias("lote"))
-    arrays = by_year.agg(F.to_json(F.collect_list(F.struct(*documents.columns))).alias("value"))
-    arrays.select("lote", "value").write.partitionBy("lote").text(f"{path}/arrays")
+    _arrays(documents).write.partitionBy("lote").text(f"{path}/arrays")
     parts = []
     for layer, found in (
         ("mart", store.best_layer(spark, f"{path}/mart", f"{path}/t.parquet", f"{path}/none", RULES)),

@@ -35,21 +35,28 @@ def _pieces(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def _braces(parts: Column, odd: int) -> Column:
-    """Opening braces in every other part of a text that was cut at its quotes."""
-    own = F.filter(parts, lambda _, i: i % 2 == odd)
-    joined = F.array_join(own, "")
-    return F.length(joined) - F.length(F.replace(joined, F.lit("{"), F.lit("")))
+def _times(text: Column, mark: str) -> Column:
+    """How often a character of one byte is in a text."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(mark), F.lit("")))
+
+
+def _outer(text: Column) -> Column:
+    """Opening braces outside of strings in a text that begins outside: mostly all of them,
+    before the first quote; else those in every other part of the text cut at its quotes."""
+    own = F.filter(F.split(text, '"'), lambda _, i: i % 2 == 0)
+    before = _times(F.substring_index(text, '"', 1), "{")
+    return F.when(before == _times(text, "{"), before).otherwise(_times(F.array_join(own, ""), "{"))
 
 
 def _counted(pieces: DataFrame) -> DataFrame:
     """``quotes`` (0 or 1) that a piece leaves open if it begins outside a string, and the
     braces opened in what is outside then (``outer``), or if it begins inside (``inner``).
     A backslash and the character after it are in one piece, as no brace is escaped."""
-    parts = F.split(F.regexp_replace("value", r"(?s)\\.", ""), '"')
-    counted = pieces.withColumn("_parts", parts).withColumns(
-        {"quotes": (F.size("_parts") - 1) % 2, "outer": _braces(F.col("_parts"), 0), "inner": _braces(F.col("_parts"), 1)}
+    bare = F.when(F.contains("value", F.lit("\\")), F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value"))
+    counted = pieces.withColumn("_bare", bare).withColumns(
+        {"quotes": _times(F.col("_bare"), '"') % 2, "outer": _outer(F.col("_bare")), "inner": _times(F.col("_bare"), "{")}
     )
+    counted = counted.withColumn("inner", F.col("inner") - F.col("outer"))
     before = Window.partitionBy(*SPLIT).orderBy("_order").rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2
     # Only a brace outside of strings closes; each piece but a file's last ends with one.
@@ -61,7 +68,7 @@ def _counted(pieces: DataFrame) -> DataFrame:
             "opens": F.when(inside == 0, F.col("outer")).otherwise(F.col("inner")),
             "opens_in": F.when(inside == 0, F.col("inner")).otherwise(F.col("outer")),
         }
-    ).drop("_parts", "outer", "inner")
+    ).drop("_bare", "outer", "inner")
 
 
 def _splits(counted: DataFrame) -> DataFrame:

@@ -5,8 +5,8 @@ from pathlib import Path
 
 import pytest
 
-from fiscalake.checks.binding import RULES, layers, table
-from fiscalake.checks.queries import QUERIES
+from fiscalake.checks.binding import RULES, Layers, layers, table
+from fiscalake.checks.queries import QUERIES, _arrays, _as_documents
 from fiscalake.plans import cleaning, mart, serving
 
 FOLDER = "/root/testdata/sf0.001"
@@ -51,3 +51,19 @@ def test_copies_are_cut_before_the_shuffle(spark):
 
 def test_top_lists_do_not_sort_everything(spark):
     assert "TakeOrderedAndProject" in plan(serving.top(table(spark, FOLDER, "orders"), "o_totalprice", "o_orderkey", 5))
+
+
+def test_written_records_are_not_joined_again(spark):
+    built, apart = Layers(spark, FOLDER), Layers(spark, FOLDER)
+    assert built.records.count() and "lineitem" not in plan(built.trusted_plan)
+    assert "lineitem" in plan(apart.trusted_plan)
+    assert sorted(built.trusted_plan.collect()) == sorted(apart.trusted_plan.collect())
+
+
+def test_more_rows_give_more_arrays_not_larger_ones(spark):
+    documents = _as_documents(Layers(spark, FOLDER).records)
+    arrays = _arrays(documents, least=1, rows_per_lot=50)
+    lots = -(-documents.count() // 50)
+    sizes = [len(r["value"]) for r in arrays.collect()]
+    assert arrays.select("lote").distinct().count() == lots and max(sizes) < 60 * 500
+    assert plan(_arrays(documents)).count("Exchange hashpartitioning") == 1
