@@ -17,7 +17,7 @@ from ..operators import dedupe, joins, ordered, profile, statistics
 from ..plans import cleaning, features, mart, run, serving
 from ..sources import landing, layers as store, raw
 from ..sources.arrays import read_arrays
-from ..staging import fresh_path, published, stage
+from ..staging import forget_shuffles, fresh_path, published, remove, scratch, stage
 from ..streaming import landing as streaming
 from .binding import POSITION, RULES, layers, table
 
@@ -166,10 +166,10 @@ def parquet_scan_count(spark, folder):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def _as_documents(records: DataFrame) -> DataFrame:
-    """Records with their amounts as Brazilian text, to the cent."""
+def _as_documents(records: DataFrame, *others: str) -> DataFrame:
+    """Records with their amounts as Brazilian text, to the cent, and ``others`` as they are."""
     amounts = [money.format_number_br(F.round(c, 2), 2).alias(c) for c in S.MONEY_COLUMNS]
-    return records.select(*S.RAW_COLUMNS[:9], *amounts)
+    return records.select(*S.RAW_COLUMNS[:9], *amounts, *others)
 
 
 @query
@@ -225,43 +225,71 @@ def lookup_register(spark, folder):
     )
 
 
-def _arrays(documents: DataFrame, least: int = 16, rows_per_lot: int = 500_000) -> DataFrame:
-    """Documents of one JSON array for each year and lot (``lote``, ``value``). There are
-    more lots of more rows, so that an array is never a growing share of them; a task takes
-    whole arrays, and rows are moved as they are."""
-    lots = max(least, -(-documents.count() // rows_per_lot))
+def _arrays(
+    rows: DataFrame,
+    least: int = 16,
+    rows_per_lot: int = 500_000,
+    rows_per_task: int = 60_000,
+    shape: Callable = lambda dealt: dealt,
+) -> DataFrame:
+    """One JSON array for each year and lot of ``rows`` (``lote``, ``value``), of documents
+    as ``shape`` makes them of rows. There are more lots of more rows, so that an array is
+    never a growing share of them, and more tasks, which have few arrays in memory each; a
+    task takes whole arrays, and rows are moved as they are."""
+    count = rows.count()
+    lots = max(least, -(-count // rows_per_lot))
     lot = F.pmod(F.xxhash64("codigoEmenda"), F.lit(lots)).alias("lote")
-    dealt = documents.select("*", lot).repartition("ano", "lote")
-    arrays = dealt.groupBy("ano", "lote").agg(F.to_json(F.collect_list(F.struct(*documents.columns))).alias("value"))
+    dealt = rows.select("*", lot).repartition(max(lots, -(-count // rows_per_task)), "ano", "lote")
+    documents = shape(dealt)
+    one = F.struct(*[c for c in documents.columns if c != "lote"])
+    arrays = documents.groupBy("ano", "lote").agg(F.to_json(F.collect_list(one)).alias("value"))
     return arrays.select("lote", "value")
 
 
 @query
 def layer_fallback(spark, folder):
     """The serving columns from the mart, from trusted alone and from raw JSON alone, as
-    lines and as documents of one array each."""
+    lines and as documents of one array each. What a layer was read from is removed before
+    the next one is written, and JSON is compressed, as its text is many times the tables."""
     built = layers(spark, folder)
-    documents = _as_documents(built.records)  # the trusted table is made from these, too
     path = fresh_path(spark, "layers")
-    store.write_tables(built.star.tables(), f"{path}/mart")
-    store.write_tables({"t": mart.published(built.trusted)}, path)
-    documents.write.json(f"{path}/raw")
-    _arrays(documents).write.partitionBy("lote").text(f"{path}/arrays")
     parts = []
-    for layer, found in (
-        ("mart", store.best_layer(spark, f"{path}/mart", f"{path}/t.parquet", f"{path}/none", RULES)),
-        ("trusted", store.best_layer(spark, f"{path}/none", f"{path}/t.parquet", f"{path}/none", RULES)),
-        ("raw", store.best_layer(spark, f"{path}/none", f"{path}/none", f"{path}/raw", RULES, lines=True)),
-        ("raw arrays", store.best_layer(spark, f"{path}/none", f"{path}/none", f"{path}/arrays", RULES)),
-    ):
-        parts.append(
-            found.agg(
-                F.count(F.lit(1)).alias("linhas"),
-                money.exact_sum(F.col("valorEmpenhado")).alias("empenhado"),
-                F.count_if("emenda_vitrine").alias("vitrines"),
-                F.count_distinct("uf").alias("ufs"),
-            ).select(F.lit(layer).alias("camada"), "*")
-        )
+
+    def measure(layer: str, *places: str, lines: bool = False) -> None:
+        found = store.best_layer(spark, *(f"{path}/{place}" for place in places), RULES, lines=lines)
+        figures = found.agg(
+            F.count(F.lit(1)).alias("linhas"),
+            money.exact_sum(F.col("valorEmpenhado")).alias("empenhado"),
+            F.count_if("emenda_vitrine").alias("vitrines"),
+            F.count_distinct("uf").alias("ufs"),
+        ).select(F.lit(layer).alias("camada"), "*")
+        parts.append(stage(figures, "layer_figures", keep=True).df)
+        forget_shuffles(spark)
+
+    records = built.records  # the trusted table is made from these, too
+    forget_shuffles(spark)
+    trusted = built.trusted
+    forget_shuffles(spark)
+    try:
+        with scratch(spark):
+            store.write_tables(mart.build(trusted, RULES).tables(), f"{path}/mart")
+        forget_shuffles(spark)
+        store.write_tables({"t": mart.published(trusted)}, path)
+        measure("mart", "mart", "t.parquet", "none")
+        remove(spark, f"{path}/mart")
+        measure("trusted", "none", "t.parquet", "none")
+        remove(spark, f"{path}/t.parquet")
+        packed = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+        _as_documents(records).write.options(maxRecordsPerFile=500_000, **packed).json(f"{path}/raw")
+        measure("raw", "none", "none", "raw", lines=True)
+        remove(spark, f"{path}/raw")
+        arrays = _arrays(records, shape=lambda dealt: _as_documents(dealt, "lote"))
+        arrays.write.partitionBy("lote").options(**packed).text(f"{path}/arrays")
+        forget_shuffles(spark)
+        with scratch(spark):
+            measure("raw arrays", "none", "none", "arrays")
+    finally:
+        remove(spark, path)
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 

@@ -4,10 +4,12 @@ A reader that needs the whole array gives a file to one task. Here the file is r
 text that is cut at every ``}``, which Spark splits like any text file. What a piece means
 depends on what comes before it: whether it begins inside a string, and how many objects
 are open. Quotes and braces of each piece are counted once for either beginning; sums over
-a split's pieces, and over the splits of a file, one row each, then tell where every piece
-begins, and so where records do. A record of one piece is parsed where it is. The others,
-with objects or braces inside, are put together first; one that goes over the border of a
-split is found by what the splits before it leave open.
+a split's pieces, and over the splits of a file, one row each, then tell where every split
+begins. Where each piece is one object then, as in most files, the text is read once more
+and parsed where it is. In other splits sums over the pieces before each one tell where
+records begin. A record of one piece is parsed as it is. The others, with objects or braces
+inside, are put together first; one that goes over the border of a split is found by what
+the splits before it leave open.
 """
 
 from __future__ import annotations
@@ -48,47 +50,72 @@ def _outer(text: Column) -> Column:
     return F.when(before == _times(text, "{"), before).otherwise(_times(F.array_join(own, ""), "{"))
 
 
-def _counted(pieces: DataFrame) -> DataFrame:
+def _bare() -> Column:
+    """A piece without what backslashes escape."""
+    return F.when(F.contains("value", F.lit("\\")), F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value"))
+
+
+def _marked(pieces: DataFrame) -> DataFrame:
     """``quotes`` (0 or 1) that a piece leaves open if it begins outside a string, and the
     braces opened in what is outside then (``outer``), or if it begins inside (``inner``).
     A backslash and the character after it are in one piece, as no brace is escaped."""
-    bare = F.when(F.contains("value", F.lit("\\")), F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value"))
-    counted = pieces.withColumn("_bare", bare).withColumns(
+    marked = pieces.withColumn("_bare", _bare()).withColumns(
         {"quotes": _times(F.col("_bare"), '"') % 2, "outer": _outer(F.col("_bare")), "inner": _times(F.col("_bare"), "{")}
     )
-    counted = counted.withColumn("inner", F.col("inner") - F.col("outer"))
+    return marked.withColumn("inner", F.col("inner") - F.col("outer")).drop("_bare")
+
+
+def _counted(marked: DataFrame) -> DataFrame:
+    """How many objects each piece opens, and leaves open, for either beginning of its split."""
     before = Window.partitionBy(*SPLIT).orderBy("_order").rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2
     # Only a brace outside of strings closes; each piece but a file's last ends with one.
     closed = 1 - (inside + F.col("quotes")) % 2
-    return counted.withColumns(
+    return marked.withColumns(
         {
             "grown": F.when(inside == 0, F.col("outer")).otherwise(F.col("inner")) - closed,
             "grown_in": F.when(inside == 0, F.col("inner")).otherwise(F.col("outer")) - (1 - closed),
             "opens": F.when(inside == 0, F.col("outer")).otherwise(F.col("inner")),
             "opens_in": F.when(inside == 0, F.col("inner")).otherwise(F.col("outer")),
         }
-    ).drop("_bare", "outer", "inner")
+    ).drop("outer", "inner")
+
+
+def _sums(marked: DataFrame) -> DataFrame:
+    """One row per split, summed before anything is moved. Where no piece leaves a string
+    open (``odd`` is 0) each piece begins like its split. ``flat``: each piece is one object
+    then, but for the split's last one, which may be what follows the last object."""
+    plain = F.col("outer") == 1
+    sums = marked.groupBy(*SPLIT).agg(
+        F.min("_order").alias("_begin"),
+        F.max("quotes").alias("odd"),
+        F.sum("quotes").alias("quotes"),
+        F.sum(F.col("outer") - 1).alias("grown"),
+        F.sum("inner").alias("grown_in"),
+        F.count_if(~plain).alias("_unlike"),
+        F.max_by("outer", "_order").alias("_last"),
+    )
+    flat = (F.col("odd") == 0) & (F.col("_unlike") == F.when(F.col("_last") == 0, 1).otherwise(0))
+    return sums.withColumn("flat", flat).drop("_unlike", "_last")
 
 
-def _splits(counted: DataFrame) -> DataFrame:
-    """How each split begins: ``_inside`` a string or not, and objects open, ``_depth``."""
-    sums = counted.groupBy(*SPLIT).agg(
-        F.sum("quotes").alias("quotes"), F.sum("grown").alias("grown"), F.sum("grown_in").alias("grown_in")
-    )
+def _begun(sums: DataFrame) -> DataFrame:
+    """How each split begins: ``_inside`` a string or not, and objects open, ``_depth``; and
+    whether it is ``plain``, so that each object in it is a record."""
     before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     begun = sums.withColumn("_inside", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
     grown = F.when(F.col("_inside") == 0, F.col("grown")).otherwise(F.col("grown_in"))
-    begun = begun.withColumn("_grown", grown)
-    return begun.select(*SPLIT, "_inside", F.coalesce(F.sum("_grown").over(before), F.lit(0)).alias("_depth"))
+    begun = begun.withColumn("_grown", grown).withColumn("_depth", F.coalesce(F.sum("_grown").over(before), F.lit(0)))
+    plain = F.col("flat") & (F.col("_inside") == 0) & (F.col("_depth") == 0)
+    return begun.select(*SPLIT, "_begin", "_inside", "_depth", "odd", plain.alias("plain"))
 
 
-def _placed(counted: DataFrame, splits: DataFrame) -> DataFrame:
+def _placed(counted: DataFrame) -> DataFrame:
     """Pieces of records: their place ``_at``, whether they are a record (``alone``), and
     ``_first``, the place of their record's first piece if it is in the same split."""
     inside = F.col("_inside") == 1
     upto = Window.partitionBy(*SPLIT).orderBy("_order")
-    rows = counted.join(splits, SPLIT).select(
+    rows = counted.select(
         "value", *SPLIT, "_order",
         (F.col("_block") + F.row_number().over(upto) - 1).alias("_at"),
         F.when(inside, F.col("grown_in")).otherwise(F.col("grown")).alias("_grown"),
@@ -103,16 +130,8 @@ def _placed(counted: DataFrame, splits: DataFrame) -> DataFrame:
     return rows.select("value", *SPLIT, "_at", (starts & (F.col("_after") == 0)).alias("alone"), first.alias("_first"), "_after")
 
 
-def read_arrays(spark: SparkSession, paths: str | Sequence[str], positioned: bool = False, schema: StructType = RAW) -> DataFrame:
-    """The objects of JSON files, each a top-level array of objects, an object, or lines of
-    either, under ``schema``; absent fields are NULL. Files of any size are read in splits.
-
-    With ``positioned``, ``_file`` and ``_at`` give each record's place; places in a file
-    rise, with gaps. An empty array has no rows. Text that is no JSON object gives a row of
-    NULLs, as in Spark's own reader.
-    """
-    counted = _counted(_pieces(spark, [paths] if isinstance(paths, str) else paths))
-    rows = stage(_placed(counted, _splits(counted)), "json-pieces").df
+def _joined(rows: DataFrame) -> DataFrame:
+    """The texts of records, put together from the pieces that ``_placed`` gives."""
     # What a split leaves open goes on in the next one with a piece of that record.
     last = F.max(F.struct("_at", "_first", "_after")).alias("last")
     tails = rows.groupBy(*SPLIT).agg(last).select(
@@ -125,7 +144,40 @@ def read_arrays(spark: SparkSession, paths: str | Sequence[str], positioned: boo
     some = some.where("_first is not null").select("value", "_file", "_at", "_first").unionByName(heads)
     joined = some.groupBy("_file", "_first").agg(F.array_sort(F.collect_list(F.struct("_at", "value"))).alias("pieces"))
     whole = joined.select("_file", F.col("_first").alias("_at"), F.array_join("pieces.value", "}").alias("value"))
-    texts = rows.where("alone").select("_file", "_at", "value").unionByName(whole)
+    return rows.where("alone").select("_file", "_at", "value").unionByName(whole)
+
+
+def read_arrays(spark: SparkSession, paths: str | Sequence[str], positioned: bool = False, schema: StructType = RAW) -> DataFrame:
+    """The objects of JSON files, each a top-level array of objects, an object, or lines of
+    either, under ``schema``; absent fields are NULL. Files of any size are read in splits,
+    those compressed in a way that cannot be split as a whole.
+
+    With ``positioned``, ``_file`` and ``_at`` give each record's place; places in a file
+    rise, with gaps. An empty array has no rows. Text that is no JSON object gives a row of
+    NULLs, as in Spark's own reader.
+    """
+    pieces = _pieces(spark, [paths] if isinstance(paths, str) else paths)
+    marked = _marked(pieces)
+    sums = stage(_sums(marked), "json-splits").df
+    begun = _begun(sums)
+    odd, rest = begun.agg(F.max("odd") == 1, F.bool_or(~F.col("plain"))).first()
+    if odd:
+        # Within these splits the pieces begin in different ways.
+        kinked = _counted(marked.join(sums.where("odd = 1").select(*SPLIT), SPLIT, "left_semi"))
+        kinked = kinked.groupBy(*SPLIT).agg(F.sum("grown").alias("grown"), F.sum("grown_in").alias("grown_in"))
+        told = sums.where("odd = 1").drop("grown", "grown_in").join(kinked, SPLIT)
+        begun = stage(_begun(sums.where("odd = 0").unionByName(told)), "json-begun").df
+    # Records of plain splits are parsed where they are; no piece of them is moved or kept.
+    opens = F.contains(F.substring_index(_bare(), '"', 1), F.lit("{")) | (_outer(_bare()) > 0)
+    alone = pieces.where(opens)
+    if rest or positioned:
+        alone = alone.join(begun.where("plain").select(*SPLIT, "_begin"), SPLIT)
+        alone = alone.withColumn("_at", F.col("_block") + F.col("_order") - F.col("_begin"))
+    texts = alone.select("value", *(("_file", "_at") if rest or positioned else ()))
+    if rest:
+        others = marked.join(begun.where(~F.col("plain")).select(*SPLIT, "_inside", "_depth"), SPLIT)
+        rows = stage(_placed(_counted(others)), "json-pieces").df
+        texts = texts.unionByName(_joined(rows))
     body = F.concat(F.expr("substring(value, instr(value, '{'))"), F.lit("}"))
-    records = texts.select("_file", "_at", F.from_json(body, schema).alias("r"))
+    records = texts.withColumn("r", F.from_json(body, schema))
     return records.select("r.*", *(("_file", "_at") if positioned else ()))

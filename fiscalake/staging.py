@@ -209,6 +209,12 @@ def submit(pool: ThreadPoolExecutor, work: Callable, *args):
     return pool.submit(copy_context().run, work, *args)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files of finished steps. It does so when the driver's
+    garbage is collected, which a driver with much memory puts off while files pile up."""
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables staged inside are removed at the end, but for those staged with ``keep``;

@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from fiscalake import staging
 from fiscalake.schemas import RAW
 from fiscalake.sources import arrays, raw
 
@@ -72,3 +73,32 @@ def test_lines_and_single_objects(spark, tmp_path, split):
     (tmp_path / "empty.json").write_text("", encoding="utf-8")
     got = arrays.read_arrays(spark, f"{tmp_path}/*.json")
     assert sorted(r["codigoEmenda"] for r in got.collect()) == list("ABCDE")
+
+
+def test_records_of_one_piece_are_neither_moved_nor_kept(spark, write_json, tmp_path, split):
+    path = write_json("flat.json", [record(f"C{i:03d}", autor="a { b") for i in range(90)])
+    before = {t.name for t in spark.catalog.listTables(staging._scratch_database(spark))}
+    got = arrays.read_arrays(spark, path)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert rows(got) == rows(raw.read_json(spark, path)) and len(rows(got)) == 90
+    made = {t.name for t in spark.catalog.listTables(staging._scratch_database(spark))} - before
+    assert not [name for name in made if name.startswith("json_pieces")]
+
+
+def test_plain_splits_beside_others(spark, write_json, tmp_path, split):
+    """Texts and objects that need what comes before, in the middle of a file only."""
+    some = [record(f"C{i:03d}") for i in range(60)]
+    some[30] = record("C030", autor="a } b", funcao="}{")
+    some[40] = record("C040", autor="x } y " * 300, mais={"a": [{"b": 1}, {}]})
+    path = write_json("mixed.json", some)
+    got = arrays.read_arrays(spark, path, positioned=True)
+    assert [r["codigoEmenda"] for r in got.orderBy("_at").collect()] == [f"C{i:03d}" for i in range(60)]
+    assert rows(got) == rows(raw.read_json(spark, path))
+    spark.read.text(path, wholetext=True).write.option("compression", "gzip").text(f"{tmp_path}/packed")
+    assert rows(arrays.read_arrays(spark, f"{tmp_path}/packed")) == rows(got)
+
+
+def test_braces_after_the_last_object(spark, tmp_path, split):
+    (tmp_path / "a.json").write_text(json.dumps([record("A"), record("B")]) + ' "{"', encoding="utf-8")
+    (tmp_path / "b.json").write_text(json.dumps([record("C")]) + '\n["{", "x{"]', encoding="utf-8")
+    assert sorted(r["codigoEmenda"] for r in arrays.read_arrays(spark, f"{tmp_path}/*.json").collect()) == list("ABC")
